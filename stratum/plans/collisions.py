@@ -248,54 +248,88 @@ class Gold:
                 "borough_collision_metrics": self.borough}
 
     def check_suite(self) -> dict:
-        """The 53 reference data tests, as ``{table: (df, [checks])}``."""
-        g = self
-        return {
-            "stg_collisions": (g.stg, [
-                Q.not_null("collision_id"), Q.unique("collision_id"),
-                Q.not_null("crash_date"),
-                Q.accepted_values("borough", BOROUGHS, where="borough is not null"),
-                Q.not_null("total_injuries"), Q.expression_is_true("total_injuries", ">= 0"),
-                Q.not_null("total_fatalities"), Q.expression_is_true("total_fatalities", ">= 0"),
-            ]),
-            "dim_date": (g.dim_date, [
-                Q.not_null("date_id"), Q.unique("date_id"),
-                Q.not_null("full_date"), Q.unique("full_date"),
-                Q.not_null("year"),
-                Q.not_null("month"), Q.accepted_values("month", range(1, 13)),
-                Q.not_null("day_of_week"), Q.accepted_values("day_of_week", range(1, 8)),
-                Q.not_null("is_weekend"),
-            ]),
-            "dim_location": (g.dim_location, [
-                Q.not_null("location_sk"), Q.unique("location_sk"),
-                Q.accepted_values("borough", BOROUGHS, where="borough is not null"),
-                Q.not_null("borough_label"),
-            ]),
-            "dim_vehicle": (g.dim_vehicle, [
-                Q.not_null("vehicle_sk"), Q.unique("vehicle_sk"),
-                Q.not_null("primary_vehicle_type"),
-                Q.not_null("vehicles_involved_count"),
-                Q.accepted_values("vehicles_involved_count", range(0, 6)),
-            ]),
-            "fact_collisions": (g.fact, [
-                Q.not_null("collision_sk"), Q.unique("collision_sk"),
-                Q.not_null("collision_id"), Q.unique("collision_id"),
-                Q.relationships("date_sk", g.dim_date, "date_id", where="date_sk is not null"),
-                Q.relationships("location_sk", g.dim_location, "location_sk"),
-                Q.relationships("vehicle_sk", g.dim_vehicle, "vehicle_sk"),
-                Q.not_null("crash_date"),
-                Q.not_null("total_injuries"), Q.expression_is_true("total_injuries", ">= 0"),
-                Q.not_null("total_fatalities"), Q.expression_is_true("total_fatalities", ">= 0"),
-                Q.not_null("has_injuries"), Q.not_null("has_fatalities"),
-            ]),
-            "monthly_collision_metrics": (g.monthly, [
-                Q.not_null("year"), Q.not_null("month"),
-                Q.not_null("total_collisions"), Q.expression_is_true("total_collisions", "> 0"),
-                Q.not_null("total_injuries"), Q.not_null("total_fatalities"),
-            ]),
-            "borough_collision_metrics": (g.borough, [
-                Q.not_null("borough"), Q.unique("borough"),
-                Q.not_null("total_collisions"), Q.expression_is_true("total_collisions", "> 0"),
-                Q.not_null("injury_rate_per_100"), Q.not_null("fatality_rate_per_100"),
-            ]),
-        }
+        """The 53 reference data tests (:data:`REFERENCE_TESTS`) as ``{table: (df, [checks])}``."""
+        return build_suite(self.tables(), REFERENCE_TESTS)
+
+
+def build_suite(tables: dict[str, DataFrame], tests) -> dict:
+    """``[(table, kind, column, options)]`` -> ``{table: (df, [Check])}``."""
+    suite: dict = {}
+    for table, kind, column, opts in tests:
+        where = opts.get("where")
+        if kind == "not_null":
+            c = Q.not_null(column, where)
+        elif kind == "unique":
+            c = Q.unique(column, where)
+        elif kind == "accepted_values":
+            c = Q.accepted_values(column, opts["values"], where)
+        elif kind == "expression_is_true":
+            c = Q.expression_is_true(column, opts["expression"], where)
+        elif kind == "relationships":
+            parent, parent_col = opts["to"]
+            c = Q.relationships(column, tables[parent], parent_col, where)
+        else:
+            raise ValueError(kind)
+        suite.setdefault(table, (tables[table], []))[1].append(c)
+    return suite
+
+
+# --- fixed values: the reference's declarative data tests (53) ---------------------------
+_NN, _UQ, _AV, _EX, _RL = "not_null", "unique", "accepted_values", "expression_is_true", "relationships"
+_BOROUGH_OK = {"values": BOROUGHS, "where": "borough is not null"}
+REFERENCE_TESTS = [
+    ("stg_collisions", _NN, "collision_id", {}),
+    ("stg_collisions", _UQ, "collision_id", {}),
+    ("stg_collisions", _NN, "crash_date", {}),
+    ("stg_collisions", _AV, "borough", _BOROUGH_OK),
+    ("stg_collisions", _NN, "total_injuries", {}),
+    ("stg_collisions", _EX, "total_injuries", {"expression": ">= 0"}),
+    ("stg_collisions", _NN, "total_fatalities", {}),
+    ("stg_collisions", _EX, "total_fatalities", {"expression": ">= 0"}),
+    ("dim_date", _NN, "date_id", {}),
+    ("dim_date", _UQ, "date_id", {}),
+    ("dim_date", _NN, "full_date", {}),
+    ("dim_date", _UQ, "full_date", {}),
+    ("dim_date", _NN, "year", {}),
+    ("dim_date", _NN, "month", {}),
+    ("dim_date", _AV, "month", {"values": list(range(1, 13))}),
+    ("dim_date", _NN, "day_of_week", {}),
+    ("dim_date", _AV, "day_of_week", {"values": list(range(1, 8))}),
+    ("dim_date", _NN, "is_weekend", {}),
+    ("dim_location", _NN, "location_sk", {}),
+    ("dim_location", _UQ, "location_sk", {}),
+    ("dim_location", _AV, "borough", _BOROUGH_OK),
+    ("dim_location", _NN, "borough_label", {}),
+    ("dim_vehicle", _NN, "vehicle_sk", {}),
+    ("dim_vehicle", _UQ, "vehicle_sk", {}),
+    ("dim_vehicle", _NN, "primary_vehicle_type", {}),
+    ("dim_vehicle", _NN, "vehicles_involved_count", {}),
+    ("dim_vehicle", _AV, "vehicles_involved_count", {"values": list(range(0, 6))}),
+    ("fact_collisions", _NN, "collision_sk", {}),
+    ("fact_collisions", _UQ, "collision_sk", {}),
+    ("fact_collisions", _NN, "collision_id", {}),
+    ("fact_collisions", _UQ, "collision_id", {}),
+    ("fact_collisions", _RL, "date_sk", {"to": ("dim_date", "date_id"), "where": "date_sk is not null"}),
+    ("fact_collisions", _RL, "location_sk", {"to": ("dim_location", "location_sk")}),
+    ("fact_collisions", _RL, "vehicle_sk", {"to": ("dim_vehicle", "vehicle_sk")}),
+    ("fact_collisions", _NN, "crash_date", {}),
+    ("fact_collisions", _NN, "total_injuries", {}),
+    ("fact_collisions", _EX, "total_injuries", {"expression": ">= 0"}),
+    ("fact_collisions", _NN, "total_fatalities", {}),
+    ("fact_collisions", _EX, "total_fatalities", {"expression": ">= 0"}),
+    ("fact_collisions", _NN, "has_injuries", {}),
+    ("fact_collisions", _NN, "has_fatalities", {}),
+    ("monthly_collision_metrics", _NN, "year", {}),
+    ("monthly_collision_metrics", _NN, "month", {}),
+    ("monthly_collision_metrics", _NN, "total_collisions", {}),
+    ("monthly_collision_metrics", _EX, "total_collisions", {"expression": "> 0"}),
+    ("monthly_collision_metrics", _NN, "total_injuries", {}),
+    ("monthly_collision_metrics", _NN, "total_fatalities", {}),
+    ("borough_collision_metrics", _NN, "borough", {}),
+    ("borough_collision_metrics", _UQ, "borough", {}),
+    ("borough_collision_metrics", _NN, "total_collisions", {}),
+    ("borough_collision_metrics", _EX, "total_collisions", {"expression": "> 0"}),
+    ("borough_collision_metrics", _NN, "injury_rate_per_100", {}),
+    ("borough_collision_metrics", _NN, "fatality_rate_per_100", {}),
+]
+# -----------------------------------------------------------------------------------------

@@ -41,21 +41,23 @@ def read_raw(spark: SparkSession, path: str, columns=RAW_COLUMNS) -> DataFrame:
     return spark.read.schema(string_schema(columns)).json(path)
 
 
-def read_merged(spark: SparkSession, path: str, columns=RAW_COLUMNS,
-                extra_col: str = EXTRA_COL) -> DataFrame:
-    """Schema-merging load (L7): known columns as STRING plus a ``map<string,string>`` of
-    every other key, so files with missing or new fields load side by side.
-
-    Each line is parsed once (``from_json`` to a string map); nested values stay JSON text.
-    A line that is not JSON gives a NULL map and all-NULL columns (it survives to the id
-    filter instead of failing the load).
-    """
+def parse_records(lines: DataFrame, columns=RAW_COLUMNS, extra_col: str = EXTRA_COL) -> DataFrame:
+    """JSON text lines (``value``) -> known columns as STRING + a ``map<string,string>`` of
+    every other key (L6, L7). Each line is parsed once; nested values stay JSON text. A line
+    that is not JSON gives a NULL map and all-NULL columns (it survives to the id filter
+    instead of failing the load)."""
     m = F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType()))
     known = F.array(*[F.lit(c) for c in columns])
-    return (spark.read.text(path)
-            .select(m.alias("_m"))
-            .select(*[F.col("_m")[c].alias(c) for c in columns],
-                    F.map_filter("_m", lambda k, v: ~F.array_contains(known, k)).alias(extra_col)))
+    return lines.select(m.alias("_m")).select(
+        *[F.col("_m")[c].alias(c) for c in columns],
+        F.map_filter("_m", lambda k, v: ~F.array_contains(known, k)).alias(extra_col))
+
+
+def read_merged(spark: SparkSession, path: str, columns=RAW_COLUMNS,
+                extra_col: str = EXTRA_COL) -> DataFrame:
+    """Schema-merging load (L7): files with missing or new fields load side by side; unknown
+    keys wait in ``_extra`` until :func:`promote_extra` turns them into columns."""
+    return parse_records(spark.read.option("pathGlobFilter", "*.json").text(path), columns, extra_col)
 
 
 def promote_extra(df: DataFrame, keys, extra_col: str = EXTRA_COL) -> DataFrame:
