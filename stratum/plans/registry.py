@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators import checks as Q
 from stratum.operators.checks import check_counts, failing_rows
-from stratum.operators.clean import clean, spec
+from stratum.operators.clean import clean, spec, valid_rows
 from stratum.operators.dimension import calendar
 from stratum.plans import collisions as C
 from stratum.plans.staged_run import staged_run
@@ -57,8 +57,8 @@ def silver_df(spark, sf_dir) -> DataFrame:
     return C.silver(feed(spark, sf_dir), wall_clock=False)
 
 
-def gold(spark, sf_dir) -> C.Gold:
-    return C.Gold(spark, C.staging(silver_df(spark, sf_dir)))
+def gold(spark, sf_dir, materialize: bool = False) -> C.Gold:
+    return C.Gold(spark, C.staging(silver_df(spark, sf_dir)), materialize=materialize)
 
 
 # --- L1-L15: sources, sinks, incremental load ------------------------------------------------
@@ -167,7 +167,6 @@ def q_null_sentinels(spark, sf):
 
 
 def q_valid_rows(spark, sf):
-    from stratum.operators.clean import valid_rows
     return (valid_rows(C.typed(feed(spark, sf)), "collision_id", "crash_date")
             .select("collision_id", "crash_date", INGESTION_TS, C.FINGERPRINT))
 
@@ -179,7 +178,6 @@ def q_totals_flags(spark, sf):
 
 
 def q_dedupe_latest(spark, sf):
-    from stratum.operators.clean import valid_rows
     valid = valid_rows(C.typed(feed(spark, sf)), "collision_id", "crash_date")
     return C.latest_per_id(valid).select("collision_id", "crash_date", INGESTION_TS, C.FINGERPRINT)
 
@@ -243,7 +241,7 @@ def _suite_counts(g: C.Gold, kinds) -> DataFrame:
 
 
 def _with_dirty(spark, sf, kinds, dirty_checks) -> DataFrame:
-    out = _suite_counts(gold(spark, sf), kinds)
+    out = _suite_counts(gold(spark, sf, materialize=True), kinds)
     return out.unionByName(check_counts(dirty_typed(spark, sf), dirty_checks, "raw_collisions"))
 
 
@@ -267,7 +265,7 @@ def q_check_expression(spark, sf):
 
 
 def q_check_relationships(spark, sf):
-    out = _suite_counts(gold(spark, sf), {"relationships"})
+    out = _suite_counts(gold(spark, sf, materialize=True), {"relationships"})
     li = table(spark, sf, "lineitem")
     return out.unionByName(check_counts(li, [
         Q.relationships("l_orderkey", table(spark, sf, "orders"), "o_orderkey"),
@@ -277,7 +275,7 @@ def q_check_relationships(spark, sf):
 
 
 def q_check_suite(spark, sf):
-    return _suite_counts(gold(spark, sf), {"not_null", "unique", "accepted_values",
+    return _suite_counts(gold(spark, sf, materialize=True), {"not_null", "unique", "accepted_values",
                                            "expression_is_true", "relationships"})
 
 

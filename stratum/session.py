@@ -31,10 +31,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # generated methods above HotSpot's 8000-byte JIT limit run interpreted: split them
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # tiny test data: keep a few parallel tasks after adaptive coalescing
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("STRATUM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

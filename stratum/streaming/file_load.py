@@ -33,7 +33,8 @@ def load_new_files(spark: SparkSession, landing_dir: str, bronze_path: str, chec
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = with_load_columns(parse_records(batch, columns), date_col, partition_col)
-        (rows.write.mode("overwrite").partitionBy(partition_col)
+        # one file per date per load (hot dates split by adaptive execution), not one per task
+        (rows.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col)
          .parquet(f"{bronze_path.rstrip('/')}/load_id={batch_id}"))
 
     q = (lines.writeStream.foreachBatch(write_batch)
