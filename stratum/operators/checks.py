@@ -46,25 +46,28 @@ def check_name(check: Check, table: str) -> str:
     return f"{check.kind}_{table}_{check.column}{suffix}"
 
 
-def not_null(column: str, where: str | None = None) -> Check:
-    return Check("not_null", column, where=where)
+def not_null(column: str, where: str | None = None, name: str | None = None) -> Check:
+    return Check("not_null", column, where=where, name=name)
 
 
-def unique(column: str, where: str | None = None) -> Check:
-    return Check("unique", column, where=where)
+def unique(column: str, where: str | None = None, name: str | None = None) -> Check:
+    return Check("unique", column, where=where, name=name)
 
 
-def accepted_values(column: str, values, where: str | None = None) -> Check:
-    return Check("accepted_values", column, values=tuple(values), where=where)
+def accepted_values(column: str, values, where: str | None = None,
+                    name: str | None = None) -> Check:
+    return Check("accepted_values", column, values=tuple(values), where=where, name=name)
 
 
-def expression_is_true(column: str, expression: str, where: str | None = None) -> Check:
-    return Check("expression_is_true", column, expression=expression, where=where)
+def expression_is_true(column: str, expression: str, where: str | None = None,
+                       name: str | None = None) -> Check:
+    return Check("expression_is_true", column, expression=expression, where=where, name=name)
 
 
 def relationships(column: str, parent: DataFrame, parent_column: str,
-                  where: str | None = None) -> Check:
-    return Check("relationships", column, where=where, parent=parent, parent_column=parent_column)
+                  where: str | None = None, name: str | None = None) -> Check:
+    return Check("relationships", column, where=where, parent=parent,
+                 parent_column=parent_column, name=name)
 
 
 ROW_LEVEL = ("not_null", "accepted_values", "expression_is_true")

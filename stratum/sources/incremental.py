@@ -123,3 +123,31 @@ def page_numbers(df: DataFrame, order: list[str], size: int = PAGE_SIZE,
     return (ranged.join(F.broadcast(offsets), "_part")
             .select(*df.columns, row_no)
             .select("*", F.floor((F.col("row_no") - 1) / size).cast("long").alias("page_no")))
+
+
+def ingest(source: DataFrame, ts_col: str, landing_dir: str, state_path: str, today,
+           batch_id: str, full_reload: bool = False, lookback_days: int = 0,
+           initial_days: int = INITIAL_LOAD_DAYS, land=None) -> dict:
+    """One incremental extraction run: window -> land the batch -> advance the mark.
+
+    The mark is written only after the batch landed, so a failed landing retries the same
+    window next run. An empty window writes no file and moves the mark to the window end.
+    Only the one-row mark aggregate reaches the driver.
+    """
+    from stratum.sources.landing import land_jsonl
+    land = land or land_jsonl
+    spark = source.sparkSession
+    mark = None if full_reload else read_mark(spark, state_path)
+    window = load_window(today, mark, initial_days=initial_days, lookback_days=lookback_days,
+                         full_reload=full_reload)
+    if window is None:
+        return {"status": "up_to_date", "mark": mark}
+    start, end = window
+    batch = incremental_window(source, ts_col, start, end)
+    stats = high_water_mark(batch, ts_col, end, old_mark=mark)
+    row = stats.first()
+    if row.batch_rows:
+        land(batch, landing_dir, batch_id)
+    write_mark(spark.createDataFrame([(row.new_mark,)], "new_mark date"), state_path)
+    return {"status": "landed" if row.batch_rows else "empty", "rows": row.batch_rows,
+            "window": (start, end), "mark": row.new_mark}

@@ -1,0 +1,122 @@
+"""Sources and sinks: landing, all-string reads, schema merge, file-level idempotent load,
+compaction, seed CSV, mark state and the incremental run."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratum.plans import collisions as C
+from stratum.sinks.tables import compact, file_count, write_table
+from stratum.sources.incremental import ingest, read_mark
+from stratum.sources.landing import flatten_nested, land_jsonl
+from stratum.sources.raw import RAW_COLUMNS, promote_extra, read_merged, read_raw, read_seed
+from stratum.streaming.file_load import load_new_files, read_bronze
+
+from conftest import SF0001
+
+
+def test_flatten_nested_to_compact_json(spark):
+    df = spark.createDataFrame([(1, ("a", None), [1, 2], {"k": "v"})],
+                               "id int, s struct<x:string,y:int>, a array<int>, m map<string,string>")
+    (r,) = flatten_nested(df).collect()
+    assert (r.id, r.s, r.a, r.m) == (1, '{"x":"a","y":null}', "[1,2]", '{"k":"v"}')
+
+
+def test_landing_roundtrip_keeps_text_and_nested_as_json(spark, tmp_path, raw_rows):
+    raw = raw_rows([{"collision_id": "1", "crash_time": " 3:05 ", "borough": "", "location": None}])
+    land_jsonl(raw.select(*RAW_COLUMNS), str(tmp_path), "1")
+    back = read_raw(spark, str(tmp_path)).select(*RAW_COLUMNS).first()
+    assert (back.collision_id, back.crash_time, back.borough, back.location) == ("1", " 3:05 ", "", None)
+    # a nested object under a declared STRING column comes back as its JSON text
+    (tmp_path / "nested").mkdir()
+    (tmp_path / "nested" / "x.json").write_text(json.dumps({"collision_id": "2", "location": {"a": 1}}) + "\n")
+    r = read_raw(spark, str(tmp_path / "nested")).first()
+    assert r.collision_id == "2" and json.loads(r.location) == {"a": 1}
+
+
+def test_relanding_a_batch_overwrites_it(spark, tmp_path):
+    df = spark.range(5).withColumnRenamed("id", "collision_id").select(F.col("collision_id").cast("string"))
+    land_jsonl(df, str(tmp_path), "b1")
+    land_jsonl(df, str(tmp_path), "b1")
+    assert read_raw(spark, str(tmp_path), ["collision_id"]).count() == 5
+
+
+def test_schema_merge_keeps_unknown_keys(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"collision_id": "1"}) + "\n")
+    (tmp_path / "b.json").write_text(json.dumps({"collision_id": "2", "new_field": 7, "obj": {"z": [1]}}) + "\nnot json\n")
+    m = read_merged(spark, str(tmp_path), ["collision_id"])
+    rows = {r.collision_id: r for r in promote_extra(m, ["new_field"]).collect()}
+    assert rows["1"].new_field is None and rows["2"].new_field == "7"
+    assert json.loads(rows["2"]._extra["obj"]) == {"z": [1]}
+    assert None in rows and rows[None]._extra is None     # a bad line survives as an all-NULL row
+
+
+def test_file_load_is_idempotent_per_file(spark, tmp_path, raw_rows):
+    landing, bronze, ckpt = str(tmp_path / "landing"), str(tmp_path / "bronze"), str(tmp_path / "ckpt")
+    one = raw_rows([{"collision_id": str(i), "crash_date": "2024-01-1%d" % i} for i in range(3)])
+    land_jsonl(one.select(*RAW_COLUMNS), landing, "1")
+    load_new_files(spark, landing, bronze, ckpt)
+    load_new_files(spark, landing, bronze, ckpt)
+    assert read_bronze(spark, bronze).count() == 3
+    two = raw_rows([{"collision_id": "9", "crash_date": "2024-02-01"}])
+    land_jsonl(two.select(*RAW_COLUMNS), landing, "2")
+    load_new_files(spark, landing, bronze, ckpt)
+    b = read_bronze(spark, bronze)
+    assert b.count() == 4
+    assert b.where("collision_id = '9'").first().crash_date_partition == dt.date(2024, 2, 1)
+    assert b.where("_ingestion_timestamp is null").count() == 0
+    assert {r.load_id for r in b.select("load_id").distinct().collect()} == {0, 1}
+
+
+def test_compaction_reduces_files_and_keeps_rows(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF0001}/events.parquet").withColumn("event_date", F.to_date("ts"))
+    ev.repartition(16).write.partitionBy("event_date").parquet(str(tmp_path / "src"))
+    before = file_count(spark, str(tmp_path / "src"))
+    out = compact(spark, str(tmp_path / "src"), str(tmp_path / "dst"), "event_date")
+    after = file_count(spark, str(tmp_path / "dst"))
+    assert after < before and after <= ev.select("event_date").distinct().count()
+    assert out.count() == ev.count()
+    assert out.exceptAll(ev.select(*out.columns)).count() == 0
+
+
+def test_write_table_partitioned_and_catalog(spark, tmp_path):
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))], "id int, d date")
+    write_table(df, path=str(tmp_path / "t"), partition_by="d")
+    assert {"d=2024-01-01", "d=2024-01-02"} <= set(os.listdir(tmp_path / "t"))
+    write_table(df, table="t_ext", path=str(tmp_path / "ext"), partition_by="d")
+    assert spark.table("t_ext").count() == 2
+    with pytest.raises(ValueError):
+        write_table(df)
+
+
+def test_seed_csv(spark, tmp_path):
+    rows = "\n".join(",".join(r) for r in C.BOROUGH_LOOKUP)
+    (tmp_path / "borough_lookup.csv").write_text("borough_code,borough_name,borough_short\n" + rows + "\n")
+    seed = read_seed(spark, str(tmp_path / "borough_lookup.csv"), C.BOROUGH_LOOKUP_COLUMNS)
+    assert seed.count() == 6 and seed.where("borough_code = 'Unknown'").first().borough_short == "N/A"
+
+
+def test_ingest_runs_and_mark_only_after_landing(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF0001}/events.parquet")
+    state, landing = str(tmp_path / "state"), str(tmp_path / "landing")
+    assert read_mark(spark, state) is None
+    r1 = ingest(ev, "ts", landing, state, today="2024-01-20", batch_id="1")
+    expect = ev.where("ts <= timestamp_ntz'2024-01-19 23:59:59'").count()
+    assert r1["status"] == "landed" and r1["rows"] == expect
+    assert read_mark(spark, state) == r1["mark"] <= dt.date(2024, 1, 19)
+
+    def broken(*_):
+        raise OSError("upload failed")
+    with pytest.raises(OSError):
+        ingest(ev, "ts", landing, state, today="2024-01-26", batch_id="2", land=broken)
+    assert read_mark(spark, state) == r1["mark"]          # failed landing: mark untouched
+    r2 = ingest(ev, "ts", landing, state, today="2024-01-26", batch_id="2")
+    assert r2["window"][0] == dt.datetime.combine(r1["mark"], dt.time())
+    assert read_mark(spark, state) == r2["mark"]
+    r3 = ingest(ev, "ts", landing, state, today="2024-03-01", batch_id="3")
+    if r3["status"] == "empty":
+        assert r3["mark"] == dt.date(2024, 2, 29)
+    assert ingest(ev, "ts", landing, state, today=r3["mark"], batch_id="4")["status"] == "up_to_date"
