@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratum.operators.checks import run_checks
 from stratum.plans import collisions as C
-from stratum.sinks.tables import publish_view, write_table
+from stratum.sinks.tables import publish_table, publish_view, write_table
 from stratum.sources.landing import land_jsonl
 from stratum.sources.raw import RAW_COLUMNS
 from stratum.streaming.file_load import load_new_files, read_bronze
@@ -34,7 +34,10 @@ class RunPaths:
 
 
 def staged_run(spark: SparkSession, feed: DataFrame, base: str, batch_id: str,
-               raise_on_failure: bool = True) -> RunPaths:
+               raise_on_failure: bool = True, publish_prefix: str | None = None) -> RunPaths:
+    """Run every stage; with ``publish_prefix`` the gold tables are published as catalog
+    tables ``<prefix><name>`` only after all checks passed (write-audit-publish). Without it
+    the folders are the published tables, as in the reference (build, then test)."""
     p = RunPaths(base)
     # 1. land the extracted records as one JSON-lines batch
     land_jsonl(feed.select(*RAW_COLUMNS), p.landing, batch_id)
@@ -61,4 +64,8 @@ def staged_run(spark: SparkSession, feed: DataFrame, base: str, batch_id: str,
     tables = {"stg_collisions": stg, **{n: spark.read.parquet(getattr(p, n)) for n in GOLD_TABLES}}
     run_checks(C.build_suite(tables, C.REFERENCE_TESTS), audit_path=p.audit,
                raise_on_failure=raise_on_failure)
+    # 7. publish: repoint catalog tables at the checked folders
+    if publish_prefix is not None:
+        for name in GOLD_TABLES:
+            publish_table(spark, f"{publish_prefix}{name}", getattr(p, name))
     return p

@@ -47,3 +47,18 @@ def compact(spark: SparkSession, src: str, dst: str, partition_col: str) -> Data
 def file_count(spark: SparkSession, path: str) -> int:
     """Number of data files behind a parquet table (one small row per file)."""
     return spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+
+
+def publish_table(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
+    """Point catalog table ``name`` at a fully written parquet folder (create or repoint).
+
+    Readers switch from the old folder to the new one in a single catalog update; the old
+    folder stays intact (useful after :func:`compact` or a rebuilt table).
+    """
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    if partitioned:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)

@@ -120,3 +120,36 @@ def test_ingest_runs_and_mark_only_after_landing(spark, tmp_path):
     if r3["status"] == "empty":
         assert r3["mark"] == dt.date(2024, 2, 29)
     assert ingest(ev, "ts", landing, state, today=r3["mark"], batch_id="4")["status"] == "up_to_date"
+
+
+def test_publish_table_repoints(spark, tmp_path):
+    from stratum.sinks.tables import publish_table
+    spark.range(3).write.parquet(str(tmp_path / "v1"))
+    spark.range(5).write.parquet(str(tmp_path / "v2"))
+    publish_table(spark, "pub_t", str(tmp_path / "v1"))
+    assert spark.table("pub_t").count() == 3
+    publish_table(spark, "pub_t", str(tmp_path / "v2"))
+    assert spark.table("pub_t").count() == 5
+    assert spark.read.parquet(str(tmp_path / "v1")).count() == 3
+
+
+def test_staged_run_publishes_only_checked_gold(spark, tmp_path, raw_rows):
+    from stratum.operators.checks import ChecksFailed
+    from stratum.plans.staged_run import staged_run
+    good = raw_rows([{"collision_id": str(i), "crash_date": "2024-01-0%d" % (1 + i % 3),
+                      "borough": "queens", "number_of_persons_injured": "1"} for i in range(6)])
+    p = staged_run(spark, good, str(tmp_path / "run1"), "1", publish_prefix="wap_")
+    assert spark.table("wap_borough_collision_metrics").first().total_collisions == 6
+    assert spark.table("wap_fact_collisions").count() == 6
+    # a rerun lands the batch again under new part-file names: bronze loads them as new files
+    # and silver's keep-latest absorbs the repeats
+    staged_run(spark, good, p.base, "1", publish_prefix="wap_")
+    assert spark.read.parquet(p.bronze).count() == 12
+    assert spark.table("wap_fact_collisions").count() == 6
+    # a borough outside the accepted list fails the checks: nothing new is published
+    bad = raw_rows([{"collision_id": "x1", "crash_date": "2024-01-05", "borough": "atlantis"}])
+    with pytest.raises(ChecksFailed):
+        staged_run(spark, bad, str(tmp_path / "run2"), "1", publish_prefix="wap_")
+    assert spark.table("wap_fact_collisions").count() == 6
+    assert spark.read.parquet(str(tmp_path / "run2" / "audit" /
+                                  "accepted_values_stg_collisions_borough")).count() == 1
