@@ -17,6 +17,9 @@ INITIAL_LOAD_DAYS = 365   # first run / full reload reaches back one year
 PAGE_SIZE = 50_000        # rows per page
 # -------------------------------------------------------------------------------------------
 
+# Deepest page (offset + size, in rows) served by a top-K; deeper pages use page_numbers.
+TOP_K_MAX_ROWS = 1_000_000
+
 
 def _midnight(d) -> dt.datetime:
     if isinstance(d, dt.datetime):
@@ -92,11 +95,17 @@ def read_mark(spark: SparkSession, path: str):
     return dt.date.fromisoformat(row.last_crash_date)
 
 
-def page(df: DataFrame, order: list, size: int = PAGE_SIZE, n: int = 0) -> DataFrame:
-    """Page ``n`` (0-based) of ``size`` rows in ``order``. Plans as a top-K
-    (``TakeOrderedAndProject``): right for one shallow page; use :func:`page_numbers` to
-    label every row of a large table."""
-    return df.orderBy(*order).offset(n * size).limit(size)
+def page(df: DataFrame, order: list, size: int = PAGE_SIZE, n: int = 0,
+         top_k_max_rows: int = TOP_K_MAX_ROWS) -> DataFrame:
+    """Page ``n`` (0-based) of ``size`` rows in ``order``.
+
+    A shallow page plans as a top-K (``TakeOrderedAndProject``: every task keeps only
+    ``offset + size`` rows). A deep page would make each task hold millions of rows, so it
+    is served from :func:`page_numbers` (range partitioning, no single-task step) instead.
+    """
+    if (n + 1) * size <= top_k_max_rows:
+        return df.orderBy(*order).offset(n * size).limit(size)
+    return page_numbers(df, order, size).where(F.col("page_no") == n).drop("row_no", "page_no")
 
 
 def page_numbers(df: DataFrame, order: list[str], size: int = PAGE_SIZE,

@@ -153,3 +153,15 @@ def test_staged_run_publishes_only_checked_gold(spark, tmp_path, raw_rows):
     assert spark.table("wap_fact_collisions").count() == 6
     assert spark.read.parquet(str(tmp_path / "run2" / "audit" /
                                   "accepted_values_stg_collisions_borough")).count() == 1
+
+
+def test_create_schema_and_managed_table(spark):
+    from stratum.sinks.tables import create_schema
+    create_schema(spark, "bronze_t")
+    create_schema(spark, "bronze_t")          # idempotent
+    df = spark.createDataFrame([(1, "2024-01-01")], "id int, crash_date string")
+    write_table(df.selectExpr("id", "cast(crash_date as date) as crash_date_partition"),
+                table="bronze_t.raw", partition_by="crash_date_partition")
+    write_table(df.selectExpr("id", "cast(crash_date as date) as crash_date_partition"),
+                table="bronze_t.raw", partition_by="crash_date_partition")   # full refresh
+    assert spark.table("bronze_t.raw").count() == 1

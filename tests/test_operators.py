@@ -85,6 +85,10 @@ def test_page_numbers_split_a_hot_day(spark):
 def test_ordered_page(spark):
     df = spark.range(0, 25).withColumn("g", F.lit(1))
     assert [r.id for r in page(df, ["id"], size=10, n=2).collect()] == list(range(20, 25))
+    # a deep page takes the distributed path and returns the same rows
+    deep = page(df, ["id"], size=10, n=1, top_k_max_rows=5)
+    assert deep.columns == ["id", "g"]
+    assert sorted(r.id for r in deep.collect()) == list(range(10, 20))
 
 
 # --- G1 / P19 / P22 -----------------------------------------------------------------------------
