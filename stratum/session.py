@@ -53,7 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster must name a shared folder in ``spark.checkpoint.dir``; a machine-local
     temporary folder would vanish with the executor that wrote it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -71,4 +74,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for one run of ``name``."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for scratch data")
     return f"{base}/stratum-scratch/{name}-{uuid.uuid4().hex[:12]}"
