@@ -77,3 +77,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for scratch data")
     return f"{base}/stratum-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, partition_bytes: int = 512 * 1024 ** 2,
+                 scan_split_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Session settings for a cluster run over ``input_bytes`` of input.
+
+    The initial shuffle partition count is sized so the widest shuffle (the silver dedupe
+    moves roughly the whole input) gets about ``partition_bytes`` per partition before
+    compression; adaptive execution then coalesces small partitions, splits skewed ones and
+    picks broadcast joins from measured sizes. E.g. 100 TB -> 204,800 partitions of 512 MB.
+    """
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+        "spark.sql.session.timeZone": "UTC",
+    }

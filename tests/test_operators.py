@@ -188,3 +188,11 @@ def test_row_level_checks_share_one_aggregate(spark):
     checks = [Q.not_null("id"), Q.expression_is_true("v", ">= 0"), Q.accepted_values("id", [1, 2])]
     plan = Q.check_counts(df, checks, "t")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ") <= 1 or plan.count("Range") == 1
+
+
+def test_cluster_conf_sizes_partitions():
+    from stratum.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4)
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (512 * 1024 ** 2))
+    assert cluster_conf(1)["spark.sql.shuffle.partitions"] == "200"
+    assert conf["spark.sql.codegen.hugeMethodLimit"] == "8000"
