@@ -33,22 +33,16 @@ class RunPaths:
         return f"{self.base.rstrip('/')}/{name}"
 
 
-def staged_run(spark: SparkSession, feed: DataFrame, base: str, batch_id: str,
-               raise_on_failure: bool = True, publish_prefix: str | None = None) -> RunPaths:
-    """Run every stage; with ``publish_prefix`` the gold tables are published as catalog
-    tables ``<prefix><name>`` only after all checks passed (write-audit-publish). Without it
-    the folders are the published tables, as in the reference (build, then test)."""
-    p = RunPaths(base)
-    # 1. land the extracted records as one JSON-lines batch
-    land_jsonl(feed.select(*RAW_COLUMNS), p.landing, batch_id)
-    # 2. bronze: load files not loaded before (file-level idempotent)
-    load_new_files(spark, p.landing, p.bronze, p.bronze_checkpoint)
-    # 3. silver: full rebuild from bronze, partitioned by crash date
+def build(spark: SparkSession, p: RunPaths, raise_on_failure: bool = True,
+          publish_prefix: str | None = None) -> RunPaths:
+    """Bronze (already loaded under ``p.bronze``) -> silver -> staging -> gold -> checks
+    [-> publish]."""
+    # silver: full rebuild from bronze, partitioned by crash date
     write_table(C.silver(read_bronze(spark, p.bronze)), path=p.silver,
                 partition_by="crash_date_partition")
-    # 4. staging view over the stored silver table
+    # staging view over the stored silver table
     stg = publish_view(C.staging(spark.read.parquet(p.silver)), "stg_collisions")
-    # 5. gold tables, each a full refresh
+    # gold tables, each a full refresh
     gold = C.Gold(spark, stg)
     built = {"dim_date": gold.dim_date, "dim_location": gold.dim_location,
              "dim_vehicle": gold.dim_vehicle}
@@ -60,12 +54,26 @@ def staged_run(spark: SparkSession, feed: DataFrame, base: str, batch_id: str,
     fact_t = spark.read.parquet(p.fact_collisions)
     write_table(C.monthly_metrics(fact_t, dims["dim_date"]), path=p.monthly_collision_metrics)
     write_table(C.borough_metrics(fact_t, dims["dim_location"]), path=p.borough_collision_metrics)
-    # 6. data tests on what was published; failing rows kept under audit/
+    # data tests on what was built; failing rows kept under audit/
     tables = {"stg_collisions": stg, **{n: spark.read.parquet(getattr(p, n)) for n in GOLD_TABLES}}
     run_checks(C.build_suite(tables, C.REFERENCE_TESTS), audit_path=p.audit,
                raise_on_failure=raise_on_failure)
-    # 7. publish: repoint catalog tables at the checked folders
+    # publish: repoint catalog tables at the checked folders
     if publish_prefix is not None:
         for name in GOLD_TABLES:
             publish_table(spark, f"{publish_prefix}{name}", getattr(p, name))
     return p
+
+
+def staged_run(spark: SparkSession, feed: DataFrame, base: str, batch_id: str,
+               raise_on_failure: bool = True, publish_prefix: str | None = None) -> RunPaths:
+    """Run every stage; with ``publish_prefix`` the gold tables are published as catalog
+    tables ``<prefix><name>`` only after all checks passed (write-audit-publish). Without it
+    the folders are the published tables, as in the reference (build, then test)."""
+    p = RunPaths(base)
+    # 1. land the extracted records as one JSON-lines batch
+    land_jsonl(feed.select(*RAW_COLUMNS), p.landing, batch_id)
+    # 2. bronze: load files not loaded before (file-level idempotent)
+    load_new_files(spark, p.landing, p.bronze, p.bronze_checkpoint)
+    # 3-7. silver, staging, gold, checks, publish
+    return build(spark, p, raise_on_failure, publish_prefix)
