@@ -98,4 +98,7 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 512 * 1024 ** 2,
         "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
         "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.session.timeZone": "UTC",
+        # the dedupe shuffle moves about the whole input: trade CPU for network and disk
+        "spark.io.compression.codec": "zstd",
+        "spark.sql.parquet.compression.codec": "zstd",
     }
