@@ -196,3 +196,14 @@ def test_cluster_conf_sizes_partitions():
     assert conf["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (512 * 1024 ** 2))
     assert cluster_conf(1)["spark.sql.shuffle.partitions"] == "200"
     assert conf["spark.sql.codegen.hugeMethodLimit"] == "8000"
+
+
+def test_relationship_failing_rows_are_the_orphans(spark, tmp_path):
+    child = spark.createDataFrame([(1, "a"), (3, "b"), (3, "c"), (None, "d"), (4, "e")], "fk int, x string")
+    parent = spark.createDataFrame([(1,), (2,)], "pk int")
+    check = Q.relationships("fk", parent, "pk")
+    rows = sorted((r.fk, r.x) for r in Q.failing_rows(child, check).collect())
+    assert rows == [(3, "b"), (3, "c"), (4, "e")]
+    with pytest.raises(Q.ChecksFailed):
+        Q.run_checks({"child": (child, [check])}, audit_path=str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "relationships_child_fk")).count() == 3
