@@ -65,6 +65,16 @@ def promote_extra(df: DataFrame, keys, extra_col: str = EXTRA_COL) -> DataFrame:
     return df.select("*", *[F.col(extra_col)[k].alias(k) for k in keys])
 
 
+def promote_all_extra(df: DataFrame, extra_col: str = EXTRA_COL) -> DataFrame:
+    """Promote every key seen in ``_extra`` (like a merge-schema load adding new fields).
+
+    Discovering the keys is one distinct aggregate over the map keys; only the key names
+    (bounded by the schema width, not by the row count) reach the driver.
+    """
+    keys = sorted(r[0] for r in df.select(F.explode(F.map_keys(extra_col))).distinct().collect())
+    return promote_extra(df, [k for k in keys if k not in df.columns], extra_col)
+
+
 def with_load_columns(df: DataFrame, date_col: str = "crash_date",
                       partition_col: str = "crash_date_partition",
                       ts_col: str = INGESTION_TS) -> DataFrame:

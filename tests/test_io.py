@@ -35,6 +35,11 @@ def test_landing_roundtrip_keeps_text_and_nested_as_json(spark, tmp_path, raw_ro
     (tmp_path / "nested" / "x.json").write_text(json.dumps({"collision_id": "2", "location": {"a": 1}}) + "\n")
     r = read_raw(spark, str(tmp_path / "nested")).first()
     assert r.collision_id == "2" and json.loads(r.location) == {"a": 1}
+    # numbers under declared STRING columns come back as their JSON text
+    (tmp_path / "nums").mkdir()
+    (tmp_path / "nums" / "x.json").write_text(json.dumps({"collision_id": 5, "latitude": 40.5}) + "\n")
+    r = read_raw(spark, str(tmp_path / "nums")).first()
+    assert (r.collision_id, r.latitude) == ("5", "40.5")
 
 
 def test_relanding_a_batch_overwrites_it(spark, tmp_path):
@@ -48,6 +53,8 @@ def test_schema_merge_keeps_unknown_keys(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"collision_id": "1"}) + "\n")
     (tmp_path / "b.json").write_text(json.dumps({"collision_id": "2", "new_field": 7, "obj": {"z": [1]}}) + "\nnot json\n")
     m = read_merged(spark, str(tmp_path), ["collision_id"])
+    from stratum.sources.raw import promote_all_extra
+    assert promote_all_extra(m).columns == ["collision_id", "_extra", "new_field", "obj"]
     rows = {r.collision_id: r for r in promote_extra(m, ["new_field"]).collect()}
     assert rows["1"].new_field is None and rows["2"].new_field == "7"
     assert json.loads(rows["2"]._extra["obj"]) == {"z": [1]}
