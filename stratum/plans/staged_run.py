@@ -60,6 +60,8 @@ def build(spark: SparkSession, p: RunPaths, raise_on_failure: bool = True,
                raise_on_failure=raise_on_failure)
     # publish: repoint catalog tables at the checked folders
     if publish_prefix is not None:
+        publish_table(spark, f"{publish_prefix}collisions_raw", p.bronze)
+        publish_table(spark, f"{publish_prefix}collisions_clean", p.silver)
         for name in GOLD_TABLES:
             publish_table(spark, f"{publish_prefix}{name}", getattr(p, name))
     return p

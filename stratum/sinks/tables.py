@@ -49,16 +49,24 @@ def file_count(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).select(F.input_file_name()).distinct().count()
 
 
-def publish_table(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
+def publish_table(spark: SparkSession, name: str, path: str) -> None:
     """Point catalog table ``name`` at a fully written parquet folder (create or repoint).
 
-    Readers switch from the old folder to the new one in a single catalog update; the old
-    folder stays intact (useful after :func:`compact` or a rebuilt table).
+    Unpartitioned: one ``SET LOCATION`` catalog update, readers switch at once. Partitioned
+    (detected from the folder layout): the external table is recreated over the new folder
+    and its partitions registered (no data is deleted; readers may see the table missing for
+    the moment between the two catalog calls). The old folder always stays intact.
     """
+    def partition_columns() -> list[str]:
+        return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
     if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-    else:
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-    if partitioned:
+        if not partition_columns():
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")          # external table: files are kept
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    if partition_columns():
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     spark.catalog.refreshTable(name)

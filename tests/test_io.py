@@ -138,6 +138,15 @@ def test_publish_table_repoints(spark, tmp_path):
     publish_table(spark, "pub_t", str(tmp_path / "v2"))
     assert spark.table("pub_t").count() == 5
     assert spark.read.parquet(str(tmp_path / "v1")).count() == 3
+    # partitioned folders: partitions are registered; a partition absent from v2 disappears
+    d = spark.range(4).selectExpr("id", "cast(id % 2 as int) as p")
+    d.write.partitionBy("p").parquet(str(tmp_path / "p1"))
+    d.where("p = 0").write.partitionBy("p").parquet(str(tmp_path / "p2"))
+    publish_table(spark, "pub_p", str(tmp_path / "p1"))
+    assert spark.table("pub_p").count() == 4
+    publish_table(spark, "pub_p", str(tmp_path / "p2"))
+    assert spark.table("pub_p").count() == 2 and spark.table("pub_p").where("p = 1").count() == 0
+    assert spark.read.parquet(str(tmp_path / "p1")).count() == 4
 
 
 def test_staged_run_publishes_only_checked_gold(spark, tmp_path, raw_rows):
@@ -148,6 +157,8 @@ def test_staged_run_publishes_only_checked_gold(spark, tmp_path, raw_rows):
     p = staged_run(spark, good, str(tmp_path / "run1"), "1", publish_prefix="wap_")
     assert spark.table("wap_borough_collision_metrics").first().total_collisions == 6
     assert spark.table("wap_fact_collisions").count() == 6
+    assert spark.table("wap_collisions_clean").count() == 6
+    assert spark.table("wap_collisions_raw").count() == 6
     # a rerun lands the batch again under new part-file names: bronze loads them as new files
     # and silver's keep-latest absorbs the repeats
     staged_run(spark, good, p.base, "1", publish_prefix="wap_")
