@@ -1 +1,27 @@
+from stratum.sources.incremental import (
+    high_water_mark,
+    incremental_window,
+    ingest,
+    load_window,
+    page,
+    page_numbers,
+    read_mark,
+    write_mark,
+)
+from stratum.sources.landing import flatten_nested, land_jsonl
+from stratum.sources.raw import (
+    parse_records,
+    promote_all_extra,
+    promote_extra,
+    read_merged,
+    read_raw,
+    read_seed,
+    with_load_columns,
+)
 
+__all__ = [
+    "high_water_mark", "incremental_window", "ingest", "load_window", "page", "page_numbers",
+    "read_mark", "write_mark", "flatten_nested", "land_jsonl", "parse_records",
+    "promote_all_extra", "promote_extra", "read_merged", "read_raw", "read_seed",
+    "with_load_columns",
+]

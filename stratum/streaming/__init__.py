@@ -1 +1,3 @@
+from stratum.streaming.file_load import load_new_files, read_bronze
 
+__all__ = ["load_new_files", "read_bronze"]
