@@ -33,6 +33,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # generated methods above HotSpot's 8000-byte JIT limit run interpreted: split them
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # local disk: list thousands of small partition folders with a few tasks, not one each
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * parts))
         # tiny test data: keep a few parallel tasks after adaptive coalescing
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
