@@ -100,9 +100,14 @@ def typed(raw: DataFrame) -> DataFrame:
     ])
 
 
-def with_totals(df: DataFrame) -> DataFrame:
-    """NULL-safe totals and their flags."""
-    ti, tf = null_safe_sum(INJURY_COLUMNS), null_safe_sum(FATALITY_COLUMNS)
+def with_totals(df: DataFrame, injury_columns=tuple(INJURY_COLUMNS),
+                fatality_columns=tuple(FATALITY_COLUMNS)) -> DataFrame:
+    """NULL-safe totals and their flags.
+
+    By default persons + pedestrians + cyclists + motorists are added, as the reference does;
+    pass narrower lists if "persons" already includes the other categories in a feed.
+    """
+    ti, tf = null_safe_sum(injury_columns), null_safe_sum(fatality_columns)
     return df.select("*", ti.alias("total_injuries"), tf.alias("total_fatalities")).select(
         "*", (F.col("total_injuries") > 0).alias("has_injuries"),
         (F.col("total_fatalities") > 0).alias("has_fatalities"))
@@ -115,9 +120,11 @@ def latest_per_id(df: DataFrame) -> DataFrame:
                          [F.col(INGESTION_TS).desc_nulls_last(), F.col(FINGERPRINT).desc()])
 
 
-def silver(raw: DataFrame, wall_clock: bool = True) -> DataFrame:
+def silver(raw: DataFrame, wall_clock: bool = True, injury_columns=tuple(INJURY_COLUMNS),
+           fatality_columns=tuple(FATALITY_COLUMNS)) -> DataFrame:
     """Typed -> valid rows (before dedupe) -> latest per id -> totals -> audit columns."""
-    out = with_totals(latest_per_id(valid_rows(typed(raw), "collision_id", "crash_date")))
+    latest = latest_per_id(valid_rows(typed(raw), "collision_id", "crash_date"))
+    out = with_totals(latest, injury_columns, fatality_columns)
     audit = [F.col(INGESTION_TS)]
     if wall_clock:
         audit.append(F.current_timestamp().alias("_silver_timestamp"))

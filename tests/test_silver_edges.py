@@ -128,3 +128,12 @@ def test_undated_fact_absent_from_monthly_present_in_borough(spark, raw_rows):
     assert sum(r.total_collisions for r in g.monthly.collect()) == 1
     (b,) = g.borough.collect()
     assert b.borough == "QUEENS" and b.total_collisions == 2
+
+
+def test_total_columns_are_a_parameter(raw_rows):
+    raw = raw_rows([{"collision_id": "1", "crash_date": "2024-01-15",
+                     "number_of_persons_injured": "3", "number_of_pedestrians_injured": "1"}])
+    (r,) = C.silver(raw, wall_clock=False, injury_columns=["persons_injured"]).collect()
+    assert r.total_injuries == 3
+    (r,) = C.silver(raw, wall_clock=False).collect()
+    assert r.total_injuries == 4
