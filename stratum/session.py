@@ -15,6 +15,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _default_driver_memory() -> str:
+    """Half the machine's memory, at most 8 GB (local mode: the driver is the executor)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(8, total // 2 // 1024 ** 3))}g"
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "stratum") -> SparkSession:
     """Local session tuned for small-scale checks (tests, bench)."""
@@ -38,7 +47,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # tiny test data: keep a few parallel tasks after adaptive coalescing
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("STRATUM_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("STRATUM_DRIVER_MEMORY", _default_driver_memory()))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # local catalog tables live in a private folder, not under the working directory
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="stratum-warehouse-"))
