@@ -21,3 +21,13 @@ def test_ingest_load_build(spark, tmp_path):
     assert landed == raw.where(f"{INGESTION_TS} > timestamp_ntz'2000-12-01 00:00:00' and "
                                f"{INGESTION_TS} <= timestamp_ntz'2001-11-30 23:59:59'").count()
     assert spark.table("job_fact_collisions").count() == spark.read.parquet(f"{base}/silver").count()
+
+
+def test_build_exits_1_when_checks_fail(spark, tmp_path, raw_rows):
+    from stratum.sources.landing import land_jsonl
+    bad = raw_rows([{"collision_id": "1", "crash_date": "2024-01-05", "borough": "atlantis"}])
+    landing, base = str(tmp_path / "landing"), str(tmp_path / "run")
+    land_jsonl(bad.select(*RAW_COLUMNS), landing, "b1")
+    assert jobs.main(["load", "--landing", landing, "--base", base], spark) == 0
+    assert jobs.main(["build", "--base", base, "--publish-prefix", "badjob_"], spark) == 1
+    assert not spark.catalog.tableExists("badjob_fact_collisions")
