@@ -140,8 +140,12 @@ def check_counts(df: DataFrame, checks, table: str) -> DataFrame:
                      F.lit(c.column).alias("column_name"), F.col(names[id(c)]).alias("failures"))
             for c in row_level])).alias("r")).select("r.*")
         parts.append(stacked)
+    # unscoped unique checks of one table: one scan and one shuffle via grouping sets
+    shared_unique = [c for c in checks if c.kind == "unique" and not c.where]
+    if len(shared_unique) > 1:
+        parts.append(_unique_counts(df, shared_unique, names))
     for c in checks:
-        if c.kind in ROW_LEVEL:
+        if c.kind in ROW_LEVEL or (c in shared_unique and len(shared_unique) > 1):
             continue
         if c.kind == "relationships":
             scoped = df.where(F.expr(c.where)) if c.where else df
@@ -155,6 +159,25 @@ def check_counts(df: DataFrame, checks, table: str) -> DataFrame:
     return out.select(F.lit(table).alias("table_name"), "*")
 
 
+def _unique_counts(df: DataFrame, checks, names) -> DataFrame:
+    """Several unique checks in one aggregate: ``GROUPING SETS ((a), (b), …)`` counts each
+    key value once per set (partial aggregation first, so a hot value is one row per task);
+    a set's failures are its non-NULL keys seen more than once."""
+    cols = [c.column for c in checks]
+    g = (df.groupingSets([[c] for c in cols], *cols)
+         .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")))
+    # grouping_id: bit i (from the left, of len(cols) bits) is 1 when column i is NOT grouped
+    full = (1 << len(cols)) - 1
+    fails = [F.count_if((F.col("_gid") == full ^ (1 << (len(cols) - 1 - i)))
+                        & F.col(col).isNotNull() & (F.col("_n") > 1)).alias(f"_f{i}")
+             for i, col in enumerate(cols)]
+    one = g.agg(*fails)
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(names[id(c)]).alias("check_name"), F.lit(c.kind).alias("check_kind"),
+                 F.lit(c.column).alias("column_name"), F.col(f"_f{i}").alias("failures"))
+        for i, c in enumerate(checks)])).alias("r")).select("r.*")
+
+
 class ChecksFailed(AssertionError):
     def __init__(self, failures: list[tuple[str, str, int]]):
         self.failures = failures

@@ -207,3 +207,13 @@ def test_relationship_failing_rows_are_the_orphans(spark, tmp_path):
     with pytest.raises(Q.ChecksFailed):
         Q.run_checks({"child": (child, [check])}, audit_path=str(tmp_path))
     assert spark.read.parquet(str(tmp_path / "relationships_child_fk")).count() == 3
+
+
+def test_several_unique_checks_share_one_aggregate(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "b", 3), (None, None, 3), (3, "c", 3)],
+                               "x int, y string, z int")
+    checks = [Q.unique("x"), Q.unique("y"), Q.unique("z"), Q.unique("x", where="z > 1", name="ux_scoped")]
+    got = {r.check_name: r.failures for r in Q.check_counts(df, checks, "t").collect()}
+    assert got == {"unique_t_x": 1, "unique_t_y": 1, "unique_t_z": 1, "ux_scoped": 0}
+    plan = Q.check_counts(df, checks[:3], "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in plan
