@@ -23,11 +23,11 @@ HEADLINE = ["silver", "fact", "dim_location", "monthly_metrics", "borough_metric
 def condensed(plan: str) -> str:
     out = []
     for line in plan.splitlines():
-        m = re.match(r"^([\s:+\-|]*)(\w+)", line)
+        m = re.match(r"^([\s:+\-|]*)(\*\(\d+\) )?(\w+)", line)
         if not m:
             continue
-        indent, op = m.group(1), m.group(2)
-        body = re.sub(r"#\d+L?", "", line[len(indent):])
+        indent, codegen, op = m.group(1), m.group(2) or "", m.group(3)
+        body = re.sub(r"#\d+L?", "", line[len(indent) + len(codegen):])
         detail = ""
         if op in ("Exchange", "BroadcastExchange"):
             detail = " " + body.split(" ", 1)[1][:100] if " " in body else ""
@@ -38,7 +38,7 @@ def condensed(plan: str) -> str:
                       f"{' pushed=' + pushed.group(1)[:120] if pushed and pushed.group(1) != '[]' else ''}")
         elif op == "WindowGroupLimit":
             detail = " (Partial)" if "Partial" in body else " (Final)" if "Final" in body else ""
-        out.append(f"{indent}{op}{detail}")
+        out.append(f"{indent}{codegen}{op}{detail}")
     return "\n".join(out)
 
 
@@ -48,7 +48,9 @@ def main() -> None:
     parts = ["# Physical plans (final adaptive plans, condensed)\n",
              f"Generated by `python plans_report.py {sf}` on local[8]. Exchanges are the "
              "shuffles; `BroadcastExchange` only appears for the size-proven calendar or where "
-             "adaptive execution measured a small side at runtime.\n"]
+             "adaptive execution measured a small side at runtime. `*(n)` marks operators "
+             "fused into whole-stage codegen stage n; the final plans of adaptive queries "
+             "print their stages without these markers.\n"]
     for name in HEADLINE:
         df = QUERIES[name](spark, sf)
         df.write.format("noop").mode("overwrite").save()
