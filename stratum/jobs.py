@@ -18,13 +18,15 @@ from pyspark.sql import SparkSession
 
 from stratum.operators.checks import ChecksFailed
 from stratum.plans.staged_run import RunPaths, build
-from stratum.session import ensure_checkpoint_dir
+from stratum.session import cluster_conf, ensure_checkpoint_dir
 from stratum.sources.incremental import ingest
 from stratum.streaming.file_load import load_new_files
 
 
 def parse(argv):
     ap = argparse.ArgumentParser(prog="stratum.jobs")
+    ap.add_argument("--input-bytes", type=int, default=None,
+                    help="size of the input: sizes shuffle partitions and scan splits")
     sub = ap.add_subparsers(dest="cmd", required=True)
     i = sub.add_parser("ingest", help="land the next incremental window as a JSON-lines batch")
     i.add_argument("--source", required=True, help="parquet path of the source records")
@@ -48,6 +50,11 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     args = parse(sys.argv[1:] if argv is None else argv)
     spark = spark or SparkSession.builder.appName(f"stratum-{args.cmd}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    if args.input_bytes:
+        # runtime-settable SQL options only; core options (I/O codec) belong to spark-submit
+        for key, value in cluster_conf(args.input_bytes).items():
+            if key.startswith("spark.sql."):
+                spark.conf.set(key, value)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     try:
         if args.cmd == "ingest":

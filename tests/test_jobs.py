@@ -31,3 +31,24 @@ def test_build_exits_1_when_checks_fail(spark, tmp_path, raw_rows):
     assert jobs.main(["load", "--landing", landing, "--base", base], spark) == 0
     assert jobs.main(["build", "--base", base, "--publish-prefix", "badjob_"], spark) == 1
     assert not spark.catalog.tableExists("badjob_fact_collisions")
+
+
+def test_input_bytes_sizes_the_session(spark):
+    from stratum.session import cluster_conf
+    keys = [k for k in cluster_conf(1) if k.startswith("spark.sql.")]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        args = ["--input-bytes", str(10 * 1024 ** 4), "load", "--landing", "/nonexistent-landing",
+                "--base", "/nonexistent-base"]
+        try:
+            jobs.main(args, spark)
+        except Exception:
+            pass   # no landing folder here; only the session settings matter
+        want = cluster_conf(10 * 1024 ** 4)["spark.sql.shuffle.partitions"]
+        assert spark.conf.get("spark.sql.shuffle.partitions") == want
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
