@@ -47,6 +47,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # tiny test data: keep a few parallel tasks after adaptive coalescing
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
+        # delete checkpoint files once their DataFrame is garbage-collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("STRATUM_DRIVER_MEMORY", _default_driver_memory()))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # local catalog tables live in a private folder, not under the working directory
@@ -112,4 +114,6 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 512 * 1024 ** 2,
         # the dedupe shuffle moves about the whole input: trade CPU for network and disk
         "spark.io.compression.codec": "zstd",
         "spark.sql.parquet.compression.codec": "zstd",
+        # lineage cuts (checkpoint) are deleted once unreferenced instead of piling up
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
