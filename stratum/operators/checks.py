@@ -71,6 +71,8 @@ def relationships(column: str, parent: DataFrame, parent_column: str,
 
 
 ROW_LEVEL = ("not_null", "accepted_values", "expression_is_true")
+# Fold a table's unscoped unique checks into one GROUPING SETS aggregate (one scan).
+FOLD_UNIQUE = True
 
 
 def _scope(check: Check) -> Column:
@@ -142,7 +144,7 @@ def check_counts(df: DataFrame, checks, table: str) -> DataFrame:
         parts.append(stacked)
     # unscoped unique checks of one table: one scan and one shuffle via grouping sets
     shared_unique = [c for c in checks if c.kind == "unique" and not c.where]
-    folded = {id(c) for c in shared_unique} if len(shared_unique) > 1 else set()
+    folded = {id(c) for c in shared_unique} if FOLD_UNIQUE and len(shared_unique) > 1 else set()
     if folded:
         parts.append(_unique_counts(df, shared_unique, names))
     for c in checks:
