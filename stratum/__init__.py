@@ -6,6 +6,6 @@ table guarded by declarative checks. Every operator is a ``DataFrame -> DataFram
 ``Column``) function; planning is left to Catalyst and adaptive execution.
 """
 
-from stratum.session import get_spark, scratch_path
+from stratum.session import cluster_conf, get_spark, scratch_path
 
-__all__ = ["get_spark", "scratch_path"]
+__all__ = ["cluster_conf", "get_spark", "scratch_path"]
