@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import language_id, mixing, quality_rules, url_filter
+from stratum.llm import bpe, language_id, mixing, quality_rules, token_counts, url_filter
 from stratum.llm.common import fold_is, read_table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -28,6 +29,24 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = read_table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
+    rows = rows.withColumn("decoded", bpe.decode(F.col("ids"), path))
+    return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2(F.col("ids"), 256).alias("ids_sha256"),
+                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = read_table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+                       token_counts.count_tokens(F.col("text"), path).alias("n_tokens"))
+    return rows.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("good"))
@@ -47,6 +66,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_url_filter": op3_url_filter,
+    "op4_bpe": op4_bpe,
+    "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
 }
