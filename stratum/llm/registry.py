@@ -8,13 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, language_id, mixing, quality_rules, token_counts, url_filter
+from stratum.llm import (bpe, language_id, mixing, quality_classifier, quality_rules, token_counts,
+                         url_filter)
 from stratum.llm.common import fold_is, read_table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, text, quality of the labelled documents that may be learnt from."""
+    learn = labels.select("doc_id", "quality").where(~fold_is(F.col("doc_id"), 4, 2))
+    return docs.select("doc_id", "text").join(learn, "doc_id")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -39,6 +46,14 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(labelled(docs, read_table(spark, sf_dir, "labels")))
+    rows = docs.select("doc_id", fold_is(F.col("doc_id"), 4, 2).alias("held_out"),
+                       quality_classifier.score(F.col("text"), model).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= quality_classifier.THRESHOLD).cast("int"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = read_table(spark, sf_dir, "documents")
@@ -67,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_url_filter": op3_url_filter,
     "op4_bpe": op4_bpe,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
