@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import (bpe, language_id, mixing, quality_classifier, quality_rules, token_counts,
-                         url_filter)
+from stratum.llm import (bpe, language_id, mixing, permutation_index, quality_classifier, quality_rules,
+                         token_counts, url_filter)
 from stratum.llm.common import fold_is, read_table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -46,6 +46,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return permutation_index.search(vectors, F.pmod(F.col("vec_id"), F.lit(100)) == 0)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_classifier.fit(labelled(docs, read_table(spark, sf_dir, "labels")))
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_url_filter": op3_url_filter,
     "op4_bpe": op4_bpe,
+    "op5_nearest_vectors": op5_nearest_vectors,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
