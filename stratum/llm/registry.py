@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import (bpe, language_id, mixing, permutation_index, quality_classifier, quality_rules,
-                         token_counts, url_filter)
+from stratum.llm import (bpe, kneser_ney, language_id, mixing, permutation_index, quality_classifier,
+                         quality_rules, token_counts, url_filter)
 from stratum.llm.common import fold_is, read_table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -51,6 +51,15 @@ def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(vectors, F.pmod(F.col("vec_id"), F.lit(100)) == 0)
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold_is(F.col("doc_id"), 5, 1)
+    model = kneser_ney.train(docs.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), kneser_ney.score(F.col("text"), model).alias("s"))
+    return rows.select("doc_id", "held_out", "s.n_tokens", "s.n_known",
+                       F.lit(model.tokens).cast("long").alias("train_tokens"), "s.base_score", "s.score")
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_classifier.fit(labelled(docs, read_table(spark, sf_dir, "labels")))
@@ -88,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_bpe": op4_bpe,
     "op5_nearest_vectors": op5_nearest_vectors,
+    "op6_lm_score": op6_lm_score,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
