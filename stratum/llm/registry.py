@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import (bpe, kneser_ney, language_id, mixing, permutation_index, quality_classifier,
+from stratum.llm import (bpe, kneser_ney, language_id, mixing, ngram_join, permutation_index, quality_classifier,
                          quality_rules, token_counts, url_filter)
 from stratum.llm.common import fold_is, read_table
 
@@ -22,6 +22,11 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(learn, "doc_id")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.components(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -93,6 +98,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
     "op3_url_filter": op3_url_filter,
     "op4_bpe": op4_bpe,
