@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stratum.llm import (bpe, kneser_ney, language_id, mixing, ngram_join, permutation_index, quality_classifier,
                          quality_rules, token_counts, url_filter)
 from stratum.llm.common import fold_is, read_table
+from stratum.llm.oracle_sql import ORACLE_SQL  # noqa: F401
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -109,5 +110,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
 }
-
-ORACLE_SQL: dict[str, str] = {}
