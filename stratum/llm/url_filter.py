@@ -103,15 +103,14 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]]
     rows = (pages.withColumn(_P + "host", url_host(url)).withColumn(_P + "path", url_path(url))
             .withColumn(_P + "no", matching_rule(F.col(_P + "host"), F.col(_P + "path"), rules))
             .withColumn(canon, F.when(F.col(_P + "no").isNull(), canonical_url(url)))
-            .withColumn("block", _block(F.col(canon), blocks)))
+            .withColumn(_P + "of", _block(F.col(canon), blocks)))
     bloom = bloom_filter(urls, canon, blocks).withColumnRenamed("block", _P + "block")
     bloom = bloom.select(_P + "block", *[F.col(f"w{k}").alias(f"{_P}w{k}") for k in range(WORDS)])
     if blocks <= MAX_BROADCAST_BLOCKS:
         bloom = F.broadcast(bloom)
     hit = reduce(lambda a, b: a & b, [F.col(f"{_P}w{k}").bitwiseAND(b) == b
                                       for k, b in enumerate(_bits(F.col(canon)))])
-    rows = (rows.withColumnRenamed("block", _P + "of")
-            .join(bloom, F.col(_P + "of") == F.col(_P + "block"), "left")
+    rows = (rows.join(bloom, F.col(_P + "of") == F.col(_P + "block"), "left")
             .withColumn(_P + "maybe", F.coalesce(F.col(canon).isNotNull() & hit, F.lit(False))))
     listed_as = _P + "listed"
     exact = (rows.where(F.col(_P + "maybe"))
