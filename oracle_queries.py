@@ -78,7 +78,7 @@ def _dbl(c: str) -> str:
 
 
 _FP = "md5(concat_ws('|', " + ", ".join(
-    f"coalesce({c.strip()}, '~')" for c in RAW_COLS.replace("\n", " ").split(",")) + "))"
+    f"coalesce(length({c.strip()}) || ':' || {c.strip()}, '~')" for c in RAW_COLS.replace("\n", " ").split(",")) + "))"
 
 TYPED = f"""
 typed AS (
@@ -355,11 +355,78 @@ def _all_with(final: str, parts: dict | None = None, extra: str = "") -> str:
     return "WITH " + body + "\n" + final
 
 
-def oracle_sql() -> dict[str, str]:
-    from stratum.plans.collisions import BOROUGH_LOOKUP, REFERENCE_TESTS
+# --- fixed values: the data tests and the borough seed, listed here on their own ------------
+BOROUGHS = ["BRONX", "BROOKLYN", "MANHATTAN", "QUEENS", "STATEN ISLAND"]
+_IN_LIST = {"values": BOROUGHS, "where": "borough is not null"}
+DATA_TESTS = [
+    ("stg_collisions", "not_null", "collision_id", {}),
+    ("stg_collisions", "unique", "collision_id", {}),
+    ("stg_collisions", "not_null", "crash_date", {}),
+    ("stg_collisions", "accepted_values", "borough", _IN_LIST),
+    ("stg_collisions", "not_null", "total_injuries", {}),
+    ("stg_collisions", "expression_is_true", "total_injuries", {"expression": ">= 0"}),
+    ("stg_collisions", "not_null", "total_fatalities", {}),
+    ("stg_collisions", "expression_is_true", "total_fatalities", {"expression": ">= 0"}),
+    ("dim_date", "not_null", "date_id", {}),
+    ("dim_date", "unique", "date_id", {}),
+    ("dim_date", "not_null", "full_date", {}),
+    ("dim_date", "unique", "full_date", {}),
+    ("dim_date", "not_null", "year", {}),
+    ("dim_date", "not_null", "month", {}),
+    ("dim_date", "accepted_values", "month", {"values": [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12]}),
+    ("dim_date", "not_null", "day_of_week", {}),
+    ("dim_date", "accepted_values", "day_of_week", {"values": [1, 2, 3, 4, 5, 6, 7]}),
+    ("dim_date", "not_null", "is_weekend", {}),
+    ("dim_location", "not_null", "location_sk", {}),
+    ("dim_location", "unique", "location_sk", {}),
+    ("dim_location", "accepted_values", "borough", _IN_LIST),
+    ("dim_location", "not_null", "borough_label", {}),
+    ("dim_vehicle", "not_null", "vehicle_sk", {}),
+    ("dim_vehicle", "unique", "vehicle_sk", {}),
+    ("dim_vehicle", "not_null", "primary_vehicle_type", {}),
+    ("dim_vehicle", "not_null", "vehicles_involved_count", {}),
+    ("dim_vehicle", "accepted_values", "vehicles_involved_count", {"values": [0, 1, 2, 3, 4, 5]}),
+    ("fact_collisions", "not_null", "collision_sk", {}),
+    ("fact_collisions", "unique", "collision_sk", {}),
+    ("fact_collisions", "not_null", "collision_id", {}),
+    ("fact_collisions", "unique", "collision_id", {}),
+    ("fact_collisions", "relationships", "date_sk", {"to": ("dim_date", "date_id"), "where": "date_sk is not null"}),
+    ("fact_collisions", "relationships", "location_sk", {"to": ("dim_location", "location_sk")}),
+    ("fact_collisions", "relationships", "vehicle_sk", {"to": ("dim_vehicle", "vehicle_sk")}),
+    ("fact_collisions", "not_null", "crash_date", {}),
+    ("fact_collisions", "not_null", "total_injuries", {}),
+    ("fact_collisions", "expression_is_true", "total_injuries", {"expression": ">= 0"}),
+    ("fact_collisions", "not_null", "total_fatalities", {}),
+    ("fact_collisions", "expression_is_true", "total_fatalities", {"expression": ">= 0"}),
+    ("fact_collisions", "not_null", "has_injuries", {}),
+    ("fact_collisions", "not_null", "has_fatalities", {}),
+    ("monthly_collision_metrics", "not_null", "year", {}),
+    ("monthly_collision_metrics", "not_null", "month", {}),
+    ("monthly_collision_metrics", "not_null", "total_collisions", {}),
+    ("monthly_collision_metrics", "expression_is_true", "total_collisions", {"expression": "> 0"}),
+    ("monthly_collision_metrics", "not_null", "total_injuries", {}),
+    ("monthly_collision_metrics", "not_null", "total_fatalities", {}),
+    ("borough_collision_metrics", "not_null", "borough", {}),
+    ("borough_collision_metrics", "unique", "borough", {}),
+    ("borough_collision_metrics", "not_null", "total_collisions", {}),
+    ("borough_collision_metrics", "expression_is_true", "total_collisions", {"expression": "> 0"}),
+    ("borough_collision_metrics", "not_null", "injury_rate_per_100", {}),
+    ("borough_collision_metrics", "not_null", "fatality_rate_per_100", {}),
+]
+SEED = [
+    ("BRONX", "The Bronx", "BX"),
+    ("BROOKLYN", "Brooklyn", "BK"),
+    ("MANHATTAN", "Manhattan", "MN"),
+    ("QUEENS", "Queens", "QN"),
+    ("STATEN ISLAND", "Staten Island", "SI"),
+    ("Unknown", "Unknown", "N/A"),
+]
+# ------------------------------------------------------------------------------------------
+
 
+def oracle_sql() -> dict[str, str]:
     win = ("ts > TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-24 23:59:59'")
-    seed = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in BOROUGH_LOOKUP)
+    seed = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in SEED)
     newer = "ts >= TIMESTAMP '2024-01-15 00:00:00'"
     counts = ",\n  ".join(
         f"TRY_CAST(number_of_{src} AS INTEGER) AS {dst}" for src, dst in [
@@ -370,7 +437,7 @@ def oracle_sql() -> dict[str, str]:
     all_kinds = {"not_null", "unique", "accepted_values", "expression_is_true", "relationships"}
 
     def checks(kinds, dirty: list[str]) -> str:
-        return _all_with("\nUNION ALL\n".join(suite_sql(REFERENCE_TESTS, kinds) + dirty), extra=DIRTY)
+        return _all_with("\nUNION ALL\n".join(suite_sql(DATA_TESTS, kinds) + dirty), extra=DIRTY)
 
     def dirty(kind, column, opts, source="dirty", label="raw_collisions"):
         return check_sql(label, source, kind, column, opts, _check_name(label, kind, column, opts))
@@ -388,6 +455,7 @@ def oracle_sql() -> dict[str, str]:
             "WHEN max(ts) IS NULL THEN DATE '2024-01-10' ELSE CAST(max(ts) AS DATE) END AS new_mark "
             f"FROM events WHERE {win}"),
         "ordered_page": "SELECT * FROM events ORDER BY ts, event_id LIMIT 1000 OFFSET 2000",
+        "deep_page": "SELECT * FROM events ORDER BY ts, event_id LIMIT 1000 OFFSET 4000",
         "page_numbers": (
             "SELECT o_orderkey, o_orderdate, row_number() OVER w AS row_no, "
             "(row_number() OVER w - 1) // 1000 AS page_no FROM orders "
@@ -404,7 +472,7 @@ def oracle_sql() -> dict[str, str]:
         "schema_merge_load": (
             f"SELECT CAST(event_id AS VARCHAR) AS event_id, ts, event_type, "
             f"CASE WHEN {newer} THEN CAST(user_id AS VARCHAR) END AS user_id, "
-            f"CASE WHEN {newer} THEN props END AS props FROM events"),
+            f"CASE WHEN {newer} THEN value END AS value, CASE WHEN {newer} THEN props END AS props FROM events"),
         "idempotent_file_load": with_(
             ["raw"], f"SELECT {RAW_COLS}, TRY_CAST(crash_date AS DATE) AS crash_date_partition FROM raw"),
         "compact_partitions": "SELECT *, CAST(ts AS DATE) AS event_date FROM events",

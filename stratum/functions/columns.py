@@ -19,6 +19,7 @@ UNKNOWN_LABEL = "Unknown"
 # ----------------------------------------------------------------------------------------
 
 # Row fingerprint used as the deterministic tie-break of keep-latest dedupe (our rule).
+# Parts carry their length, so no two different rows share the text that is hashed.
 FINGERPRINT_SEPARATOR = "|"
 FINGERPRINT_NULL = "~"
 
@@ -93,8 +94,11 @@ def surrogate_key(*cols, length_prefixed: bool = False) -> Column:
 
 
 def row_fingerprint(*cols) -> Column:
-    """MD5 of the raw values joined with ``|`` (NULL as ``~``): a stable dedupe tie-break."""
-    parts = [F.coalesce(col_(c).cast("string"), F.lit(FINGERPRINT_NULL)) for c in cols]
+    """MD5 of the raw values as ``length:value`` joined with ``|`` (NULL as ``~``): a total
+    order of different rows, so a retried dedupe keeps the same one."""
+    text = [col_(c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(FINGERPRINT_NULL))
+             for t in text]
     return F.md5(F.concat_ws(FINGERPRINT_SEPARATOR, *parts))
 
 

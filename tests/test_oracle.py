@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as E
+import oracle_queries
 from conftest import SF0001
 from oracle_compare import compare, duck
+from stratum.plans.registry import QUERIES
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+ORACLE = oracle_queries.oracle_sql()
 # STRATUM_ORACLE_SF=/root/testdata/sf0.01 reproduces the driver's correctness gate
 SF = os.environ.get("STRATUM_ORACLE_SF", SF0001)
 
@@ -21,6 +22,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
