@@ -2,7 +2,8 @@
 
     python -m stratum.jobs ingest --source PATH --ts-col crash_date --landing DIR --state DIR
     python -m stratum.jobs load   --landing DIR --base DIR
-    python -m stratum.jobs build  --base DIR [--publish-prefix gold_]
+    python -m stratum.jobs compact --base DIR
+    python -m stratum.jobs build  --base DIR [--publish-prefix gold_] [--keep-builds 2]
 
 The session comes from the cluster (``getOrCreate``); paths must be on shared storage.
 Exit code 1 when a stage fails (e.g. data tests), so a scheduler stops the next stage.
@@ -17,10 +18,10 @@ import sys
 from pyspark.sql import SparkSession
 
 from stratum.operators.checks import ChecksFailed
-from stratum.plans.staged_run import RunPaths, build
+from stratum.plans.staged_run import RunPaths, build, drop_old_builds
 from stratum.session import cluster_conf, ensure_checkpoint_dir
 from stratum.sources.incremental import ingest
-from stratum.streaming.file_load import load_new_files
+from stratum.streaming.file_load import compact_bronze, load_new_files
 
 
 def parse(argv):
@@ -43,6 +44,9 @@ def parse(argv):
     b = sub.add_parser("build", help="silver, gold and data tests from bronze")
     b.add_argument("--base", required=True)
     b.add_argument("--publish-prefix", default=None)
+    b.add_argument("--keep-builds", type=int, default=None, help="delete older builds after a passed one")
+    c = sub.add_parser("compact", help="pack bronze files by date into a new version")
+    c.add_argument("--base", required=True)
     return ap.parse_args(argv)
 
 
@@ -66,8 +70,12 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         elif args.cmd == "load":
             p = RunPaths(args.base)
             load_new_files(spark, args.landing, p.bronze, p.bronze_checkpoint)
+        elif args.cmd == "compact":
+            compact_bronze(spark, RunPaths(args.base).bronze)
         else:
             build(spark, RunPaths(args.base), publish_prefix=args.publish_prefix)
+            if args.keep_builds:
+                drop_old_builds(spark, args.base, args.keep_builds)
     except ChecksFailed as err:
         print(err, file=sys.stderr)
         return 1

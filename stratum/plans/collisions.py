@@ -8,6 +8,8 @@ generated calendar, whose size is known from its parameters.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from stratum.operators.clean import clean, spec, valid_rows
 from stratum.operators.dedupe import dedupe_latest
 from stratum.operators.dimension import calendar, date_spine, distinct_dimension, spine_length
 from stratum.operators.rollup import Measure, bounded_broadcast, rollup_through_dimension
+from stratum.session import scratch_path
 from stratum.sources.raw import INGESTION_TS, RAW_COLUMNS
 
 # --- fixed values ------------------------------------------------------------------------
@@ -228,45 +231,76 @@ def borough_lookup(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(BOROUGH_LOOKUP, ",".join(f"{c} string" for c in BOROUGH_LOOKUP_COLUMNS))
 
 
-def with_borough_lookup(boroughs: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Decorate the borough rollup with the seed's display names."""
-    seed = F.broadcast(lookup)
+def with_borough_lookup(boroughs: DataFrame, lookup: DataFrame, lookup_rows: int | None = None) -> DataFrame:
+    """Decorate the borough rollup with the seed's display names. The seed is broadcast
+    only when its length is given; otherwise adaptive execution decides from its size."""
+    seed = bounded_broadcast(lookup, lookup_rows)
     return (boroughs.join(seed, boroughs["borough"] == seed["borough_code"], "left")
             .drop("borough_code"))
 
 
 class Gold:
-    """The gold tables built from one staging DataFrame.
+    """The gold tables built from one staging DataFrame, each on first use.
 
-    Lazy by default (a single consumer re-reads its inputs). With ``materialize=True``
-    staging and the fact are checkpointed under ``spark.checkpoint.dir`` (reliable, shared
-    storage) because many consumers read them: the dimensions, rollups and the check suite
-    then start from stored data instead of recomputing silver once per consumer.
+    Lazy by default (a single consumer re-reads its inputs). With ``materialize=True`` every table
+    that is used is written once as parquet in the shared scratch folder and read back, because
+    several consumers read it: the dimensions, rollups and checks then start from stored,
+    column-pruned data instead of recomputing silver, and tables nobody asks for are not built.
     """
 
+    NAMES = {"stg_collisions": "stg", "dim_date": "dim_date", "dim_location": "dim_location",
+             "dim_vehicle": "dim_vehicle", "fact_collisions": "fact",
+             "monthly_collision_metrics": "monthly", "borough_collision_metrics": "borough"}
+
     def __init__(self, spark: SparkSession, stg: DataFrame, start=SPINE_START, end=SPINE_END,
                  materialize: bool = False):
-        self.stg = stg.checkpoint(eager=True) if materialize else stg
-        stg = self.stg
-        self.dim_date = dim_date(spark, start, end)
+        self._spark, self._staging, self._start, self._end = spark, stg, start, end
+        self._folder = scratch_path(spark, "gold") if materialize else None
         self.dim_date_rows = spine_length(start, end)
-        self.dim_location = dim_location(stg)
-        self.dim_vehicle = dim_vehicle(stg)
-        self.fact = fact(stg, self.dim_date, self.dim_date_rows)
-        if materialize:
-            self.fact = self.fact.checkpoint(eager=True)
-        self.monthly = monthly_metrics(self.fact, self.dim_date)
-        self.borough = borough_metrics(self.fact, self.dim_location)
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {"stg_collisions": self.stg, "dim_date": self.dim_date,
-                "dim_location": self.dim_location, "dim_vehicle": self.dim_vehicle,
-                "fact_collisions": self.fact, "monthly_collision_metrics": self.monthly,
-                "borough_collision_metrics": self.borough}
+    def _kept(self, name: str, df: DataFrame) -> DataFrame:
+        if not self._folder:
+            return df
+        df.write.parquet(f"{self._folder}/{name}")
+        return self._spark.read.schema(df.schema).parquet(f"{self._folder}/{name}")
+
+    @cached_property
+    def stg(self) -> DataFrame:
+        return self._kept("stg", self._staging)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return self._kept("dim_date", dim_date(self._spark, self._start, self._end))
+
+    @cached_property
+    def dim_location(self) -> DataFrame:
+        return self._kept("dim_location", dim_location(self.stg))
+
+    @cached_property
+    def dim_vehicle(self) -> DataFrame:
+        return self._kept("dim_vehicle", dim_vehicle(self.stg))
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self._kept("fact", fact(self.stg, self.dim_date, self.dim_date_rows))
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        return self._kept("monthly", monthly_metrics(self.fact, self.dim_date))
+
+    @cached_property
+    def borough(self) -> DataFrame:
+        return self._kept("borough", borough_metrics(self.fact, self.dim_location))
+
+    def tables(self, names=None) -> dict[str, DataFrame]:
+        return {n: getattr(self, self.NAMES[n]) for n in (names or self.NAMES)}
 
-    def check_suite(self) -> dict:
-        """The 53 reference data tests (:data:`REFERENCE_TESTS`) as ``{table: (df, [checks])}``."""
-        return build_suite(self.tables(), REFERENCE_TESTS)
+    def check_suite(self, kinds=None) -> dict:
+        """The reference data tests (:data:`REFERENCE_TESTS`), of some kinds or all 53, as
+        ``{table: (df, [checks])}``; only the tables they name are built."""
+        tests = [t for t in REFERENCE_TESTS if kinds is None or t[1] in kinds]
+        named = {t[0] for t in tests} | {t[3]["to"][0] for t in tests if "to" in t[3]}
+        return build_suite(self.tables(n for n in self.NAMES if n in named), tests)
 
 
 def build_suite(tables: dict[str, DataFrame], tests) -> dict:
@@ -292,61 +326,60 @@ def build_suite(tables: dict[str, DataFrame], tests) -> dict:
 
 
 # --- fixed values: the reference's declarative data tests (53) ---------------------------
-_NN, _UQ, _AV, _EX, _RL = "not_null", "unique", "accepted_values", "expression_is_true", "relationships"
 _BOROUGH_OK = {"values": BOROUGHS, "where": "borough is not null"}
 REFERENCE_TESTS = [
-    ("stg_collisions", _NN, "collision_id", {}),
-    ("stg_collisions", _UQ, "collision_id", {}),
-    ("stg_collisions", _NN, "crash_date", {}),
-    ("stg_collisions", _AV, "borough", _BOROUGH_OK),
-    ("stg_collisions", _NN, "total_injuries", {}),
-    ("stg_collisions", _EX, "total_injuries", {"expression": ">= 0"}),
-    ("stg_collisions", _NN, "total_fatalities", {}),
-    ("stg_collisions", _EX, "total_fatalities", {"expression": ">= 0"}),
-    ("dim_date", _NN, "date_id", {}),
-    ("dim_date", _UQ, "date_id", {}),
-    ("dim_date", _NN, "full_date", {}),
-    ("dim_date", _UQ, "full_date", {}),
-    ("dim_date", _NN, "year", {}),
-    ("dim_date", _NN, "month", {}),
-    ("dim_date", _AV, "month", {"values": list(range(1, 13))}),
-    ("dim_date", _NN, "day_of_week", {}),
-    ("dim_date", _AV, "day_of_week", {"values": list(range(1, 8))}),
-    ("dim_date", _NN, "is_weekend", {}),
-    ("dim_location", _NN, "location_sk", {}),
-    ("dim_location", _UQ, "location_sk", {}),
-    ("dim_location", _AV, "borough", _BOROUGH_OK),
-    ("dim_location", _NN, "borough_label", {}),
-    ("dim_vehicle", _NN, "vehicle_sk", {}),
-    ("dim_vehicle", _UQ, "vehicle_sk", {}),
-    ("dim_vehicle", _NN, "primary_vehicle_type", {}),
-    ("dim_vehicle", _NN, "vehicles_involved_count", {}),
-    ("dim_vehicle", _AV, "vehicles_involved_count", {"values": list(range(0, 6))}),
-    ("fact_collisions", _NN, "collision_sk", {}),
-    ("fact_collisions", _UQ, "collision_sk", {}),
-    ("fact_collisions", _NN, "collision_id", {}),
-    ("fact_collisions", _UQ, "collision_id", {}),
-    ("fact_collisions", _RL, "date_sk", {"to": ("dim_date", "date_id"), "where": "date_sk is not null"}),
-    ("fact_collisions", _RL, "location_sk", {"to": ("dim_location", "location_sk")}),
-    ("fact_collisions", _RL, "vehicle_sk", {"to": ("dim_vehicle", "vehicle_sk")}),
-    ("fact_collisions", _NN, "crash_date", {}),
-    ("fact_collisions", _NN, "total_injuries", {}),
-    ("fact_collisions", _EX, "total_injuries", {"expression": ">= 0"}),
-    ("fact_collisions", _NN, "total_fatalities", {}),
-    ("fact_collisions", _EX, "total_fatalities", {"expression": ">= 0"}),
-    ("fact_collisions", _NN, "has_injuries", {}),
-    ("fact_collisions", _NN, "has_fatalities", {}),
-    ("monthly_collision_metrics", _NN, "year", {}),
-    ("monthly_collision_metrics", _NN, "month", {}),
-    ("monthly_collision_metrics", _NN, "total_collisions", {}),
-    ("monthly_collision_metrics", _EX, "total_collisions", {"expression": "> 0"}),
-    ("monthly_collision_metrics", _NN, "total_injuries", {}),
-    ("monthly_collision_metrics", _NN, "total_fatalities", {}),
-    ("borough_collision_metrics", _NN, "borough", {}),
-    ("borough_collision_metrics", _UQ, "borough", {}),
-    ("borough_collision_metrics", _NN, "total_collisions", {}),
-    ("borough_collision_metrics", _EX, "total_collisions", {"expression": "> 0"}),
-    ("borough_collision_metrics", _NN, "injury_rate_per_100", {}),
-    ("borough_collision_metrics", _NN, "fatality_rate_per_100", {}),
+    ("stg_collisions", "not_null", "collision_id", {}),
+    ("stg_collisions", "unique", "collision_id", {}),
+    ("stg_collisions", "not_null", "crash_date", {}),
+    ("stg_collisions", "accepted_values", "borough", _BOROUGH_OK),
+    ("stg_collisions", "not_null", "total_injuries", {}),
+    ("stg_collisions", "expression_is_true", "total_injuries", {"expression": ">= 0"}),
+    ("stg_collisions", "not_null", "total_fatalities", {}),
+    ("stg_collisions", "expression_is_true", "total_fatalities", {"expression": ">= 0"}),
+    ("dim_date", "not_null", "date_id", {}),
+    ("dim_date", "unique", "date_id", {}),
+    ("dim_date", "not_null", "full_date", {}),
+    ("dim_date", "unique", "full_date", {}),
+    ("dim_date", "not_null", "year", {}),
+    ("dim_date", "not_null", "month", {}),
+    ("dim_date", "accepted_values", "month", {"values": list(range(1, 13))}),
+    ("dim_date", "not_null", "day_of_week", {}),
+    ("dim_date", "accepted_values", "day_of_week", {"values": list(range(1, 8))}),
+    ("dim_date", "not_null", "is_weekend", {}),
+    ("dim_location", "not_null", "location_sk", {}),
+    ("dim_location", "unique", "location_sk", {}),
+    ("dim_location", "accepted_values", "borough", _BOROUGH_OK),
+    ("dim_location", "not_null", "borough_label", {}),
+    ("dim_vehicle", "not_null", "vehicle_sk", {}),
+    ("dim_vehicle", "unique", "vehicle_sk", {}),
+    ("dim_vehicle", "not_null", "primary_vehicle_type", {}),
+    ("dim_vehicle", "not_null", "vehicles_involved_count", {}),
+    ("dim_vehicle", "accepted_values", "vehicles_involved_count", {"values": list(range(0, 6))}),
+    ("fact_collisions", "not_null", "collision_sk", {}),
+    ("fact_collisions", "unique", "collision_sk", {}),
+    ("fact_collisions", "not_null", "collision_id", {}),
+    ("fact_collisions", "unique", "collision_id", {}),
+    ("fact_collisions", "relationships", "date_sk", {"to": ("dim_date", "date_id"), "where": "date_sk is not null"}),
+    ("fact_collisions", "relationships", "location_sk", {"to": ("dim_location", "location_sk")}),
+    ("fact_collisions", "relationships", "vehicle_sk", {"to": ("dim_vehicle", "vehicle_sk")}),
+    ("fact_collisions", "not_null", "crash_date", {}),
+    ("fact_collisions", "not_null", "total_injuries", {}),
+    ("fact_collisions", "expression_is_true", "total_injuries", {"expression": ">= 0"}),
+    ("fact_collisions", "not_null", "total_fatalities", {}),
+    ("fact_collisions", "expression_is_true", "total_fatalities", {"expression": ">= 0"}),
+    ("fact_collisions", "not_null", "has_injuries", {}),
+    ("fact_collisions", "not_null", "has_fatalities", {}),
+    ("monthly_collision_metrics", "not_null", "year", {}),
+    ("monthly_collision_metrics", "not_null", "month", {}),
+    ("monthly_collision_metrics", "not_null", "total_collisions", {}),
+    ("monthly_collision_metrics", "expression_is_true", "total_collisions", {"expression": "> 0"}),
+    ("monthly_collision_metrics", "not_null", "total_injuries", {}),
+    ("monthly_collision_metrics", "not_null", "total_fatalities", {}),
+    ("borough_collision_metrics", "not_null", "borough", {}),
+    ("borough_collision_metrics", "unique", "borough", {}),
+    ("borough_collision_metrics", "not_null", "total_collisions", {}),
+    ("borough_collision_metrics", "expression_is_true", "total_collisions", {"expression": "> 0"}),
+    ("borough_collision_metrics", "not_null", "injury_rate_per_100", {}),
+    ("borough_collision_metrics", "not_null", "fatality_rate_per_100", {}),
 ]
 # -----------------------------------------------------------------------------------------

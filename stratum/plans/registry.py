@@ -31,7 +31,7 @@ from stratum.sources.landing import flatten_nested, land_jsonl
 from stratum.sources.raw import (
     INGESTION_TS,
     RAW_COLUMNS,
-    promote_extra,
+    promote_all_extra,
     read_merged,
     read_raw,
     read_seed,
@@ -78,6 +78,10 @@ def q_ordered_page(spark, sf):
     return page(table(spark, sf, "events"), ["ts", "event_id"], size=TEST_PAGE, n=2)
 
 
+def q_deep_page(spark, sf):
+    return page(table(spark, sf, "events"), ["ts", "event_id"], size=TEST_PAGE, n=4, strategy="numbered")
+
+
 def q_page_numbers(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     return page_numbers(orders, ["o_orderdate", "o_orderkey"], size=TEST_PAGE)
@@ -107,10 +111,11 @@ def q_schema_merge_load(spark, sf):
     land_jsonl(ev.where(~F.coalesce(newer, F.lit(False)))
                .select("event_id", "ts", "event_type"), landing, "1")
     land_jsonl(ev.where(F.coalesce(newer, F.lit(False)))
-               .select("event_id", "ts", "event_type", "user_id", "props"), landing, "2")
+               .select("event_id", "ts", "event_type", "user_id", "value", "props"), landing, "2")
     merged = read_merged(spark, landing, columns=["event_id", "ts", "event_type", "user_id"])
-    return promote_extra(merged, ["props"]).select(
-        "event_id", F.col("ts").try_cast("timestamp_ntz").alias("ts"), "event_type", "user_id", "props")
+    return promote_all_extra(merged).select(
+        "event_id", F.col("ts").try_cast("timestamp_ntz").alias("ts"), "event_type", "user_id",
+        F.col("value").try_cast("double").alias("value"), "props")
 
 
 def q_idempotent_file_load(spark, sf):
@@ -123,7 +128,9 @@ def q_idempotent_file_load(spark, sf):
     load_new_files(spark, landing, bronze, ckpt)
     load_new_files(spark, landing, bronze, ckpt)          # rerun: nothing new
     land_jsonl(raw.where(~first).select(*RAW_COLUMNS), landing, "2")
-    load_new_files(spark, landing, bronze, ckpt)          # only the new file
+    load_new_files(spark, landing, bronze, ckpt)          # only the new batch
+    land_jsonl(raw.where(first).select(*RAW_COLUMNS), landing, "1")
+    load_new_files(spark, landing, bronze, ckpt)          # a batch landed again replaces itself
     return read_bronze(spark, bronze).select(*RAW_COLUMNS, "crash_date_partition")
 
 
@@ -131,15 +138,16 @@ def q_compact_partitions(spark, sf):
     base = scratch_path(spark, "compact")
     ev = table(spark, sf, "events").withColumn("event_date", F.to_date("ts"))
     # many small files per day, as daily appends leave them
-    ev.repartition(32).write.mode("overwrite").partitionBy("event_date").parquet(f"{base}/src")
-    return compact(spark, f"{base}/src", f"{base}/dst", "event_date")
+    tasks = spark.sparkContext.defaultParallelism
+    ev.repartition(tasks).write.mode("overwrite").partitionBy("event_date").parquet(f"{base}/src")
+    return compact(spark, f"{base}/src", f"{base}/dst", "event_date", ev.schema)
 
 
 def q_seed_lookup_join(spark, sf):
     path = scratch_path(spark, "seed")
     C.borough_lookup(spark).coalesce(1).write.option("header", True).csv(path)
     lookup = read_seed(spark, path, C.BOROUGH_LOOKUP_COLUMNS)
-    return C.with_borough_lookup(gold(spark, sf).borough, lookup)
+    return C.with_borough_lookup(gold(spark, sf).borough, lookup, len(C.BOROUGH_LOOKUP))
 
 
 # --- P1-P22, W1: projections and cleaning on the raw feed -------------------------------------
@@ -231,8 +239,7 @@ def dirty_typed(spark, sf) -> DataFrame:
 
 
 def _suite_counts(g: C.Gold, kinds) -> DataFrame:
-    tests = [t for t in C.REFERENCE_TESTS if t[1] in kinds]
-    suite = C.build_suite(g.tables(), tests)
+    suite = g.check_suite(kinds)
     parts = [check_counts(df, checks, name) for name, (df, checks) in suite.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -295,6 +302,7 @@ QUERIES = {
     "incremental_window": q_incremental_window,
     "high_water_mark": q_high_water_mark,
     "ordered_page": q_ordered_page,
+    "deep_page": q_deep_page,
     "page_numbers": q_page_numbers,
     "flatten_nested": q_flatten_nested,
     "jsonl_roundtrip": q_jsonl_roundtrip,

@@ -10,72 +10,149 @@ executor only recomputes the current stage.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.operators.checks import run_checks
 from stratum.plans import collisions as C
+from stratum.session import delete_path, list_names, path_exists
 from stratum.sinks.tables import publish_table, publish_view, write_table
 from stratum.sources.landing import land_jsonl
 from stratum.sources.raw import RAW_COLUMNS
-from stratum.streaming.file_load import load_new_files, read_bronze
+from stratum.streaming.file_load import current_bronze, load_new_files, read_bronze
 
 GOLD_TABLES = ["dim_date", "dim_location", "dim_vehicle", "fact_collisions",
                "monthly_collision_metrics", "borough_collision_metrics"]
 
 
-@dataclass
+@dataclass(frozen=True)
 class RunPaths:
+    """Folders of a lake and of one build in it. Every build writes a folder of its own."""
     base: str
+    run_id: str | None = None
 
-    def __getattr__(self, name: str) -> str:
-        return f"{self.base.rstrip('/')}/{name}"
+    def _of(self, *names: str) -> str:
+        return "/".join([self.base.rstrip("/"), *names])
+
+    @property
+    def landing(self) -> str:
+        return self._of("landing")
+
+    @property
+    def bronze(self) -> str:
+        return self._of("bronze")
+
+    @property
+    def bronze_checkpoint(self) -> str:
+        return self._of("bronze_checkpoint")
+
+    @property
+    def builds(self) -> str:
+        return self._of("builds")
+
+    def table(self, name: str) -> str:
+        """Folder of a table, or of the failing rows (``audit``), of this build."""
+        if self.run_id is None:
+            raise ValueError("these paths name no build")
+        return self._of("builds", self.run_id, name)
+
+    @property
+    def silver(self) -> str:
+        return self.table("silver")
+
+    @property
+    def audit(self) -> str:
+        return self.table("audit")
+
+    @property
+    def fact_collisions(self) -> str:
+        return self.table("fact_collisions")
+
+    @property
+    def borough_collision_metrics(self) -> str:
+        return self.table("borough_collision_metrics")
+
+    @property
+    def passed(self) -> str:
+        """Marker written when every check of this build passed."""
+        return self.table("_passed")
+
+
+def current_build(spark: SparkSession, base: str) -> RunPaths | None:
+    """The newest build whose checks all passed."""
+    p = RunPaths(base)
+    done = [n for n in list_names(spark, p.builds) if path_exists(spark, RunPaths(base, n).passed)]
+    return RunPaths(base, max(done)) if done else None
+
+
+def drop_old_builds(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """Delete all builds but the newest ``keep`` that passed and any newer than those."""
+    names = sorted(list_names(spark, RunPaths(base).builds))
+    passed = [n for n in names if path_exists(spark, RunPaths(base, n).passed)]
+    if len(passed) < keep:
+        return []
+    old = [n for n in names if n < passed[-keep]]
+    for n in old:
+        delete_path(spark, f"{RunPaths(base).builds}/{n}")
+    return old
 
 
 def build(spark: SparkSession, p: RunPaths, raise_on_failure: bool = True,
           publish_prefix: str | None = None) -> RunPaths:
     """Bronze (already loaded under ``p.bronze``) -> silver -> staging -> gold -> checks
-    [-> publish]."""
+    [-> publish], all in ``base/builds/<run_id>/``; returns that build's paths.
+
+    No folder of an earlier build is touched. When every check passed the build is marked as
+    the current one and, with ``publish_prefix``, the catalog is pointed at it; a build that
+    fails, or is killed half-way, changes nothing that readers see.
+    """
+    if p.run_id is None:
+        stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
+        p = RunPaths(p.base, f"{stamp}_{uuid.uuid4().hex[:6]}")
     # silver: full rebuild from bronze, partitioned by crash date
-    write_table(C.silver(read_bronze(spark, p.bronze)), path=p.silver,
-                partition_by="crash_date_partition")
+    silver = C.silver(read_bronze(spark, p.bronze))
+    write_table(silver, path=p.silver, partition_by="crash_date_partition")
     # staging view over the stored silver table
-    stg = publish_view(C.staging(spark.read.parquet(p.silver)), "stg_collisions")
+    stg = publish_view(C.staging(spark.read.schema(silver.schema).parquet(p.silver)), "stg_collisions")
     # gold tables, each a full refresh
     gold = C.Gold(spark, stg)
     built = {"dim_date": gold.dim_date, "dim_location": gold.dim_location,
              "dim_vehicle": gold.dim_vehicle}
     for name, df in built.items():
-        write_table(df, path=getattr(p, name))
-    dims = {n: spark.read.parquet(getattr(p, n)) for n in built}
-    fact = C.fact(stg, dims["dim_date"], gold.dim_date_rows)
-    write_table(fact, path=p.fact_collisions)
+        write_table(df, path=p.table(name))
+    dims = {n: spark.read.parquet(p.table(n)) for n in built}
+    write_table(C.fact(stg, dims["dim_date"], gold.dim_date_rows), path=p.fact_collisions)
     fact_t = spark.read.parquet(p.fact_collisions)
-    write_table(C.monthly_metrics(fact_t, dims["dim_date"]), path=p.monthly_collision_metrics)
+    write_table(C.monthly_metrics(fact_t, dims["dim_date"]), path=p.table("monthly_collision_metrics"))
     write_table(C.borough_metrics(fact_t, dims["dim_location"]), path=p.borough_collision_metrics)
     # data tests on what was built; failing rows kept under audit/
-    tables = {"stg_collisions": stg, **{n: spark.read.parquet(getattr(p, n)) for n in GOLD_TABLES}}
-    run_checks(C.build_suite(tables, C.REFERENCE_TESTS), audit_path=p.audit,
-               raise_on_failure=raise_on_failure)
+    tables = {"stg_collisions": stg, **{n: spark.read.parquet(p.table(n)) for n in GOLD_TABLES}}
+    counts = run_checks(C.build_suite(tables, C.REFERENCE_TESTS), audit_path=p.audit,
+                        raise_on_failure=raise_on_failure)
+    if counts.where("failures > 0").take(1):
+        return p
+    counts.coalesce(1).write.mode("overwrite").parquet(p.passed)
     # publish: repoint catalog tables at the checked folders
     if publish_prefix is not None:
-        publish_table(spark, f"{publish_prefix}collisions_raw", p.bronze)
+        publish_table(spark, f"{publish_prefix}collisions_raw", current_bronze(spark, p.bronze))
         publish_table(spark, f"{publish_prefix}collisions_clean", p.silver)
         for name in GOLD_TABLES:
-            publish_table(spark, f"{publish_prefix}{name}", getattr(p, name))
+            publish_table(spark, f"{publish_prefix}{name}", p.table(name))
     return p
 
 
 def staged_run(spark: SparkSession, feed: DataFrame, base: str, batch_id: str,
                raise_on_failure: bool = True, publish_prefix: str | None = None) -> RunPaths:
-    """Run every stage; with ``publish_prefix`` the gold tables are published as catalog
-    tables ``<prefix><name>`` only after all checks passed (write-audit-publish). Without it
-    the folders are the published tables, as in the reference (build, then test)."""
+    """Run every stage; with ``publish_prefix`` the tables are published as catalog tables
+    ``<prefix><name>`` only after all checks passed (write-audit-publish). Without it readers
+    find the newest build that passed by :func:`current_build`."""
     p = RunPaths(base)
     # 1. land the extracted records as one JSON-lines batch
     land_jsonl(feed.select(*RAW_COLUMNS), p.landing, batch_id)
-    # 2. bronze: load files not loaded before (file-level idempotent)
+    # 2. bronze: load units with files not seen before (a batch landed again replaces itself)
     load_new_files(spark, p.landing, p.bronze, p.bronze_checkpoint)
     # 3-7. silver, staging, gold, checks, publish
     return build(spark, p, raise_on_failure, publish_prefix)

@@ -8,6 +8,7 @@ no such setting (tests, bench) gets a private temporary folder.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -77,7 +78,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder (HDFS/S3/…) for the cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="stratum-ckpt-"))
@@ -89,7 +90,48 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     if not base:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for scratch data")
-    return f"{base}/stratum-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/stratum-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if not _scratch:
+        atexit.register(_clear_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def _clear_scratch() -> None:
+    """Delete this application's scratch folders when the driver ends, if its session still runs."""
+    for spark, path in _scratch:
+        if getattr(spark.sparkContext, "_jsc", None) is not None:
+            delete_path(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system's scheme."""
+    fs, at = _file_system(spark, path)
+    return fs.makeQualified(at).toString()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return fs.exists(at)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, as stored; none if there is no such folder."""
+    fs, at = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
 
 
 def cluster_conf(input_bytes: int, partition_bytes: int = 512 * 1024 ** 2,

@@ -42,25 +42,9 @@ def _pad3(c: Column) -> Column:
     return F.lpad(_txt(c), 3, "0")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that has fewer partitions than the cluster has cores.
-
-    A file written as one row group scans as one task, so every narrow operator after it
-    (here: dozens of string expressions per row) would run on one core. At scale a scan has
-    thousands of splits and this is a no-op; when it applies, only the pruned scan columns
-    move. Round-robin after Spark's local sort is deterministic, so retries see the same rows.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan alone
-        return df
-    return df.repartition(target) if current < target else df
-
-
 def collisions_feed(lineitem: DataFrame) -> DataFrame:
     """29 STRING columns + ``_ingestion_timestamp`` per lineitem row."""
-    lineitem = spread(lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"))
+    lineitem = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
     k, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
 
     def when_k(mod: int, val: str, other: str | None = "0") -> Column:

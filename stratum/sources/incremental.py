@@ -12,14 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.session import scratch_path
+
 # --- fixed values -------------------------------------------------------------------------
 INITIAL_LOAD_DAYS = 365   # first run / full reload reaches back one year
 PAGE_SIZE = 50_000        # rows per page
 # -------------------------------------------------------------------------------------------
 
-# Deepest page (offset + size, in rows) served by a top-K; deeper pages use page_numbers.
-TOP_K_MAX_ROWS = 1_000_000
-
 
 def _midnight(d) -> dt.datetime:
     if isinstance(d, dt.datetime):
@@ -96,42 +95,58 @@ def read_mark(spark: SparkSession, path: str):
 
 
 def page(df: DataFrame, order: list, size: int = PAGE_SIZE, n: int = 0,
-         top_k_max_rows: int = TOP_K_MAX_ROWS) -> DataFrame:
-    """Page ``n`` (0-based) of ``size`` rows in ``order``.
+         strategy: str = "top_k") -> DataFrame:
+    """Page ``n`` (0-based) of ``size`` rows in ``order``, sorted; any columns are allowed.
 
-    A shallow page plans as a top-K (``TakeOrderedAndProject``: every task keeps only
-    ``offset + size`` rows). A deep page would make each task hold millions of rows, so it
-    is served from :func:`page_numbers` (range partitioning, no single-task step) instead.
+    ``top_k`` (lazy) plans as ``TakeOrderedAndProject``: every task keeps ``offset + size`` rows,
+    which suits the first pages. ``numbered`` numbers all rows first, as :func:`page_numbers`
+    does, and suits deep pages; to read many pages, number once and filter.
     """
-    if (n + 1) * size <= top_k_max_rows:
+    if strategy == "top_k":
         return df.orderBy(*order).offset(n * size).limit(size)
-    return page_numbers(df, order, size).where(F.col("page_no") == n).drop("row_no", "page_no")
+    if strategy != "numbered":
+        raise ValueError(f"unknown strategy {strategy}")
+    rows = _numbered(df, order, "__row_no").where(F.col("__row_no").between(n * size + 1, (n + 1) * size))
+    return rows.orderBy("__row_no").drop("__row_no")
 
 
 def page_numbers(df: DataFrame, order: list[str], size: int = PAGE_SIZE,
                  partitions: int | None = None) -> DataFrame:
-    """Every row with its global ``row_no`` (1-based) and ``page_no`` in ``order``.
+    """Every row with its global ``row_no`` (1-based) and ``page_no`` in ``order``, which must be
+    a total order (end it with a unique key). Columns of these names must not exist yet."""
+    if clash := {"row_no", "page_no"} & set(df.columns):
+        raise ValueError(f"columns {sorted(clash)} would be overwritten")
+    return _numbered(df, order, "row_no", partitions).select(
+        "*", F.floor((F.col("row_no") - 1) / size).cast("long").alias("page_no"))
+
+
+def _partitions(spark: SparkSession) -> int:
+    """The shuffle partition setting, or the parallelism where it is not a number."""
+    text = spark.conf.get("spark.sql.shuffle.partitions", "")
+    return int(text) if str(text).isdigit() else spark.sparkContext.defaultParallelism
+
+
+def _numbered(df: DataFrame, order: list, name: str, partitions: int | None = None) -> DataFrame:
+    """Rows with their global position, without a single-partition window.
 
-    No single-partition window: rows are range-partitioned on the full ordering key (the
-    sampled bounds split even one day that holds a third of the rows), sorted within each
-    partition, and checkpointed under ``spark.checkpoint.dir`` so positions survive
-    recomputation. A per-partition count table (one row per partition: a proven bound) gives
-    each partition's offset. ``order`` must be a total order (end it with a unique key).
+    Rows are range-partitioned on the full ordering key (the sampled bounds split even one day
+    that holds a third of the rows), sorted within each partition and written to the shared
+    scratch folder, so positions survive recomputation. A count per partition (one row each: a
+    proven bound), read from one column, gives each partition's offset.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .select("*", F.spark_partition_id().alias("_part"),
-                      F.monotonically_increasing_id().alias("_mono"))
-              .checkpoint(eager=True))
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    position = F.col("_mono") - F.shiftleft(F.col("_part").cast("long"), 33)
-    row_no = (F.col("_offset") + position + 1).alias("row_no")
-    return (ranged.join(F.broadcast(offsets), "_part")
-            .select(*df.columns, row_no)
-            .select("*", F.floor((F.col("row_no") - 1) / size).cast("long").alias("page_no")))
+    path = scratch_path(spark, "numbered")
+    position = F.monotonically_increasing_id()
+    (df.repartitionByRange(partitions or _partitions(spark), *order).sortWithinPartitions(*order)
+     .select("*", F.spark_partition_id().alias("__part"),
+             (position - F.shiftleft(F.spark_partition_id().cast("long"), 33) + 1).alias("__at"))
+     .write.parquet(path))
+    ranged = spark.read.parquet(path)
+    counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    return (ranged.join(F.broadcast(offsets), "__part")
+            .select(*df.columns, (F.col("__offset") + F.col("__at")).alias(name)))
 
 
 def ingest(source: DataFrame, ts_col: str, landing_dir: str, state_path: str, today,

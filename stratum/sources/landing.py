@@ -9,22 +9,21 @@ from pyspark.sql import types as T
 NESTED = (T.StructType, T.ArrayType, T.MapType)
 # Full-precision timestamps in landed text (the JSON writer keeps milliseconds by default).
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+TS_OPTIONS = {"timestampNTZFormat": TS_FORMAT, "timestampFormat": TS_FORMAT + "XXX"}
 
 
 def flatten_nested(df: DataFrame) -> DataFrame:
     """Every struct / array / map column becomes compact JSON text (NULL fields kept as
-    ``null``); scalar columns pass through unchanged."""
+    ``null``, timestamps with all their microseconds); scalar columns pass through unchanged."""
     return df.select(*[
-        F.to_json(F.col(f.name), {"ignoreNullFields": "false"}).alias(f.name)
+        F.to_json(F.col(f.name), {"ignoreNullFields": "false", **TS_OPTIONS}).alias(f.name)
         if isinstance(f.dataType, NESTED) else F.col(f.name)
         for f in df.schema.fields])
 
 
 def land_jsonl(df: DataFrame, landing_dir: str, batch_id: str) -> str:
     """Write one batch as JSON lines under ``landing_dir/batch=<id>``; re-landing the same
-    batch id overwrites it (a retried run never duplicates a batch)."""
+    batch id overwrites it, and the load then replaces that batch's rows."""
     path = f"{landing_dir.rstrip('/')}/batch={batch_id}"
-    (flatten_nested(df).write.mode("overwrite")
-     .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT + "XXX")
-     .json(path))
+    flatten_nested(df).write.mode("overwrite").options(**TS_OPTIONS).json(path)
     return path

@@ -24,6 +24,8 @@ RAW_COLUMNS = [
 
 INGESTION_TS = "_ingestion_timestamp"
 EXTRA_COL = "_extra"
+# Most keys that a load may add as columns without naming them.
+MAX_NEW_KEYS = 1000
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
@@ -43,21 +45,27 @@ def read_raw(spark: SparkSession, path: str, columns=RAW_COLUMNS) -> DataFrame:
 
 def parse_records(lines: DataFrame, columns=RAW_COLUMNS, extra_col: str = EXTRA_COL) -> DataFrame:
     """JSON text lines (``value``) -> known columns as STRING + a ``map<string,string>`` of
-    every other key (L6, L7). Each line is parsed once; nested values stay JSON text. A line
-    that is not JSON gives a NULL map and all-NULL columns (it survives to the id filter
-    instead of failing the load)."""
-    m = F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType()))
+    every other key (L6, L7). Known keys are parsed by a struct schema; the map is built only
+    for a line that has other keys. Nested values stay JSON text. A line that is not JSON gives
+    a NULL map and all-NULL columns (it survives to the id filter instead of failing the load).
+    Columns of ``lines`` other than ``value`` are kept."""
+    rest = [c for c in lines.columns if c != "value"]
+    text_map = T.MapType(T.StringType(), T.StringType())
     known = F.array(*[F.lit(c) for c in columns])
-    return lines.select(m.alias("_m")).select(
-        *[F.col("_m")[c].alias(c) for c in columns],
-        F.map_filter("_m", lambda k, v: ~F.array_contains(known, k)).alias(extra_col))
+    keys = F.json_object_keys("value")
+    others = F.map_filter(F.from_json("value", text_map), lambda k, v: ~F.array_contains(known, k))
+    extra = (F.when(F.size(F.array_except(keys, known)) > 0, others)
+             .when(keys.isNotNull(), F.map_from_arrays(F.array().cast("array<string>"),
+                                                       F.array().cast("array<string>"))))
+    return (lines.select(*rest, F.from_json("value", string_schema(columns)).alias("_s"), extra.alias(extra_col))
+            .select(*rest, *[F.col("_s")[c].alias(c) for c in columns], extra_col))
 
 
 def read_merged(spark: SparkSession, path: str, columns=RAW_COLUMNS,
                 extra_col: str = EXTRA_COL) -> DataFrame:
     """Schema-merging load (L7): files with missing or new fields load side by side; unknown
     keys wait in ``_extra`` until :func:`promote_extra` turns them into columns."""
-    return parse_records(spark.read.option("pathGlobFilter", "*.json").text(path), columns, extra_col)
+    return parse_records(spark.read.text(path).select("value"), columns, extra_col)
 
 
 def promote_extra(df: DataFrame, keys, extra_col: str = EXTRA_COL) -> DataFrame:
@@ -65,13 +73,18 @@ def promote_extra(df: DataFrame, keys, extra_col: str = EXTRA_COL) -> DataFrame:
     return df.select("*", *[F.col(extra_col)[k].alias(k) for k in keys])
 
 
-def promote_all_extra(df: DataFrame, extra_col: str = EXTRA_COL) -> DataFrame:
-    """Promote every key seen in ``_extra`` (like a merge-schema load adding new fields).
+def extra_keys(df: DataFrame, extra_col: str = EXTRA_COL, max_keys: int = MAX_NEW_KEYS) -> list[str]:
+    """The keys seen in ``_extra``. A feed with id-like keys has no bound, so more than
+    ``max_keys`` stop the load with an error; nothing is cut."""
+    keys = df.select(F.explode(F.map_keys(extra_col)).alias("k")).distinct().limit(max_keys + 1).collect()
+    if len(keys) > max_keys:
+        raise ValueError(f"more than {max_keys} new JSON keys: name those to promote")
+    return sorted(r.k for r in keys)
 
-    Discovering the keys is one distinct aggregate over the map keys; only the key names
-    (bounded by the schema width, not by the row count) reach the driver.
-    """
-    keys = sorted(r[0] for r in df.select(F.explode(F.map_keys(extra_col))).distinct().collect())
+
+def promote_all_extra(df: DataFrame, extra_col: str = EXTRA_COL, max_keys: int = MAX_NEW_KEYS) -> DataFrame:
+    """Promote every key seen in ``_extra`` (like a merge-schema load adding new fields)."""
+    keys = extra_keys(df, extra_col, max_keys)
     return promote_extra(df, [k for k in keys if k not in df.columns], extra_col)
 
 

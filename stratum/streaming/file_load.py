@@ -1,10 +1,15 @@
-"""File-level idempotent load of landed JSON lines into bronze.
+"""Idempotent load of landed JSON lines into bronze (L7-L11, T1) and its compaction.
 
-Structured Streaming's file source remembers every file it committed in the checkpoint, so
-re-running the load adds nothing and a new file is read exactly once. Each micro-batch is
-written with ``foreachBatch`` to ``bronze/load_id=<batchId>/`` in overwrite mode: a batch
-replayed after a crash rewrites the same folder instead of appending twice. Inside a load,
-rows are partitioned by the crash date for pruning.
+Structured Streaming's file source remembers every file it committed in the checkpoint, so a
+new file is seen exactly once. What is loaded is a landing *unit*: a batch folder
+(``batch=<id>``) or a single file of the landing folder. When the stream reports a file of a unit,
+the whole unit replaces that unit's rows in bronze. So a rerun adds nothing, a replayed
+micro-batch writes the same rows again, and a batch landed twice under its id counts once.
+
+Bronze is versioned: ``bronze/v=<n>/load_id=<unit>/<date partition>/``. Loads append to the
+current version, the newest one whose write was completed. :func:`compact_bronze` writes the next
+version with all units' rows packed by date; the unit stays in the column ``_load``, so a unit
+that is landed again after a compaction still replaces its own rows.
 
 The checkpoint and bronze folders must be on shared storage; by default they live under
 ``spark.checkpoint.dir``.
@@ -12,32 +17,49 @@ The checkpoint and bronze folders must be on shared storage; by default they liv
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratum.sources.raw import RAW_COLUMNS, parse_records, with_load_columns
+from stratum.session import delete_path, list_names, path_exists, qualified
+from stratum.sinks.tables import read_typed
+from stratum.sources.raw import EXTRA_COL, RAW_COLUMNS, extra_keys, parse_records, promote_extra, with_load_columns
 
 # Landed files can be old (backfills); never skip a file for its age.
 MAX_FILE_AGE = "36500d"
+UNIT = "_load"
+MERGED = "merged"
+# Units written by one job; a backfill with more runs several.
+UNITS_A_JOB = 50
 
 
 def load_new_files(spark: SparkSession, landing_dir: str, bronze_path: str, checkpoint: str,
                    columns=RAW_COLUMNS, date_col: str = "crash_date",
                    partition_col: str = "crash_date_partition",
-                   max_files_per_trigger: int | None = None) -> None:
-    """Load every landed file not loaded before, then stop (``availableNow``)."""
+                   max_files_per_trigger: int | None = None, grow: bool = True) -> None:
+    """Load every unit with a landed file not seen before, then stop (``availableNow``).
+
+    Every file name is read (compressed ones too), but for those that begin with ``_`` or ``.``.
+    With ``grow``, a JSON key that is not among ``columns`` becomes a bronze column; see
+    :func:`stratum.sources.raw.extra_keys` for the bound.
+    """
     reader = (spark.readStream.format("text").option("maxFileAge", MAX_FILE_AGE)
-              .option("pathGlobFilter", "*.json"))
+              .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.load(landing_dir)
+    files = reader.load(landing_dir).select(F.col("_metadata.file_path").alias("file"))
+    root = qualified(spark, landing_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = with_load_columns(parse_records(batch, columns), date_col, partition_col)
-        # one file per date per load (hot dates split by adaptive execution), not one per task
-        (rows.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col)
-         .parquet(f"{bronze_path.rstrip('/')}/load_id={batch_id}"))
+        seen = [unquote(r.file) for r in batch.distinct().collect()]      # one row per new file
+        units = sorted({_below(f, root) for f in seen})
+        for k in range(0, len(units), UNITS_A_JOB):
+            _replace_units(spark, root, bronze_path, units[k:k + UNITS_A_JOB], columns, date_col,
+                           partition_col, grow)
 
-    q = (lines.writeStream.foreachBatch(write_batch)
+    q = (files.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -45,6 +67,59 @@ def load_new_files(spark: SparkSession, landing_dir: str, bronze_path: str, chec
         raise q.exception()
 
 
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """The bronze table (all loads); ``load_id`` and the date partition are discovered."""
-    return spark.read.parquet(bronze_path)
+def _below(file: str, root: str) -> str:
+    """The first path component below the landing folder."""
+    plain = file.split(":", 1)[-1].lstrip("/")
+    base = root.split(":", 1)[-1].strip("/")
+    return plain[len(base):].lstrip("/").split("/", 1)[0]
+
+
+def _replace_units(spark: SparkSession, root: str, bronze_path: str, units: list[str], columns,
+                   date_col: str, partition_col: str, grow: bool) -> None:
+    merged = f"{current_bronze(spark, bronze_path)}/load_id={MERGED}"
+    if path_exists(spark, merged) and spark.read.parquet(merged).where(F.col(UNIT).isin(units)).take(1):
+        compact_bronze(spark, bronze_path, partition_col, without=units)
+    target = current_bronze(spark, bronze_path)
+    for name in list_names(spark, target):
+        if name.startswith("load_id=") and unquote(name.split("=", 1)[1]) in units:
+            delete_path(spark, f"{target}/{name}")
+    lines = reduce(DataFrame.union, [
+        spark.read.option("recursiveFileLookup", "true").text(f"{root}/{u}")
+        .select("value", F.lit(u).alias(UNIT)) for u in units])
+    rows = with_load_columns(parse_records(lines, columns), date_col, partition_col)
+    if grow:
+        taken = {c.lower() for c in rows.columns}
+        rows = promote_extra(rows, [k for k in extra_keys(rows) if k.lower() not in taken])
+    # one file per unit and date (hot dates split by adaptive execution), not one per task
+    (rows.withColumn("load_id", F.col(UNIT)).hint("rebalance", "load_id", partition_col)
+     .write.mode("append").partitionBy("load_id", partition_col).parquet(target))
+
+
+def current_bronze(spark: SparkSession, bronze_path: str) -> str:
+    """Folder of the newest completed version (the first one until there is another)."""
+    base = bronze_path.rstrip("/")
+    done = [int(n[2:]) for n in list_names(spark, base)
+            if n.startswith("v=") and path_exists(spark, f"{base}/{n}/_SUCCESS")]
+    return f"{base}/v={max(done, default=0)}"
+
+
+def compact_bronze(spark: SparkSession, bronze_path: str, partition_col: str = "crash_date_partition",
+                   without: list[str] | None = None) -> str:
+    """Write the next version with the rows of all units (but ``without``) packed by date.
+
+    Readers of the version before are not disturbed; it stays until it is deleted by hand.
+    """
+    now = current_bronze(spark, bronze_path)
+    rows = read_bronze(spark, bronze_path, partition_col)
+    if without:
+        rows = rows.where(~F.col(UNIT).isin(without))
+    target = f"{bronze_path.rstrip('/')}/v={int(now.rsplit('=', 1)[1]) + 1}"
+    (rows.withColumn("load_id", F.lit(MERGED)).hint("rebalance", partition_col)
+     .write.mode("overwrite").partitionBy("load_id", partition_col).parquet(target))
+    return target
+
+
+def read_bronze(spark: SparkSession, bronze_path: str,
+                partition_col: str = "crash_date_partition") -> DataFrame:
+    """The bronze table (all units), with every column that any unit brought."""
+    return read_typed(spark, current_bronze(spark, bronze_path), {partition_col: "date"}, merge_schema=True)

@@ -2,6 +2,7 @@
 compaction, seed CSV, mark state and the incremental run."""
 
 import datetime as dt
+import gzip
 import json
 import os
 
@@ -13,7 +14,7 @@ from stratum.sinks.tables import compact, file_count, write_table
 from stratum.sources.incremental import ingest, read_mark
 from stratum.sources.landing import flatten_nested, land_jsonl
 from stratum.sources.raw import RAW_COLUMNS, promote_extra, read_merged, read_raw, read_seed
-from stratum.streaming.file_load import load_new_files, read_bronze
+from stratum.streaming.file_load import compact_bronze, current_bronze, load_new_files, read_bronze
 
 from conftest import SF0001
 
@@ -75,14 +76,92 @@ def test_file_load_is_idempotent_per_file(spark, tmp_path, raw_rows):
     assert b.count() == 4
     assert b.where("collision_id = '9'").first().crash_date_partition == dt.date(2024, 2, 1)
     assert b.where("_ingestion_timestamp is null").count() == 0
-    assert {r.load_id for r in b.select("load_id").distinct().collect()} == {0, 1}
+    assert {r.load_id for r in b.select("load_id").distinct().collect()} == {"batch=1", "batch=2"}
+    # a batch landed again replaces its own rows
+    land_jsonl(one.limit(2).select(*RAW_COLUMNS), landing, "1")
+    load_new_files(spark, landing, bronze, ckpt)
+    load_new_files(spark, landing, bronze, ckpt)
+    assert sorted(r.load_id for r in read_bronze(spark, bronze).collect()) == ["batch=1"] * 2 + ["batch=2"]
+
+
+def test_any_file_name_is_loaded(spark, tmp_path):
+    landing, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+    landing.mkdir()
+    with gzip.open(landing / "a.json.gz", "wt") as f:
+        f.write(json.dumps({"collision_id": "1", "crash_date": "2024-01-01"}) + "\n")
+    (landing / "b.json").write_text(json.dumps({"collision_id": "2"}) + "\n")
+    (landing / "c.txt").write_text(json.dumps({"collision_id": "3"}) + "\n")
+    (landing / "_hidden.json").write_text(json.dumps({"collision_id": "4"}) + "\n")
+    load_new_files(spark, str(landing), bronze, str(tmp_path / "ckpt"))
+    assert {r.collision_id for r in read_bronze(spark, bronze).collect()} == {"1", "2", "3"}
+    assert {r.collision_id for r in read_merged(spark, str(landing)).collect()} == {"1", "2", "3"}
+
+
+def test_new_keys_become_bronze_columns(spark, tmp_path):
+    landing, bronze, ckpt = tmp_path / "landing", str(tmp_path / "bronze"), str(tmp_path / "ckpt")
+    landing.mkdir()
+    (landing / "a.json").write_text(json.dumps({"collision_id": "1", "crash_date": "2024-01-01"}) + "\n")
+    load_new_files(spark, str(landing), bronze, ckpt)
+    (landing / "b.json").write_text(json.dumps({"collision_id": "2", "crash_date": "2024-01-02", "lane": 3,
+                                                "Borough": "x", "obj": {"z": 1}}) + "\n")
+    load_new_files(spark, str(landing), bronze, ckpt)
+    rows = {r.collision_id: r for r in read_bronze(spark, bronze).collect()}
+    assert rows["1"].lane is None and rows["2"].lane == "3" and json.loads(rows["2"].obj) == {"z": 1}
+    assert rows["2"]._extra["Borough"] == "x"          # differs from a column in case only: kept aside
+    assert C.silver(read_bronze(spark, bronze)).count() == 2
+
+
+def test_too_many_new_keys_stop_with_an_error(spark, tmp_path):
+    from stratum.sources.raw import promote_all_extra
+    (tmp_path / "a.json").write_text("\n".join(json.dumps({f"key{i}": 1}) for i in range(30)) + "\n")
+    merged = read_merged(spark, str(tmp_path), ["collision_id"])
+    with pytest.raises(ValueError, match="more than 20"):
+        promote_all_extra(merged, max_keys=20)
+
+
+def test_bronze_compaction_and_the_next_loads(spark, tmp_path, raw_rows):
+    landing, bronze, ckpt = str(tmp_path / "landing"), str(tmp_path / "bronze"), str(tmp_path / "ckpt")
+    for k in range(4):
+        rows = raw_rows([{"collision_id": f"{k}{i}", "crash_date": "2024-01-01"} for i in range(3)])
+        land_jsonl(rows.select(*RAW_COLUMNS), landing, f"b{k}")
+        load_new_files(spark, landing, bronze, ckpt)
+    before = file_count(spark, current_bronze(spark, bronze))
+    compact_bronze(spark, bronze)
+    assert current_bronze(spark, bronze).endswith("v=1")
+    assert before == 4 and file_count(spark, current_bronze(spark, bronze)) == 1
+    assert read_bronze(spark, bronze).count() == 12
+    # the next load continues from the new version; a batch packed into it can still be replaced
+    land_jsonl(raw_rows([{"collision_id": "n", "crash_date": "2024-01-02"}]).select(*RAW_COLUMNS), landing, "b9")
+    load_new_files(spark, landing, bronze, ckpt)
+    assert read_bronze(spark, bronze).count() == 13
+    land_jsonl(raw_rows([{"collision_id": "r", "crash_date": "2024-01-02"}]).select(*RAW_COLUMNS), landing, "b2")
+    load_new_files(spark, landing, bronze, ckpt)
+    ids = {r.collision_id for r in read_bronze(spark, bronze).collect()}
+    assert ids == {f"{k}{i}" for k in (0, 1, 3) for i in range(3)} | {"n", "r"}
+
+
+def test_nested_timestamps_keep_microseconds(spark, tmp_path):
+    df = spark.sql("select named_struct('t', timestamp_ntz'2024-01-01 00:00:00.123456') as s, "
+                   "timestamp_ntz'2024-01-01 00:00:00.123456' as t")
+    assert json.loads(flatten_nested(df).first().s) == {"t": "2024-01-01T00:00:00.123456"}
+    land_jsonl(df, str(tmp_path), "1")
+    r = read_raw(spark, str(tmp_path), ["s", "t"]).first()
+    assert "00:00:00.123456" in r.s and "00:00:00.123456" in r.t
+
+
+def test_compaction_keeps_the_text_of_partition_values(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "01001"), (2, "01001"), (3, "2e3"), (4, None)], "id int, zip string")
+    rows.write.partitionBy("zip").parquet(str(tmp_path / "src"))
+    out = compact(spark, str(tmp_path / "src"), str(tmp_path / "dst"), "zip")
+    assert sorted((r.id, r.zip) for r in out.collect()) == [(1, "01001"), (2, "01001"), (3, "2e3"), (4, None)]
+    assert {"zip=01001", "zip=2e3"} <= set(os.listdir(tmp_path / "dst"))
 
 
 def test_compaction_reduces_files_and_keeps_rows(spark, tmp_path):
     ev = spark.read.parquet(f"{SF0001}/events.parquet").withColumn("event_date", F.to_date("ts"))
     ev.repartition(16).write.partitionBy("event_date").parquet(str(tmp_path / "src"))
     before = file_count(spark, str(tmp_path / "src"))
-    out = compact(spark, str(tmp_path / "src"), str(tmp_path / "dst"), "event_date")
+    out = compact(spark, str(tmp_path / "src"), str(tmp_path / "dst"), "event_date", ev.schema)
     after = file_count(spark, str(tmp_path / "dst"))
     assert after < before and after <= ev.select("event_date").distinct().count()
     assert out.count() == ev.count()
@@ -151,26 +230,47 @@ def test_publish_table_repoints(spark, tmp_path):
 
 def test_staged_run_publishes_only_checked_gold(spark, tmp_path, raw_rows):
     from stratum.operators.checks import ChecksFailed
-    from stratum.plans.staged_run import staged_run
+    from stratum.plans.staged_run import current_build, drop_old_builds, staged_run
     good = raw_rows([{"collision_id": str(i), "crash_date": "2024-01-0%d" % (1 + i % 3),
                       "borough": "queens", "number_of_persons_injured": "1"} for i in range(6)])
-    p = staged_run(spark, good, str(tmp_path / "run1"), "1", publish_prefix="wap_")
+    base = str(tmp_path / "lake")
+    p = staged_run(spark, good, base, "1", publish_prefix="wap_")
     assert spark.table("wap_borough_collision_metrics").first().total_collisions == 6
     assert spark.table("wap_fact_collisions").count() == 6
     assert spark.table("wap_collisions_clean").count() == 6
     assert spark.table("wap_collisions_raw").count() == 6
-    # a rerun lands the batch again under new part-file names: bronze loads them as new files
-    # and silver's keep-latest absorbs the repeats
-    staged_run(spark, good, p.base, "1", publish_prefix="wap_")
-    assert spark.read.parquet(p.bronze).count() == 12
+    # a rerun lands the batch again: it replaces itself in bronze
+    again = staged_run(spark, good, base, "1", publish_prefix="wap_")
+    assert read_bronze(spark, p.bronze).count() == 6
     assert spark.table("wap_fact_collisions").count() == 6
-    # a borough outside the accepted list fails the checks: nothing new is published
+    assert again.run_id != p.run_id and current_build(spark, base) == again
+    # same lake, a borough outside the accepted list: the checks fail and nothing new is published
     bad = raw_rows([{"collision_id": "x1", "crash_date": "2024-01-05", "borough": "atlantis"}])
     with pytest.raises(ChecksFailed):
-        staged_run(spark, bad, str(tmp_path / "run2"), "1", publish_prefix="wap_")
+        staged_run(spark, bad, base, "2", publish_prefix="wap_")
     assert spark.table("wap_fact_collisions").count() == 6
-    assert spark.read.parquet(str(tmp_path / "run2" / "audit" /
+    assert spark.table("wap_collisions_clean").count() == 6
+    assert spark.table("wap_borough_collision_metrics").where("borough = 'ATLANTIS'").count() == 0
+    assert current_build(spark, base) == again
+    failed = max(os.listdir(tmp_path / "lake" / "builds"))
+    assert spark.read.parquet(str(tmp_path / "lake" / "builds" / failed / "audit" /
                                   "accepted_values_stg_collisions_borough")).count() == 1
+    # a build that is killed half-way leaves the published tables readable and current
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(C, "fact", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            staged_run(spark, good, base, "1", publish_prefix="wap_")
+    assert spark.table("wap_fact_collisions").count() == 6 and current_build(spark, base) == again
+    assert drop_old_builds(spark, base, keep=1) == [p.run_id]
+    assert spark.table("wap_fact_collisions").count() == 6
+
+
+def test_run_paths_reject_unknown_names(tmp_path):
+    from stratum.plans.staged_run import RunPaths
+    with pytest.raises(AttributeError):
+        RunPaths(str(tmp_path), "r").slver
+    with pytest.raises(ValueError):
+        RunPaths(str(tmp_path)).silver
 
 
 def test_create_schema_and_managed_table(spark):

@@ -3,6 +3,7 @@
 from stratum import jobs
 from stratum.plans.registry import feed
 from stratum.sources.raw import INGESTION_TS, RAW_COLUMNS
+from stratum.streaming.file_load import read_bronze
 
 from conftest import SF0001
 
@@ -17,10 +18,12 @@ def test_ingest_load_build(spark, tmp_path):
                       "--batch-id", "b1"], spark) == 0
     assert jobs.main(["load", "--landing", landing, "--base", base], spark) == 0
     assert jobs.main(["build", "--base", base, "--publish-prefix", "job_"], spark) == 0
-    landed = spark.read.parquet(f"{base}/bronze").count()
+    assert jobs.main(["compact", "--base", base], spark) == 0
+    landed = read_bronze(spark, f"{base}/bronze").count()
     assert landed == raw.where(f"{INGESTION_TS} > timestamp_ntz'2000-12-01 00:00:00' and "
                                f"{INGESTION_TS} <= timestamp_ntz'2001-11-30 23:59:59'").count()
-    assert spark.table("job_fact_collisions").count() == spark.read.parquet(f"{base}/silver").count()
+    assert spark.table("job_fact_collisions").count() == spark.table("job_collisions_clean").count() > 0
+    assert spark.table("job_collisions_raw").count() == landed
 
 
 def test_build_exits_1_when_checks_fail(spark, tmp_path, raw_rows):

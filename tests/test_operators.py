@@ -85,10 +85,42 @@ def test_page_numbers_split_a_hot_day(spark):
 def test_ordered_page(spark):
     df = spark.range(0, 25).withColumn("g", F.lit(1))
     assert [r.id for r in page(df, ["id"], size=10, n=2).collect()] == list(range(20, 25))
-    # a deep page takes the distributed path and returns the same rows
-    deep = page(df, ["id"], size=10, n=1, top_k_max_rows=5)
-    assert deep.columns == ["id", "g"]
-    assert sorted(r.id for r in deep.collect()) == list(range(10, 20))
+    # numbered pages return the same rows in the same order, whatever the columns are called
+    deep = page(df.withColumnRenamed("g", "row_no"), ["id"], size=10, n=1, strategy="numbered")
+    assert deep.columns == ["id", "row_no"]
+    assert [r.id for r in deep.collect()] == list(range(10, 20))
+    assert page(df, ["id"], size=10, n=9, strategy="numbered").collect() == []
+    with pytest.raises(ValueError):
+        page_numbers(df.withColumnRenamed("g", "row_no"), ["id"])
+
+
+def test_registered_orders(spark):
+    from stratum.plans import registry as R
+    sf = "/root/testdata/sf0.01"
+    for name in ("ordered_page", "deep_page"):
+        rows = [(r.ts, r.event_id) for r in R.QUERIES[name](spark, sf).collect()]
+        assert len(rows) == 1000 and rows == sorted(rows)
+    months = [(r.year, r.month) for r in R.q_monthly_metrics(spark, sf).collect()]
+    assert len(months) > 1 and months == sorted(months)
+    totals = [r.total_collisions for r in R.q_borough_metrics(spark, sf).collect()]
+    assert len(totals) > 1 and totals == sorted(totals, reverse=True)
+
+
+def test_fingerprints_of_different_rows_differ(spark):
+    from stratum.functions.columns import row_fingerprint
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("~", "x"), ("", "x"), ("1:a", ""), ("a", "1:")]
+    df = spark.createDataFrame(rows, "p string, q string")
+    assert df.select(row_fingerprint("p", "q").alias("f")).distinct().count() == len(rows)
+
+
+def test_lookup_is_broadcast_only_with_a_known_length(spark):
+    from stratum.plans import collisions as C
+    boroughs = spark.createDataFrame([("QUEENS", 1)], "borough string, n int")
+    lookup = C.borough_lookup(spark)
+    hinted = C.with_borough_lookup(boroughs, lookup, 6)._jdf.queryExecution().logical().toString()
+    free = C.with_borough_lookup(boroughs, lookup)._jdf.queryExecution().logical().toString()
+    large = C.with_borough_lookup(boroughs, lookup, 10 ** 9)._jdf.queryExecution().logical().toString()
+    assert "ResolvedHint" in hinted and "ResolvedHint" not in free and "ResolvedHint" not in large
 
 
 # --- G1 / P19 / P22 -----------------------------------------------------------------------------
