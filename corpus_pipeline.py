@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm import bpe, language_id, mixing, ngram_join, quality_classifier
 from stratum.llm.common import fold_is, read_table
-from stratum.llm.registry import labelled
+from stratum.llm.registry import learnt_labels
 from stratum.session import scratch_path
 
 _P = "__stage_"
@@ -27,7 +27,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents scored below the threshold go."""
-    model = quality_classifier.fit(labelled(docs, read_table(spark, sf_dir, "labels")))
+    model = quality_classifier.fit(docs, learnt_labels(spark, sf_dir))
     score = quality_classifier.score(F.col("text"), model)
     return (docs.withColumn(_P + "score", score)
             .where(F.col(_P + "score") >= quality_classifier.THRESHOLD).select(*docs.columns))

@@ -10,10 +10,11 @@ turned into a probability by a logistic curve fitted to held-back rows of the sa
 
 Scale: class counts are summed per task before the shuffle (at most two numbers a column); the
 driver receives those and the sample's features, both bounded by parameters. The model is one
-weight a column.
+weight a column. Labels are broadcast to the documents up to ``MAX_BROADCAST_LABELS`` rows,
+counted first, so texts are not shuffled; beyond that both are joined by a shuffle.
 
 Defined cases: NULL and empty texts have no features and get the score of the bias alone; labels
-that repeat for an id: every row counts; NULL labels are ignored; with one class or none the score is
+that repeat for an id: every row counts, as does every document of an id; NULL labels and ids are ignored; with one class or none the score is
 the share of label 1 (0.5 without labels); texts of any length are read whole; rows that repeat are
 each scored; other columns pass through.
 """
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 HASH_BITS = 18
 MAX_FIT = 8000              # labelled rows that the dual coordinate descent sees, about
+MAX_BROADCAST_LABELS = 1 << 20      # of 12 bytes
 THRESHOLD = 0.7
 ALPHA = 1.0                 # added to the class counts
 C = 1.0
@@ -47,9 +49,21 @@ class Model(NamedTuple):
     offset: float
 
 
-def _shape(word: str) -> str:
-    word = re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", re.sub(r"\d", "9", word))
-    return re.sub(r"(.)\1+", r"\1", word)
+class _Marks(dict):
+    """Code point -> its mark in a word shape, worked out once each."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = mark = ("A" if c.isupper() else "a") if c.isalpha() else "9" if c.isdigit() else c
+        return mark
+
+
+_marks = _Marks()
+
+
+def shapes_of(words: list[str]) -> list[str]:
+    """The shape of each word; words hold no line feed."""
+    return re.sub(r"([^\n])\1+", r"\1", "\n".join(words).translate(_marks)).split("\n")
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -68,7 +82,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     code, distinct = pd.factorize(words)
     texts_of = [w.decode() for w in distinct]
     lower = pd.util.hash_array(np.array([w.lower() for w in texts_of], dtype=object), categorize=False)
-    shapes = pd.util.hash_array(np.array([_shape(w) for w in texts_of], dtype=object), categorize=False)
+    shapes = pd.util.hash_array(np.array(shapes_of(texts_of), dtype=object), categorize=False)
     shape = shapes[code]
     again = np.zeros(len(code), bool)
     again[1:] = (code[1:] == code[:-1]) & (row[1:] == row[:-1])
@@ -169,12 +183,19 @@ def _logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(theta[0]), float(theta[1])
 
 
-def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-        max_fit: int = MAX_FIT, c: float = C, epochs: int = EPOCHS) -> Model:
-    """Fit on rows with labels 0 and 1. Class counts cover all rows; the descent sees a sample of
-    about ``max_fit``, drawn by a hash of the id, the rarer class first."""
-    rows = (train.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                         F.col(label_col).cast("int").alias("label")).where("label in (0, 1)"))
+def _bounded(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= MAX_BROADCAST_LABELS else df
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "quality", max_fit: int = MAX_FIT, c: float = C, epochs: int = EPOCHS) -> Model:
+    """Fit on the documents that ``labels`` (id, label) marks 0 or 1. Class counts cover all of them;
+    the descent sees a sample of about ``max_fit``, drawn by a hash of the id, the rarer class first."""
+    given = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+             .where("label in (0, 1) and id is not null"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    many = given.count()
+    rows = texts.join(_bounded(given, many), "id")
     counts = (rows.select("text", "label").mapInArrow(_count_batches, "column int, n0 long, n1 long")
               .groupBy("column").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))).toPandas()
     total = counts[counts["column"] < 0][["n0", "n1"]].to_numpy(np.float64).sum(axis=0)
@@ -189,8 +210,9 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_
     half = max_fit / 2
     fewer = min(half, total.min())
     share = [(fewer if t == total.min() else max_fit - fewer) / t for t in total]
-    uniform = F.shiftrightunsigned(F.xxhash64(F.lit(17), "id", "text"), 11) / F.lit(float(2 ** 53))
-    chosen = rows.where(uniform < F.when(F.col("label") == 0, share[0]).otherwise(share[1]))
+    uniform = F.shiftrightunsigned(F.xxhash64(F.lit(17), "id"), 11) / F.lit(float(2 ** 53))
+    drawn = given.where(uniform < F.when(F.col("label") == 0, share[0]).otherwise(share[1]))
+    chosen = texts.join(_bounded(drawn, drawn.count()), "id")
     sample = chosen.select("text", "label").mapInArrow(_sample_batches, "label int, columns binary").toPandas()
     sample = sample.sort_values(["columns", "label"], kind="stable").reset_index(drop=True)  # one order each run
     label = sample["label"].to_numpy()

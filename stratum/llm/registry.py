@@ -17,10 +17,10 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, quality of the labelled documents that may be learnt from."""
-    learn = labels.select("doc_id", "quality").where(~fold_is(F.col("doc_id"), 4, 2))
-    return docs.select("doc_id", "text").join(learn, "doc_id")
+def learnt_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, quality of the labels that may be learnt from."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return labels.where(~fold_is(F.col("doc_id"), 4, 2))
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality_classifier.fit(labelled(docs, read_table(spark, sf_dir, "labels")))
+    model = quality_classifier.fit(docs, learnt_labels(spark, sf_dir))
     rows = docs.select("doc_id", fold_is(F.col("doc_id"), 4, 2).alias("held_out"),
                        quality_classifier.score(F.col("text"), model).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= quality_classifier.THRESHOLD).cast("int"))
