@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stratum.llm.language_id import PROFILE_SIZE
 from stratum.llm.quality_rules import CUTOFFS, DELTA, RISK
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -112,4 +113,47 @@ from based left join cuts on lang is not distinct from cut_lang
 """
 
 
-ORACLE_SQL = {"op1_ngram_join": OP1, "op3_url_filter": OP3, "op9_quality_rules": op9()}
+def crc32(text: str) -> str:
+    """crc32 of an ASCII text: the byte table from its rule, then one step a byte."""
+    table = ("list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, k: "
+             "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end))")
+    codes = f"list_transform(string_split({text}, ''), lambda ch: cast(ascii(ch) as bigint))"
+    return (f"xor(list_reduce(list_concat([4294967295], {codes}), lambda c, b: "
+            f"xor(c >> 8, ({table})[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def op10(size: int = PROFILE_SIZE) -> str:
+    return rf"""
+with docs as (
+  select doc_id, lang, {crc32("cast(doc_id as varchar)")} % 5 = 0 as held_out,
+    regexp_extract_all(lower(coalesce(text, '')), '\p{{L}}+') as w from documents),
+words as (select doc_id, lang, held_out, chr(1) || x || chr(1) as x, length(x) as n
+  from (select doc_id, lang, held_out, unnest(w) as x from docs)),
+places as (select doc_id, lang, held_out, x, n, unnest(range(1, n + 2)) as i from words),
+codes as (
+  select doc_id, lang, held_out, i, n, cast(unicode(x[i]) as bigint) as a, cast(unicode(x[i + 1]) as bigint) as b,
+    case when i <= n then cast(unicode(x[i + 2]) as bigint) end as c from places),
+grams as (
+  select doc_id, lang, held_out, b as g from codes where i <= n
+  union all select doc_id, lang, held_out, a + (b << 21) from codes
+  union all select doc_id, lang, held_out, a + (b << 21) + (c << 42) from codes where c is not null),
+counts as (select doc_id, any_value(lang) as lang, any_value(held_out) as held_out, g, count(*) as n
+  from grams group by doc_id, g),
+own as (select doc_id, g, r, count(*) over (partition by doc_id) as m from (
+  select doc_id, g, row_number() over (partition by doc_id order by n desc, g) - 1 as r from counts) where r < {size}),
+profiles as (select * from (
+  select lang, g, row_number() over (partition by lang order by sum(n) desc, g) - 1 as r
+  from counts where not held_out and lang is not null group by lang, g) where r < {size}),
+langs as (select distinct lang from profiles),
+apart as (
+  select own.doc_id, langs.lang, any_value(own.m) as m,
+    sum(case when p.r is null then {size} else least(abs(p.r - own.r), {size}) end) as d
+  from own cross join langs left join profiles p on p.lang = langs.lang and p.g = own.g group by own.doc_id, langs.lang),
+best as (select doc_id, arg_min(lang, (d, lang)) as lang, min(d) as d, any_value(m) as m from apart group by doc_id)
+select docs.doc_id, docs.held_out, coalesce(best.lang, 'und') as lang_pred,
+  coalesce(1 - cast(best.d as double) / ({size} * best.m), 0) as score
+from docs left join best using (doc_id)
+"""
+
+
+ORACLE_SQL = {"op1_ngram_join": OP1, "op3_url_filter": OP3, "op9_quality_rules": op9(), "op10_language_id": op10()}
