@@ -28,11 +28,18 @@ def slices(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int,
         yield start, part
 
 
+def distinct(split: list[list]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each word among the distinct ones, the distinct ones) of lists of words."""
+    words = np.empty(sum(map(len, split)), dtype=object)
+    words[:] = [w for ws in split for w in ws]
+    return pd.factorize(words)
+
+
 def hashed_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(number of words by text, hash of every word); A-Z lower-cased, split at ASCII white space."""
     split = [t.encode().lower().split() for t in texts]
     sizes = np.fromiter(map(len, split), np.int64, len(split))
     if not sizes.sum():
         return sizes, np.empty(0, np.uint64)
-    code, distinct = pd.factorize(np.array([w for ws in split for w in ws], dtype=object))
-    return sizes, pd.util.hash_array(distinct, categorize=False)[code]
+    code, words = distinct(split)
+    return sizes, pd.util.hash_array(words, categorize=False)[code]

@@ -18,18 +18,20 @@ import functools
 import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stratum.llm import plain
-from stratum.llm.bpe import _slices, byte_alphabet
+from stratum.llm import hashed_words, plain
+from stratum.llm.bpe import byte_alphabet
+from stratum.llm.hashed_words import slices
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
+WORDS_A_CALL = 500
 
 
 @functools.lru_cache(maxsize=2)
@@ -68,29 +70,45 @@ class Counts:
     """Counts a worker's texts."""
 
     def __init__(self, path: str, whole: frozenset[str]):
-        self.library, self.whole = _library(path), whole
+        self.library, self.whole = _library(path), dict.fromkeys(whole, 1)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.find = re.compile(plain.spelled_out(split_pattern(path))).findall
-        self.merged: dict[str, int] = {}
+        self.tokens = dict(self.whole)      # whole tokens first, then what had to be merged
+        vocab = self.library.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for s, i in vocab.items() if s.endswith(self.library.model.end_of_word_suffix or "")]] = True
+
+    def _merge(self, words: list[str]) -> list[int]:
+        """Tokens of each pre-token, many to a call of the library.
+
+        White space separates pre-tokens and is dropped, so a run of them splits into the same
+        ones; each ends with its only token that ends a word.
+        """
+        out: list[int] = []
+        for k in range(0, len(words), WORDS_A_CALL):
+            part = words[k:k + WORDS_A_CALL]
+            ids = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, np.int64)
+            ends = np.flatnonzero(self.ends_word[ids])
+            if len(ends) != len(part):
+                raise AssertionError("the words do not split as they did in their texts")
+            out += np.diff(ends, prepend=-1).tolist()
+        return out
 
     def texts(self, texts: list[str]) -> list[int]:
-        total = [0] * len(texts)
-        words: list[Counter | None] = []
-        for k, t in enumerate(texts):
-            if plain.is_plain(t) and not any(s in t for s in self.special):
-                words.append(Counter(self.find(t.lower())))
-            else:
-                words.append(None)
-                total[k] = len(self.library.encode(t, add_special_tokens=False).ids)
-        if len(self.merged) > CACHE_WORDS:
-            self.merged.clear()
-        missing = list({w for c in words if c for w in c if w not in self.whole and w not in self.merged})
-        for w, e in zip(missing, self.library.encode_batch_fast(missing, add_special_tokens=False)):
-            self.merged[w] = len(e.ids)
-        for k, c in enumerate(words):
-            if c:
-                total[k] = sum(n if w in self.whole else n * self.merged[w] for w, n in c.items())
-        return total
+        usual = [plain.is_plain(t) and not any(s in t for s in self.special) for t in texts]
+        total = [0 if u else len(self.library.encode(t, add_special_tokens=False).ids)
+                 for t, u in zip(texts, usual)]
+        split = [self.find(t.lower()) if u else [] for t, u in zip(texts, usual)]
+        code, words = hashed_words.distinct(split)
+        found = list(map(self.tokens.get, words))
+        unknown = [k for k, n in enumerate(found) if n is None]
+        for k, n in zip(unknown, self._merge([words[k] for k in unknown])):
+            found[k] = self.tokens[words[k]] = n
+        if len(self.tokens) > CACHE_WORDS:      # those in use now hold all the frequent ones
+            self.tokens = self.whole | dict(zip(words, found))
+        each = np.array(found, np.int64)[code] if found else np.zeros(0, np.int64)
+        ends = np.concatenate(([0], np.cumsum(each)))[np.cumsum([0, *map(len, split)])]
+        return (np.diff(ends) + total).tolist()
 
 
 def count_tokens(text: Column, path: str) -> Column:
@@ -101,6 +119,6 @@ def count_tokens(text: Column, path: str) -> Column:
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         counts = Counts(path, whole.value)
         for texts in batches:
-            yield pd.Series([n for part in _slices(texts) for n in counts.texts(part)], dtype="int64")
+            yield pd.Series([n for _, part in slices(texts.tolist()) for n in counts.texts(part)], dtype="int64")
 
     return count(text)
