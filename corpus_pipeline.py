@@ -56,8 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE encoding: token ids of every document, with digests of ids and decoded text."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    rows = docs.select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
-    rows = rows.withColumn(_P + "text", bpe.decode(F.col("ids"), path))
+    rows = bpe.encode(docs.select("doc_id", "text"), path, decoded=_P + "text")
     return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
                        F.sha2(F.encode(_P + "text", "UTF-8"), 256).alias("decoded_sha256"), "ids")

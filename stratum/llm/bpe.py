@@ -27,16 +27,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratum.llm import plain
+from stratum.llm import hashed_words, plain
+from stratum.llm.hashed_words import slices
 
 MASK_BITS = 10              # a cut every 1024 bytes on average
 MIN_CHUNK = 64
 MAX_CHUNK = 1 << 16
-CACHE_BYTES = 32 << 20      # of a worker's chunk cache, texts and ids
-CACHE_WORDS = 300_000       # of a worker's pre-token cache
+CACHE_BYTES = 24 << 20      # of a worker's chunk cache, texts and ids
+CACHE_WORDS = 600_000       # of a worker's pre-token cache
+LINES_A_CALL = 500
 SLICE_CHARS = 1 << 20       # texts encoded together
 # fixed value: the pre-token pattern that byte-level BPE files name as use_regex
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -83,9 +87,10 @@ class ByteBpe:
         self.bytes_of: dict[int, bytes] = {i: bytes(to_byte[c] for c in s) for s, i in vocab.items()}
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
-        self.length = np.zeros(max(self.bytes_of) + 1, np.int64)
-        for i, b in self.bytes_of.items():
-            self.length[i] = len(b)
+        every = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self.length = np.fromiter(map(len, every), np.int64, len(every))
+        self.start = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(every), np.uint8)
         longest_first = sorted(self.special, key=len, reverse=True)
         self.split_special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
         self.shift = np.uint64(64 - mask_bits)
@@ -171,22 +176,58 @@ class ByteBpe:
         made = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in made]
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens that hold no line feed, many to a call of the library.
+
+        A line feed before a pre-token is a pre-token of its own and leaves what follows as it
+        is, so the words are encoded one to a line and told apart by the tokens' lengths.
+        """
+        out: list[bytes] = []
+        for k in range(0, len(words), LINES_A_CALL):
+            part = words[k:k + LINES_A_CALL]
+            ids = np.array(self.library.encode("\n" + "\n".join(part), add_special_tokens=False).ids, "<u4")
+            ends = np.cumsum(self.length[ids])
+            stop = np.cumsum([len(w.encode()) + 1 for w in part])
+            start = np.concatenate(([0], stop[:-1])) + 1
+            i, j = np.searchsorted(ends, start), np.searchsorted(ends, stop)
+            if not (np.array_equal(ends[i], start) and np.array_equal(ends[j], stop)):
+                raise AssertionError("a pre-token runs over a line feed")
+            out += [ids[a:z].tobytes() for a, z in zip((i + 1).tolist(), (j + 1).tolist())]
+        return out
+
     def _encode(self, pieces: set[bytes]) -> dict[bytes, np.ndarray]:
         known = {p: ids for p in pieces if (ids := self.cache.get(p)) is not None}
-        missing = {p: p.decode() for p in pieces if p not in known}
-        split = {p: self.find(t) for p, t in missing.items() if plain.is_plain(t)}
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        words = list({w for ws in split.values() for w in ws if w not in self.words})
-        self.words.update(zip(words, self._library_ids(words)))
-        made = {p: b"".join(map(self.words.__getitem__, ws)) for p, ws in split.items()}
-        rest = [p for p in missing if p not in split]
-        made.update(zip(rest, self._library_ids([missing[p] for p in rest])))
-        for p, ids in made.items():
-            known[p] = np.frombuffer(ids, "<u4")
-            self.cache.put(p, known[p])
+        missing = [(p, p.decode()) for p in pieces if p not in known]
+        plain_ones = [(p, t) for p, t in missing if plain.is_plain(t)]
+        rest = [(p, t) for p, t in missing if not plain.is_plain(t)]
+        made = list(zip([p for p, _ in plain_ones], self._by_words([t for _, t in plain_ones])))
+        made += [(p, np.frombuffer(ids, "<u4")) for (p, _), ids in
+                 zip(rest, self._library_ids([t for _, t in rest]))]
+        for p, ids in made:
+            known[p] = ids
+            self.cache.put(p, ids)
         return known
 
+    def _by_words(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of plain texts from those of their pre-tokens."""
+        split = [self.find(t) for t in texts]
+        code, words = hashed_words.distinct(split)
+        ids_of = list(map(self.words.get, words))
+        unknown = [k for k, ids in enumerate(ids_of) if ids is None]
+        for encode, kind in ((self._word_ids, [k for k in unknown if not words[k].isspace()]),
+                             (self._library_ids, [k for k in unknown if words[k].isspace()])):
+            for k, ids in zip(kind, encode([words[k] for k in kind])):
+                ids_of[k] = self.words[words[k]] = ids
+        if len(self.words) > CACHE_WORDS:       # those in use now hold all the frequent ones
+            self.words = dict(zip(words, ids_of))
+        table, size = np.frombuffer(b"".join(ids_of), "<u4"), np.fromiter(map(len, ids_of), np.int64, len(ids_of)) >> 2
+        start = np.cumsum(size) - size
+        here = size[code]
+        ends = np.concatenate(([0], np.cumsum(here)))
+        ids = table[np.arange(ends[-1]) + np.repeat(start[code] - ends[:-1], here)]
+        edge = ends[np.cumsum([len(s) for s in split])] if split else ends[:0]
+        return [x.copy() for x in np.split(ids, edge[:-1])] if split else []
+
     def _used(self, ids: np.ndarray, a: int, z: int, whole: int) -> np.ndarray:
         """The ids of bytes a to z of a piece; both must be token boundaries."""
         if a == 0 and z == whole:
@@ -219,7 +260,12 @@ class ByteBpe:
                 for plan in plans]
 
     def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        if not len(ids):
+            return ""
+        size = self.length[ids]
+        ends = np.cumsum(size)
+        places = np.arange(ends[-1]) + np.repeat(self.start[ids] - (ends - size), size)
+        return self.flat[places].tobytes().decode("utf-8", "replace")
 
 
 @functools.lru_cache(maxsize=2)
@@ -228,28 +274,29 @@ def tokenizer(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def _slices(texts: pd.Series) -> Iterator[list[str]]:
-    part, size = [], 0
-    for t in texts:
-        part.append(t or "")
-        size += len(part[-1])
-        if size >= SLICE_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
-def encode(text: Column, path: str) -> Column:
-    """text -> ids as little-endian unsigned 32-bit integers (binary)."""
-
-    @F.pandas_udf("binary")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([x.astype("<u4").tobytes() for part in _slices(texts)
-                             for x in tokenizer(path).encode_texts(part)], dtype=object)
-
-    return ids(text)
+def encode(df: DataFrame, path: str, text_col: str = "text", ids: str = "ids",
+           decoded: str | None = None) -> DataFrame:
+    """``df`` with ``ids``, the token ids as little-endian unsigned 32-bit integers, and, if named,
+    ``decoded``, their text. Columns of these names are replaced."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = tokenizer(path)
+        for batch in batches:
+            for start, part in slices(batch.column(batch.num_columns - 1).to_pylist(), SLICE_CHARS):
+                made = coder.encode_texts(part)
+                kept = batch.slice(start, len(part))
+                columns = [kept.column(k) for k in range(batch.num_columns - 1)]
+                columns.append(pa.array([x.astype("<u4").tobytes() for x in made], pa.binary()))
+                if decoded:
+                    columns.append(pa.array([coder.decode(x) for x in made], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    rest = df.drop(ids, *([decoded] if decoded else []))
+    names = [*rest.columns, ids, *([decoded] if decoded else [])]
+    schema = T.StructType([*rest.schema.fields, T.StructField(ids, T.BinaryType()),
+                           *([T.StructField(decoded, T.StringType())] if decoded else [])])
+    texts = df.select(*[rest[f"`{c}`"] for c in rest.columns], df[f"`{text_col}`"].alias("__bpe_text"))
+    return texts.mapInArrow(work, schema)
 
 
 def decode(ids: Column, path: str) -> Column:

@@ -44,9 +44,8 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    docs = read_table(spark, sf_dir, "documents")
-    rows = docs.select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
-    rows = rows.withColumn("decoded", bpe.decode(F.col("ids"), path))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = bpe.encode(docs, path, decoded="decoded")
     return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
