@@ -21,27 +21,29 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratum.llm.common import WORD_PATTERN, code_point_key
+from stratum.llm.common import code_point_key
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 BUCKETS = 4096
 MAX_BROADCAST_SOURCES = 20_000   # beyond it the plan is joined by a shuffle
 SEED = 20240601
+SYMBOLS = b"#*$%&|<>!"
 _P = "__mix_"           # prefix of working columns
 
 
-def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-
-
-def quality_weight(text: Column) -> Column:
-    """Quality weight in (0, 1]: falls with the share of table, list and mark-up symbols."""
-    symbols = F.length(text) - F.length(F.translate(text, "#*$%&|<>!", ""))
-    return F.coalesce(1 / (1 + 20 * symbols / F.greatest(F.length(text), F.lit(1))), F.lit(1.0))
+@F.pandas_udf(T.StructType().add("size", T.LongType()).add("weight", T.DoubleType()))
+def text_measures(texts: pd.Series) -> pd.DataFrame:
+    """Words of each text, and its quality weight in (0, 1]: it falls with the share of table, list
+    and mark-up symbols. NULL is the empty text."""
+    data = [t.encode() if t else b"" for t in texts]
+    symbols = [1 - len(d.translate(None, SYMBOLS)) / len(d) if d else 0.0 for d in data]
+    return pd.DataFrame({"size": [len(d.split()) for d in data], "weight": [1 / (1 + 20 * s) for s in symbols]})
 
 
 def uniform(*cols: Column, seed: int = SEED) -> Column:
@@ -85,11 +87,12 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         buckets: int = BUCKETS, seed: int = SEED) -> DataFrame:
     """``df`` with size, source_size, target, taken and copies (how often the row is taken)."""
     text, source = F.col(text_col), F.col(source_col)
-    key = -F.log(uniform(F.col(id_col), text, source, seed=seed)) / quality_weight(text)
     results = ["size", "source_size", "target", "taken", "copies"]
-    rows = (df.withColumn(_P + "size", word_count(text)).withColumn(_P + "key", key)
-            .withColumn(_P + "bucket", F.floor((1 - F.exp(-F.col(_P + "key"))) * buckets).cast("int"))
-            .withColumn(_P + "source", source))
+    chance = uniform(F.col(id_col), text, source, seed=seed)
+    rows = (df.withColumn(_P + "text", text_measures(text)).withColumn(_P + "source", source)
+            .withColumn(_P + "key", -F.log(chance) / F.col(_P + "text.weight"))
+            .withColumn(_P + "size", F.col(_P + "text.size"))
+            .withColumn(_P + "bucket", F.floor((1 - F.exp(-F.col(_P + "key"))) * buckets).cast("int")))
     sums = rows.groupBy(_P + "source", _P + "bucket").agg(F.sum(_P + "size").alias("n"))
     plan = _small(_plan(sums, weights, max_epochs, share))
     rows = rows.join(plan, F.col(_P + "source").eqNullSafe(F.col(_P + "at_source")), "left")
