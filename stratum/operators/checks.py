@@ -9,9 +9,9 @@ Semantics follow the usual generic data tests:
 * ``relationships``       failures = non-NULL child rows without a parent row
 
 Every check accepts an optional ``where`` that scopes it. All row-level checks of one table
-(not_null, accepted_values, expression_is_true) are folded into ONE aggregate pass; unique
-needs a grouped aggregate and relationships an anti-join, each with partial aggregation or a
-join on the key. Only the per-check failure counts (one row per check) reach the driver.
+(not_null, accepted_values, expression_is_true) are folded into ONE aggregate pass, and all
+unique and relationships checks into one grouped pass over their keys, so a table is read twice
+however many checks it has. Only the per-check failure counts (one row per check) reach the driver.
 """
 
 from __future__ import annotations
@@ -19,9 +19,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.session import scratch_path
+
 
 @dataclass(frozen=True)
 class Check:
@@ -71,8 +74,8 @@ def relationships(column: str, parent: DataFrame, parent_column: str,
 
 
 ROW_LEVEL = ("not_null", "accepted_values", "expression_is_true")
-# Fold a table's unscoped unique checks into one GROUPING SETS aggregate (one scan).
-FOLD_UNIQUE = True
+# Fold a table's unique and relationships checks into one GROUPING SETS aggregate (one scan).
+FOLD_KEYS = True
 
 
 def _scope(check: Check) -> Column:
@@ -142,11 +145,11 @@ def check_counts(df: DataFrame, checks, table: str) -> DataFrame:
                      F.lit(c.column).alias("column_name"), F.col(names[id(c)]).alias("failures"))
             for c in row_level])).alias("r")).select("r.*")
         parts.append(stacked)
-    # unscoped unique checks of one table: one scan and one shuffle via grouping sets
-    shared_unique = [c for c in checks if c.kind == "unique" and not c.where]
-    folded = {id(c) for c in shared_unique} if FOLD_UNIQUE and len(shared_unique) > 1 else set()
+    # unique and relationships checks of one table: one more scan and one shuffle
+    keyed = [c for c in checks if c.kind in ("unique", "relationships") and _of_key_only(df, c)]
+    folded = {id(c) for c in keyed} if FOLD_KEYS and len(keyed) > 1 else set()
     if folded:
-        parts.append(_unique_counts(df, shared_unique, names))
+        parts.append(_key_check_counts(df, keyed, names))
     for c in checks:
         if c.kind in ROW_LEVEL or id(c) in folded:
             continue
@@ -162,23 +165,47 @@ def check_counts(df: DataFrame, checks, table: str) -> DataFrame:
     return out.select(F.lit(table).alias("table_name"), "*")
 
 
-def _unique_counts(df: DataFrame, checks, names) -> DataFrame:
-    """Several unique checks in one aggregate: ``GROUPING SETS ((a), (b), …)`` counts each
-    key value once per set (partial aggregation first, so a hot value is one row per task);
-    a set's failures are its non-NULL keys seen more than once."""
-    cols = [c.column for c in checks]
-    g = (df.groupingSets([[c] for c in cols], *cols)
-         .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")))
-    # grouping_id: bit i (from the left, of len(cols) bits) is 1 when column i is NOT grouped
-    full = (1 << len(cols)) - 1
-    fails = [F.count_if((F.col("_gid") == full ^ (1 << (len(cols) - 1 - i)))
-                        & F.col(col).isNotNull() & (F.col("_n") > 1)).alias(f"_f{i}")
-             for i, col in enumerate(cols)]
-    one = g.agg(*fails)
-    return one.select(F.explode(F.array(*[
-        F.struct(F.lit(names[id(c)]).alias("check_name"), F.lit(c.kind).alias("check_kind"),
-                 F.lit(c.column).alias("column_name"), F.col(f"_f{i}").alias("failures"))
-        for i, c in enumerate(checks)])).alias("r")).select("r.*")
+def _of_key_only(df: DataFrame, check: Check) -> bool:
+    """Whether the check's scope, if any, names no column but its own."""
+    if not check.where:
+        return True
+    try:
+        return bool(df.select(check.column).where(F.expr(check.where)).columns)
+    except AnalysisException:
+        return False
+
+
+def _key_check_counts(df: DataFrame, checks, names) -> DataFrame:
+    """Unique and relationships checks of one table from one ``GROUPING SETS ((a), (b), …)``.
+
+    It counts every key once per set (partial aggregation first, so a hot value is one row per
+    task). What the checks need of it is written to the shared scratch folder once: repeated keys
+    for unique, all distinct keys for relationships. The checks then read that, not the table.
+    """
+    spark, cols = df.sparkSession, list(dict.fromkeys(c.column for c in checks))
+    full = (1 << len(cols)) - 1         # grouping_id: bit i from the left is 1 if column i is not grouped
+    gid = {c: full ^ (1 << (len(cols) - 1 - i)) for i, c in enumerate(cols)}
+    foreign = {c.column for c in checks if c.kind == "relationships"}
+    grouped = (df.groupingSets([[c] for c in cols], *cols)
+               .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
+               .where((F.col("_n") > 1) | F.col("_gid").isin([gid[c] for c in foreign])))
+    path = scratch_path(spark, "check-keys")
+    grouped.write.partitionBy("_gid").parquet(path)
+    stored = spark.read.schema(grouped.schema).parquet(path)
+    counts = []
+    for c in checks:
+        own = stored.where((F.col("_gid") == gid[c.column]) & F.col(c.column).isNotNull())
+        if c.where:
+            own = own.where(F.expr(c.where))
+        if c.kind == "unique":
+            n = own.agg(F.count_if(F.col("_n") > 1).alias("failures"))
+        else:
+            parent = c.parent.select(F.col(c.parent_column).alias("_parent_key")).distinct()
+            n = (own.join(parent, F.col(c.column) == F.col("_parent_key"), "left_anti")
+                 .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failures")))
+        counts.append(n.select(F.lit(names[id(c)]).alias("check_name"), F.lit(c.kind).alias("check_kind"),
+                               F.lit(c.column).alias("column_name"), "failures"))
+    return reduce(DataFrame.unionByName, counts)
 
 
 class ChecksFailed(AssertionError):
