@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.session import scratch_path
+
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
@@ -25,3 +27,14 @@ def fold_is(id_col: Column, mod: int, value: int) -> Column:
 def code_point_key(col: Column) -> Column:
     """A column that sorts and compares strings by code point (UTF-8 bytes sort alike)."""
     return F.hex(F.encode(col, "UTF-8"))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the shared checkpoint folder and read again.
+
+    Cuts the lineage as a checkpoint does, in a third of the space, and later reads take only the
+    columns they need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

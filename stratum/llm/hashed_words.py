@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+
+
+def release_memory() -> None:
+    """Hand freed memory back to the system at the end of a task: Spark keeps its Python workers,
+    and an idle one should not hold what its last task needed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library
+        pass
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -28,6 +43,17 @@ def slices(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int,
         yield start, part
 
 
+def arrow_slices(column: pa.Array, chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+    """``slices`` of a text column that only ever holds one run as Python texts."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start, total = 0, 0
+    for k, n in enumerate(size.tolist()):
+        total += n
+        if total >= chars or k == len(size) - 1:
+            yield start, [t or "" for t in column.slice(start, k + 1 - start).to_pylist()]
+            start, total = k + 1, 0
+
+
 def distinct(split: list[list]) -> tuple[np.ndarray, np.ndarray]:
     """(number of each word among the distinct ones, the distinct ones) of lists of words."""
     words = np.empty(sum(map(len, split)), dtype=object)

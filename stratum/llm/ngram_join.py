@@ -8,20 +8,21 @@ neighbours. In each band the universe of shingles is dealt by hash into segments
 sets of sizes s <= l with Jaccard similarity at least t differ in at most
 H = l + s - 2 * ceil(t / (1 + t) * (l + s)) shingles, so among any H + 1 segments at least one is
 equal in both sets. Each set indexes its non-empty segments in its own band and probes its own band
-and the one below. In small bands, where segments would be mostly empty or too few, there are only
-(H + 1) / 2 segments, and each is also indexed with its one-deletion neighbourhood: one of them
-must then differ by one shingle at most.
+and the one below. In small bands, where such segments would be too few and mostly empty, they are
+fewer and larger, and each is also indexed with its one-deletion neighbourhood: of any (H + 1) / 2
+segments, one then differs by one shingle at most.
 
-Allocation by cost. A set has more non-empty segments than the H + 1 it must probe. The cost of a
-segment is the number of other sets indexed under it; the H + 1 cheapest are probed. Segments of
-cost 0 come first and need no work, so a set that merely shares a common passage has enough of
+Allocation by cost. A set has more segments than it must probe. The cost of a segment is the number
+of other sets indexed under it or its neighbourhood; the cheapest that suffice are probed. Those
+of cost 0 come first and need no work, so a set that merely shares a common passage has enough of
 them and probes nothing; hot segments are probed last.
 
 Verification. Members of a probed bucket are compared with one centre of the bucket first; linked
 ones merge into components, which collapses groups of near copies with a number of comparisons linear in
 their size. Then every remaining pair of a probing and an indexed set of one bucket whose components
-differ is compared, after further rounds with other centres while those pairs are many. Each
-comparison intersects the two whole sets.
+differ is compared. A comparison first counts the bits in which bitmaps of the two sets differ; sets
+differ in at least as many shingles, so more than H rule the pair out, block by block inside a
+task. Only pairs that pass are written, and those intersect the two whole sets.
 
 Scale: signatures are shuffled packed, about 10 bytes each and 0.7 a shingle. Sets are read again
 only for members of probed buckets, found by a Bloom filter of bounded size (beyond the bound: by
@@ -44,17 +45,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.llm.common import stored
 from stratum.llm.components import connected_components
-from stratum.llm.hashed_words import hashed_words, mix, slices
+from stratum.llm.hashed_words import arrow_slices, hashed_words, mix, release_memory
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100
 SMALL_BAND = 128            # bands that end below have one-deletion neighbourhoods
 SEGMENTS_PER_SIZE = 0.6     # segments of a larger band, by its smallest size
 FILTER_BITS = 1 << 29       # bound of the broadcast Bloom filter: 64 MB
-STAR_ROUNDS = 4             # rounds with other centres before all remaining pairs are compared
-PAIRS_PER_MEMBER = 4        # that many remaining pairs a member are compared at once
-_FLUSH = 1_500_000
+ROWS_A_GROUP = 300_000      # bucket rows of a centre that one task compares
+_BLOCK = 1 << 19            # pairs compared at a time
+_FLUSH = 2_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -123,14 +125,16 @@ def segments(rule: Rule, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low, high, above = np.where(band > 0, ends[band - 1] + 1, 1), ends[band], ends[band + 1]
     small = high < SMALL_BAND
     half = (most_different(rule, above, high) + 2) // 2
-    return np.where(small, half, (SEGMENTS_PER_SIZE * low).astype(np.int64) + 1), small
+    return np.where(small, half + half // 4 + (half > 2), (SEGMENTS_PER_SIZE * low).astype(np.int64) + 1), small
 
 
 class Signatures(NamedTuple):
-    """Rows (value, entry) and, by entry: set, size, band, whether indexed, spare segments."""
+    """By value: its entry, whether a shingle was left out, the segment if it is one of several
+    of it. By entry: set, size, whether indexed, segments that need not be probed."""
     value: np.ndarray
     entry: np.ndarray
     deleted: np.ndarray
+    segment: np.ndarray
     node: np.ndarray
     size: np.ndarray
     indexed: np.ndarray
@@ -160,47 +164,70 @@ def signatures(rule: Rule, sets: list[np.ndarray], nodes: np.ndarray) -> Signatu
     of_entry = np.repeat(np.arange(len(entry_set)), m)
     name = mix((np.arange(len(content)) - first[of_entry]).astype(np.uint64) * _STEP
                + band[of_entry].astype(np.uint64) * _SALT)
-    spare = np.where(small, 0, np.bincount(of_entry, filled, len(entry_set)).astype(np.int64) - must)
+    spare = np.where(small, m - (must + 1) // 2, np.bincount(of_entry, filled, len(entry_set)).astype(np.int64) - must)
+    if (spare < 0).any():       # odds below 1e-13 a set; to lose a link silently would be worse
+        raise ArithmeticError("a set fills too few segments to be probed; choose another _SALT")
     used = np.flatnonzero(filled | small[of_entry])
     less = np.flatnonzero(small[entry])
     value = np.concatenate([mix(content[used] + name[used]),
                             mix(content[segment[less]] - element[less] + name[segment[less]])])
-    return Signatures(value, np.concatenate([of_entry[used], entry[less]]),
-                      np.arange(len(value)) >= len(used), nodes[entry_set], size, indexed, spare)
+    place = np.concatenate([used, segment[less]])
+    of_value = of_entry[place]
+    number = np.where(small[of_value], place - first[of_value] + 1, 0)
+    return Signatures(value, of_value, np.arange(len(value)) >= len(used), number, nodes[entry_set], size,
+                      indexed, spare)
 
 
 def _set_batches(rule: Rule, batches: Iterator[pa.RecordBatch]):
     """(first row, sets, classes) of slices of the batches' text column, which is the last."""
     for batch in batches:
-        for start, part in slices(batch.column(batch.num_columns - 1).to_pylist()):
+        for start, part in arrow_slices(batch.column(batch.num_columns - 1)):
             sets = shingle_sets(part, rule.words)
             yield batch, start, sets, np.array([class_of(s) for s in sets], np.uint64)
 
 
-_BLOB = ("value", "entry", "deleted", "node", "size", "indexed", "spare")
-_KINDS = ("<u4", "<u4", "u1", "<u8", "<i8", "u1", "<i4")
+_BLOB = ("value", "entry", "segment", "node", "size", "spare", "flags")
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Bytes of a number array, all lowest bytes first, and so on: near-equal numbers compress."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _unplaned(data, kind: str) -> np.ndarray:
+    x = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(x.T).view(kind)[:, 0]
+
+
+def _pack(value: np.ndarray, entry: np.ndarray, held: Signatures, rows: np.ndarray) -> list[bytes]:
+    """One block: sorted 32-bit values as differences, the place of each one's entry, the entries.
+
+    Sets of one-deletion values get an entry of their own, told by a flag.
+    """
+    there, local = np.unique(entry * 2 + held.deleted[rows], return_inverse=True)
+    e = there >> 1
+    return [_planes(np.diff(value, prepend=0).astype("<u4")), _planes(local.astype("<u4")),
+            held.segment[rows].astype("u1").tobytes(),
+            held.node[e].astype("<u8").tobytes(), _planes(held.size[e].astype("<u4")),
+            _planes(held.spare[e].astype("<i4")), ((there & 1) + 2 * held.indexed[e]).astype("u1").tobytes()]
 
 
 def _send_signatures(rule: Rule, shards: int):
     """text -> one packed block per shard and run of texts. A task sends a class once."""
 
-    def blocks(held: list[Signatures]) -> Iterator[pa.RecordBatch]:
-        base = np.cumsum([0] + [len(h.node) for h in held])
-        value = np.concatenate([h.value for h in held])
-        entry = np.concatenate([h.entry + b for h, b in zip(held, base)])
-        rest = [np.concatenate([getattr(h, c) for h in held]) for c in _BLOB[3:]]
-        deleted = np.concatenate([h.deleted for h in held])
-        shard = ((value >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
-        order = np.lexsort((value & np.uint64(0xFFFFFFFF), shard))
-        edges = np.searchsorted(shard[order], np.arange(shards + 1))
+    def blocks(parts: list[Signatures]) -> Iterator[pa.RecordBatch]:
+        base = np.cumsum([0] + [len(h.node) for h in parts])
+        held = Signatures(*[np.concatenate([getattr(h, c) + b if c == "entry" else getattr(h, c)
+                                            for h, b in zip(parts, base)]) for c in Signatures._fields])
+        shard = ((held.value >> np.uint64(32)) % np.uint64(shards)).astype(np.uint64)
+        order = np.argsort(shard << np.uint64(32) | held.value & np.uint64(0xFFFFFFFF))
+        edges = np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64))
         for k in range(shards):
             at = order[edges[k]:edges[k + 1]]
             if len(at):
-                there, local = np.unique(entry[at], return_inverse=True)
-                columns = [value[at] & np.uint64(0xFFFFFFFF), local, deleted[at], *[x[there] for x in rest]]
+                blob = _pack((held.value[at] & np.uint64(0xFFFFFFFF)).astype(np.int64), held.entry[at], held, at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32())] + [pa.array([x.astype(t).tobytes()], pa.binary())
-                                                   for x, t in zip(columns, _KINDS)], names=["shard", *_BLOB])
+                    [pa.array([k], pa.int32())] + [pa.array([x], pa.binary()) for x in blob], names=["shard", *_BLOB])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Signatures] = []
@@ -217,16 +244,25 @@ def _send_signatures(rule: Rule, shards: int):
                 held.clear()
         if held:
             yield from blocks(held)
+        del held, recent
+        release_memory()
 
     return send
 
 
 def _buckets(key: tuple, group: pa.Table) -> pa.Table:
     """Signature values that an indexed set shares with another set: a row for each member."""
-    parts = [[np.frombuffer(b.as_buffer(), t) for b in group[c]] for c, t in zip(_BLOB, _KINDS)]
-    base = np.cumsum([0] + [len(x) for x in parts[3]])
-    value, deleted, node, size, indexed, spare = (np.concatenate(parts[k]) for k in (0, 2, 3, 4, 5, 6))
-    entry = np.concatenate([x.astype(np.int64) + b for x, b in zip(parts[1], base)])
+    def column(name: str, kind: str) -> list[np.ndarray]:
+        return [_unplaned(b.as_buffer(), kind) for b in group[name]]
+
+    value = np.concatenate([np.cumsum(x, dtype=np.uint32) for x in column("value", "<u4")])
+    node = [np.frombuffer(b.as_buffer(), "<u8") for b in group["node"]]
+    base = np.cumsum([0] + [len(x) for x in node])
+    entry = np.concatenate([x.astype(np.int64) + b for x, b in zip(column("entry", "<u4"), base)])
+    node, size, spare = np.concatenate(node), np.concatenate(column("size", "<u4")), np.concatenate(column("spare", "<i4"))
+    flags, segment = (np.concatenate([np.frombuffer(b.as_buffer(), "u1") for b in group[c]])
+                      for c in ("flags", "segment"))
+    deleted_entry, indexed = flags & 1, flags >> 1
     # only values that occur twice or more are sorted by set
     order = np.argsort(value, kind="stable")
     same = value[order][1:] == value[order][:-1]
@@ -234,6 +270,7 @@ def _buckets(key: tuple, group: pa.Table) -> pa.Table:
     often[1:] |= same
     often[:-1] |= same
     at = order[often]
+    deleted = deleted_entry[entry]
     at = at[np.lexsort((deleted[at], node[entry[at]], value[at]))]
     v, n = value[at], node[entry[at]]
     new = np.ones(len(at), bool)
@@ -242,14 +279,22 @@ def _buckets(key: tuple, group: pa.Table) -> pa.Table:
     starts = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1]))) if len(v) else np.empty(0, np.int64)
     e = entry[at]
     members = np.diff(np.append(starts, len(v)))
-    inside = np.add.reduceat(indexed[e].astype(np.int64), starts) if len(v) else members
-    whole = np.add.reduceat(1 - deleted[at].astype(np.int64), starts) if len(v) else members
-    cost = np.repeat(np.where((members > 1) & (whole > 0), inside, 0), members) - indexed[e]
-    good = np.repeat((members > 1) & (whole > 0) & (inside > 0), members)
+    left_out = deleted[at].astype(bool)
+
+    def count(x: np.ndarray) -> np.ndarray:
+        return np.repeat(np.add.reduceat(x.astype(np.int64), starts), members) if len(v) else members
+
+    inside, whole = count(indexed[e]), count(~left_out)
+    inside_whole = count(indexed[e].astype(bool) & ~left_out)
+    # two neighbours with a shingle left out on both sides may differ by two: they do not count
+    cost = np.where(left_out, inside_whole, inside - indexed[e])
+    good = (np.repeat(members, members) > 1) & (whole > 0) & (inside > 0)
     bucket = np.int64(key[0].as_py()) << np.int64(32) | v.astype(np.int64)
-    e, bucket, cost = e[good], bucket[good], cost[good]
-    return pa.table({"bucket": bucket, "node": node[e].view(np.int64), "size": size[e],
-                     "indexed": indexed[e].astype(bool), "spare": spare[e], "cost": cost.astype(np.int64)})
+    number = np.where(segment[at] > 0, segment[at], bucket)
+    return pa.table({"bucket": bucket[good], "node": node[e][good].view(np.int64),
+                     "size": size[e][good].astype(np.int64), "indexed": indexed[e][good].astype(bool),
+                     "left_out": left_out[good], "segment": number[good].astype(np.int64),
+                     "spare": spare[e][good], "cost": cost[good].astype(np.int64)})
 
 
 # -- verification -------------------------------------------------------------------------
@@ -258,21 +303,25 @@ def _read_sets(rule: Rule, wanted, bits: int):
     """(id, text) -> id, size, class, and the set itself if the class may be wanted (once a task)."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = wanted.value if wanted is not None else None
+        marks = np.frombuffer(wanted.value, np.uint8) if wanted is not None else None
         sent: set[int] = set()
         for batch, start, sets, classes in _set_batches(rule, batches):
-            blobs = []
-            for s, c in zip(sets, classes.tolist()):
-                ask = len(s) and c not in sent and (marks is None or all(
-                    marks[p >> 3] >> (p & 7) & 1 for p in _places(np.array([c], np.uint64), bits)[:, 0].tolist()))
-                if ask:
-                    sent.add(c)
+            may = np.ones(len(sets), bool)
+            if marks is not None:
+                p = _places(classes, bits)
+                may = (marks[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).all(axis=0)
+            blobs, maps = [], []
+            for s, c, ask in zip(sets, classes.tolist(), may.tolist()):
+                ask = ask and len(s) and c not in sent and not sent.add(c)
                 blobs.append(s.tobytes() if ask else None)
+                maps.append(bitmap(s).tobytes() if ask else None)
             sizes = [len(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(start, len(sets)), pa.array(sizes, pa.int64()),
                  pa.array([c if n else None for c, n in zip(classes.view(np.int64).tolist(), sizes)], pa.int64()),
-                 pa.array(blobs, pa.binary())], names=["id", "size", "node", "shingles"])
+                 pa.array(maps, pa.binary()), pa.array(blobs, pa.binary())],
+                names=["id", "size", "node", "bits", "shingles"])
+        release_memory()
 
     return read
 
@@ -310,6 +359,34 @@ def _bloom(nodes: DataFrame, count: int) -> tuple[object, int]:
     return nodes.sparkSession.sparkContext.broadcast(marks.tobytes()), bits
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """One bit a shingle, in a power of two of bytes with at least eight bits a shingle."""
+    bits = 1 << max(6, (8 * len(shingles) - 1).bit_length())
+    marks = np.zeros(bits, np.uint8)
+    marks[(mix(shingles) & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(marks, bitorder="little")
+
+
+def _differ(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits in which two bitmaps differ, the longer one folded to the shorter one's length."""
+    if len(x) != len(y):
+        x, y = (x, y) if len(x) < len(y) else (y, x)
+        y = np.bitwise_or.reduce(y.reshape(-1, len(x)))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _may_link(rule: Rule):
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = [batch.column(k).to_numpy() for k in (2, 3)]
+            most = most_different(rule, np.maximum(*size), np.minimum(*size)).tolist()
+            ok = [_differ(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)) <= m
+                  for x, y, m in zip(batch.column(4), batch.column(5), most)]
+            yield pa.RecordBatch.from_arrays(
+                [c.filter(pa.array(ok, pa.bool_())) for c in (batch.column(0), batch.column(1))], names=["a", "b"])
+    return check
+
+
 def _linked(rule: Rule):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,9 +401,13 @@ def _linked(rule: Rule):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) whose whole sets (node, shingles) are similar enough."""
+    """The pairs (a, b) whose sets (node, size, bits, shingles) are similar enough."""
+    left, right = (sets.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("bits").alias(f"bits_{c}"))
+                   for c in "ab")
+    near = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "size_a", "size_b", "bits_a", "bits_b")
+                  .mapInArrow(_may_link(rule), "a long, b long"), "near")
     left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(
+    return near.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(
         _linked(rule), "a long, b long")
 
 
@@ -339,34 +420,42 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``class`` names the set (NULL if empty); ``component_id`` is the smallest id reachable by links.
     """
     spark = df.sparkSession
-    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = texts.select("text").mapInArrow(
         _send_signatures(rule, shards), "shard int, " + ", ".join(f"{c} binary" for c in _BLOB))
-    members = sent.groupBy("shard").applyInArrow(
-        _buckets, "bucket long, node long, size long, indexed boolean, spare int, cost long").checkpoint()
+    members = stored(sent.groupBy("shard").applyInArrow(
+        _buckets, "bucket long, node long, size long, indexed boolean, left_out boolean, segment long, "
+                  "spare int, cost long"), "members")
 
     # the cheapest segments that a set must probe beyond its spare ones and those of cost 0
-    entry = ["node", "indexed"]          # a set has one entry in its own band and one below it
-    probes = members.where("cost > 0")
-    ranked = (probes.withColumn("must", F.count(F.lit(1)).over(Window.partitionBy(*entry)) - F.col("spare"))
-              .where("must > 0")
-              .withColumn("turn", F.row_number().over(Window.partitionBy(*entry).orderBy("cost", "bucket")))
-              .where("turn <= must").select("bucket", "node", "size").checkpoint())
-    index = (members.where("indexed").select("bucket", "node", "size")
-             .join(ranked.select("bucket").distinct(), "bucket", "left_semi").checkpoint())
-    both = ranked.union(index).distinct()
+    entry = Window.partitionBy("node", "indexed")      # a set has one entry in its own band and one below it
+    of_segment = Window.partitionBy("node", "indexed", "segment")
+    ranked = stored(members.where("cost > 0").withColumn("all", F.sum("cost").over(of_segment))
+                    .withColumn("turn", F.dense_rank().over(entry.orderBy("all", "segment")))
+                    .withColumn("must", F.max("turn").over(entry) - F.col("spare"))
+                    .where("turn <= must").select("bucket", "node", "size", "left_out"), "probes")
+    index = (members.where("indexed").select("bucket", "node", "size", "left_out")
+             .join(ranked.select("bucket").distinct(), "bucket", "left_semi"))
+    both = stored(ranked.withColumn("asks", F.lit(True)).withColumn("indexed", F.lit(False))
+                  .union(index.withColumn("asks", F.lit(False)).withColumn("indexed", F.lit(True)))
+                  .groupBy("bucket", "node", "size", "left_out")
+                  .agg(F.max("asks").alias("asks"), F.max("indexed").alias("indexed")), "probed")
 
     nodes = both.select("node").distinct()
     count = nodes.count()
     bloom, bits = _bloom(nodes, count)
-    rows = texts.mapInArrow(_read_sets(rule, bloom, bits), "id long, size long, node long, shingles binary")
-    rows = rows.checkpoint()
-    sets = rows.where("shingles is not null").select("node", "shingles").dropDuplicates(["node"])
-
-    links = _all_links(ranked, index, both, count, sets, rule) if count else None
+    rows = texts.mapInArrow(_read_sets(rule, bloom, bits),
+                            "id long, size long, node long, bits binary, shingles binary")
+    rows = stored(rows, "sets")
+    sets = rows.where("shingles is not null").drop("id")      # a set may be there once a task
+    one = sets.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    if count and one.where("n > 1").take(1):
+        sets = stored(sets.dropDuplicates(["node"]), "sets")
+
+    links = _all_links(both, sets, rule) if count else None
     labels = connected_components(links) if links is not None else None
-    rows = rows.drop("shingles")
+    rows = rows.drop("bits", "shingles")
     if labels is None:
         rows = rows.withColumn("label", F.col("node"))
     else:
@@ -383,52 +472,104 @@ def _fits(rule: Rule, x: str, y: str):
     return (rule.denominator * F.least(x, y) >= rule.numerator * F.greatest(x, y))
 
 
-def _star(members: DataFrame, labels: DataFrame | None, rule: Rule, turn: int) -> DataFrame:
-    """Pairs of each bucket's centre, another one each turn, with members of other components."""
-    order = F.xxhash64(F.lit(turn), "node") if turn else F.col("node")
-    rows = members.withColumn("order", order)
-    if labels is not None:
-        rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    else:
-        rows = rows.withColumn("label", F.col("node"))
-    centre = rows.groupBy("bucket").agg(F.min(F.struct("order", "node", "size", "label")).alias("c"))
-    pairs = (rows.join(centre, "bucket").where(F.col("label") != F.col("c.label"))
-             .where(_fits(rule, "size", "c.size")))
-    return pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
-
-
-def _all_links(ranked: DataFrame, index: DataFrame, both: DataFrame, count: int, sets: DataFrame,
-               rule: Rule) -> DataFrame:
-    """Enough links to join every linked pair of the ``count`` members."""
-    sets = sets.checkpoint()
-    links = verified(_star(both, None, rule, 0), sets, rule).checkpoint()
-    for turn in range(1, STAR_ROUNDS + 1):
-        labels = connected_components(links).checkpoint()
-        if turn == STAR_ROUNDS or _at_most(ranked, index, labels) <= PAIRS_PER_MEMBER * count:
-            break
-        links = links.union(verified(_star(both, labels, rule, turn), sets, rule)).checkpoint()
-    left = _remaining(ranked, index, labels).where(_fits(rule, "size_a", "size_b"))
-    return links.union(verified(left.select("a", "b").distinct(), sets, rule)).checkpoint()
-
-
-def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-
-
-def _remaining(ranked: DataFrame, index: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a probing and an indexed set of a bucket in different components."""
-    x = _labelled(ranked, labels).select("bucket", F.col("node").alias("x"), F.col("size").alias("size_a"),
-                                         F.col("label").alias("label_a"))
-    y = _labelled(index, labels).select("bucket", F.col("node").alias("y"), F.col("size").alias("size_b"),
-                                        F.col("label").alias("label_b"))
-    pairs = x.join(y, "bucket").where("label_a <> label_b")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "size_a", "size_b")
-
-
-def _at_most(ranked: DataFrame, index: DataFrame, labels: DataFrame) -> int:
-    """Number of rows of ``_remaining``, from counts by bucket and component."""
-    x = _labelled(ranked, labels).groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("x"))
-    y = _labelled(index, labels).groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("y"))
-    each = x.join(y, ["bucket", "label"], "full").na.fill(0, ["x", "y"])
-    rows = each.groupBy("bucket").agg((F.sum("x") * F.sum("y") - F.sum(F.col("x") * F.col("y"))).alias("n"))
-    return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+def _star(members: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of each bucket's centre, its first set, with the others."""
+    centre = members.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("c"))
+    pairs = members.join(centre, "bucket").where(F.col("node") != F.col("c.node")).where(_fits(rule, "size", "c.size"))
+    return pairs.select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def _all_links(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Enough links to join every linked pair of ``members``."""
+    links = stored(verified(_star(members, rule), sets, rule), "links")
+    left = _remaining(members, connected_components(links), sets, rule)
+    return stored(links.union(verified(left, sets, rule)), "links")
+
+
+def _remaining(members: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of a probing and an indexed set of one bucket whose components differ and whose
+    bitmaps allow a link.
+
+    Buckets with more than one component are dealt out by their centre, so that buckets of one
+    family meet and each of its pairs is looked at once; a centre with many rows is split by
+    bucket. A task compares bitmaps in blocks and returns the pairs that pass.
+    """
+    rows = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = (rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                        F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
+             .where("low <> high").select("bucket", "centre", "n"))
+    weight = mixed.groupBy("centre").agg(F.ceil(F.sum("n") / F.lit(ROWS_A_GROUP)).alias("parts"))
+    mixed = mixed.join(weight, "centre").select(
+        "bucket", "centre", F.pmod(F.xxhash64("bucket"), F.col("parts")).alias("part"))
+    rows = stored(rows.join(mixed, "bucket"), "mixed")
+    about = (rows.select(*[F.col(c).alias(f"of_{c}") for c in ("centre", "part", "node", "label")]).distinct()
+             .join(sets.select(F.col("node").alias("of_node"), F.col("size").alias("of_size"), "bits"), "of_node"))
+    return (rows.select("centre", "part", "bucket", "node", "asks", "indexed", "left_out")
+            .groupBy("centre", "part").cogroup(about.groupBy("of_centre", "of_part"))
+            .applyInArrow(_compare(rule), "a long, b long").distinct())
+
+
+class _Bitmaps:
+    """Bitmaps of a group's sets; two of different lengths are compared at the shorter one's."""
+
+    def __init__(self, maps: list[np.ndarray]):
+        self.maps, self.length = maps, np.fromiter(map(len, maps), np.int64, len(maps))
+
+    def differ(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Number of bits in which maps x and y differ, pair by pair."""
+        shorter, out = np.minimum(self.length[x], self.length[y]), np.empty(len(x), np.int64)
+        for n in np.unique(shorter).tolist():
+            here = np.flatnonzero(shorter == n)
+            used = np.unique(np.concatenate([x[here], y[here]]))
+            rows = np.stack([np.bitwise_or.reduce(self.maps[k].reshape(-1, n)) for k in used.tolist()]).view(np.uint64)
+            p, q = np.searchsorted(used, x[here]), np.searchsorted(used, y[here])
+            step = max(1, _BLOCK * 8 // n)
+            for k in range(0, len(here), step):
+                part = slice(k, k + step)
+                out[here[part]] = np.bitwise_count(rows[p[part]] ^ rows[q[part]]).sum(axis=1)
+        return out
+
+
+def _compare(rule: Rule):
+    def compare(rows: pa.Table, about: pa.Table) -> pa.Table:
+        about = about.sort_by("of_node")
+        node, label, size = (about[f"of_{c}"].to_numpy() for c in ("node", "label", "size"))
+        bits = _Bitmaps([np.frombuffer(b.as_buffer(), np.uint8) for b in about["bits"]])
+        rows = rows.sort_by("bucket")
+        at = np.searchsorted(node, rows["node"].to_numpy())
+        asks, indexed, out = (rows[c].to_numpy(zero_copy_only=False) for c in ("asks", "indexed", "left_out"))
+        edges = np.flatnonzero(np.diff(rows["bucket"].to_numpy(), prepend=-1, append=-2))
+        passed: list[np.ndarray] = []
+        waiting: list[np.ndarray] = []
+
+        def settle() -> None:
+            code = np.unique(np.concatenate(waiting))
+            waiting.clear()
+            x, y = np.divmod(code, len(node))
+            most = most_different(rule, np.maximum(size[x], size[y]), np.minimum(size[x], size[y]))
+            passed.append(code[bits.differ(x, y) <= most])
+
+        held = 0
+        for a, z in zip(edges, edges[1:]):
+            mine = np.arange(a, z)
+            ask, there = mine[asks[a:z]], mine[indexed[a:z]]
+            step = max(1, _BLOCK // max(1, len(there)))
+            for k in range(0, len(ask), step):
+                x, y = np.repeat(ask[k:k + step], len(there)), np.tile(there, len(ask[k:k + step]))
+                p, q = at[x], at[y]
+                small, large = np.minimum(size[p], size[q]), np.maximum(size[p], size[q])
+                good = ((label[p] != label[q]) & ~(out[x] & out[y])
+                        & (rule.denominator * small >= rule.numerator * large))
+                p, q = p[good], q[good]
+                waiting.append(np.unique(np.minimum(p, q) * len(node) + np.maximum(p, q)))
+                held += len(waiting[-1])
+                if held > 8 * _BLOCK:
+                    settle()
+                    held = 0
+        if waiting:
+            settle()
+        code = np.unique(np.concatenate(passed)) if passed else np.empty(0, np.int64)
+        x, y = np.divmod(code, max(1, len(node)))
+        return pa.table({"a": node[x], "b": node[y]})
+
+    return compare
