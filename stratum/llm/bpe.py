@@ -2,7 +2,7 @@
 
 A text is cut into chunks where a rolling hash of its last 8 bytes meets a mask, so passages that
 documents share fall into the same chunks wherever they stand. A worker encodes each distinct
-chunk once and keeps its ids in a bounded cache. A cut may split a word, so each joint is then
+chunk once a task and keeps its ids in a bounded cache. A cut may split a word, so each joint is then
 repaired: the stretch around it is encoded anew, widened to the nearest points on either side
 where any encoding has a token boundary (a space before an ASCII letter and after a printable
 ASCII character: no pre-token runs over such a point, whatever stands around it). Left and right
@@ -33,15 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.llm import hashed_words, plain
-from stratum.llm.hashed_words import slices
+from stratum.llm.hashed_words import arrow_slices, release_memory
 
 MASK_BITS = 10              # a cut every 1024 bytes on average
 MIN_CHUNK = 64
 MAX_CHUNK = 1 << 16
-CACHE_BYTES = 24 << 20      # of a worker's chunk cache, texts and ids
-CACHE_WORDS = 600_000       # of a worker's pre-token cache
+CACHE_BYTES = 8 << 20      # of a worker's chunk cache, texts and ids
+CACHE_WORDS = 150_000       # of a worker's pre-token cache
 LINES_A_CALL = 500
-SLICE_CHARS = 1 << 20       # texts encoded together
+SLICE_BYTES = 1 << 19       # texts encoded together
 # fixed value: the pre-token pattern that byte-level BPE files name as use_regex
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -259,6 +259,10 @@ class ByteBpe:
                                 else self._used(ids[x[0]], x[1], x[2], len(x[0])) for x in plan] or [empty])
                 for plan in plans]
 
+    def forget(self) -> None:
+        """Empty the caches."""
+        self.words, self.cache = {}, ChunkCache(2 * self.cache.limit)
+
     def decode(self, ids: np.ndarray) -> str:
         if not len(ids):
             return ""
@@ -282,7 +286,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids: str = "ids",
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(path)
         for batch in batches:
-            for start, part in slices(batch.column(batch.num_columns - 1).to_pylist(), SLICE_CHARS):
+            for start, part in arrow_slices(batch.column(batch.num_columns - 1), SLICE_BYTES):
                 made = coder.encode_texts(part)
                 kept = batch.slice(start, len(part))
                 columns = [kept.column(k) for k in range(batch.num_columns - 1)]
@@ -290,6 +294,8 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids: str = "ids",
                 if decoded:
                     columns.append(pa.array([coder.decode(x) for x in made], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        coder.forget()
+        release_memory()
 
     rest = df.drop(ids, *([decoded] if decoded else []))
     names = [*rest.columns, ids, *([decoded] if decoded else [])]

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from stratum.session import scratch_path
 
-WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

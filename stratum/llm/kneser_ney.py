@@ -40,7 +40,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.hashed_words import hashed_words, mix, slices
+from stratum.llm.hashed_words import arrow_slices, hashed_words, mix, release_memory, slices
 from stratum.session import scratch_path
 
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
@@ -113,7 +113,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
 
     for batch in batches:
-        for _, part in slices(batch.column(0).to_pylist()):
+        for _, part in arrow_slices(batch.column(0)):
             _, _, token = bigrams(part)
             held += [token, np.full(len(part), START)]
             if sum(map(len, held)) > _FLUSH:
@@ -141,7 +141,7 @@ def _pack(shards: int, hot: Hot):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for _, part in slices(batch.column(0).to_pylist()):
+            for _, part in arrow_slices(batch.column(0)):
                 held.append(bigrams(part)[1:])
                 if sum(len(c) for c, _ in held) > _FLUSH:
                     yield from send(*map(np.concatenate, zip(*held)))
@@ -346,5 +346,6 @@ def score(text: Column, model: Model) -> Column:
         for texts in batches:
             parts = [score_texts(model, part) for _, part in slices(texts.tolist(), _SLICE)]
             yield pd.concat(parts, ignore_index=True)
+        release_memory()
 
     return scored(text)

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.llm.hashed_words import release_memory
+
 UNDETERMINED = "und"
 BOUNDARY = 1            # code point U+0001 marks a word boundary; it is never a letter
 PROFILE_SIZE = 400
@@ -87,6 +89,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.int64()),
                  pa.array(counts.astype(np.int64))], names=["lang", "gram", "n"])
+    release_memory()
 
 
 def train_profiles(train: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -139,8 +142,10 @@ def predictor(profiles: tuple[list[str], np.ndarray, np.ndarray],
         return langs[best], float(1 - total[best] / (profile_size * len(own)))
 
     @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(t) for t in texts], columns=["lang_pred", "score"])
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([one(t) for t in texts], columns=["lang_pred", "score"])
+        release_memory()
 
     return predict
 

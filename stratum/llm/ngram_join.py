@@ -56,7 +56,7 @@ SEGMENTS_PER_SIZE = 0.6     # segments of a larger band, by its smallest size
 FILTER_BITS = 1 << 29       # bound of the broadcast Bloom filter: 64 MB
 ROWS_A_GROUP = 300_000      # bucket rows of a centre that one task compares
 _BLOCK = 1 << 19            # pairs compared at a time
-_FLUSH = 2_000_000
+_FLUSH = 700_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -173,7 +173,7 @@ def signatures(rule: Rule, sets: list[np.ndarray], nodes: np.ndarray) -> Signatu
                             mix(content[segment[less]] - element[less] + name[segment[less]])])
     place = np.concatenate([used, segment[less]])
     of_value = of_entry[place]
-    number = np.where(small[of_value], place - first[of_value] + 1, 0)
+    number = np.where(small[of_value], place - first[of_value] + 1, 0).astype(np.uint8)
     return Signatures(value, of_value, np.arange(len(value)) >= len(used), number, nodes[entry_set], size,
                       indexed, spare)
 
@@ -219,6 +219,7 @@ def _send_signatures(rule: Rule, shards: int):
         base = np.cumsum([0] + [len(h.node) for h in parts])
         held = Signatures(*[np.concatenate([getattr(h, c) + b if c == "entry" else getattr(h, c)
                                             for h, b in zip(parts, base)]) for c in Signatures._fields])
+        parts.clear()
         shard = ((held.value >> np.uint64(32)) % np.uint64(shards)).astype(np.uint64)
         order = np.argsort(shard << np.uint64(32) | held.value & np.uint64(0xFFFFFFFF))
         edges = np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64))

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.llm.hashed_words import arrow_slices, release_memory
+
 HASH_BITS = 18
 MAX_FIT = 8000              # labelled rows that the dual coordinate descent sees, about
 MAX_BROADCAST_LABELS = 1 << 20      # of 12 bytes
@@ -118,7 +120,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         label = np.array(batch.column(1).to_pylist(), np.int64)
         rows += np.bincount(label, minlength=2)
-        for start, part in _slices(batch.column(0).to_pylist()):
+        for start, part in arrow_slices(batch.column(0)):
             row, column = features(part)
             counts += np.bincount(label[start + row] * _COLUMNS + column,
                                   minlength=2 * _COLUMNS).reshape(2, _COLUMNS)
@@ -126,12 +128,14 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield pa.RecordBatch.from_arrays(
         [pa.array([-1, *at.tolist()], pa.int32()), pa.array([rows[0], *counts[0][at]], pa.int64()),
          pa.array([rows[1], *counts[1][at]], pa.int64())], names=["column", "n0", "n1"])
+    del counts
+    release_memory()
 
 
 def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         labels = batch.column(1).to_pylist()
-        for start, part in _slices(batch.column(0).to_pylist()):
+        for start, part in arrow_slices(batch.column(0)):
             row, column = features(part)
             ends = np.searchsorted(row, np.arange(len(part) + 1))
             own = [column[a:z].astype("<i4").tobytes() for a, z in zip(ends, ends[1:])]
@@ -245,5 +249,6 @@ def score(text: Column, model: Model) -> Column:
                 margin[start:start + len(part)] += np.bincount(row, weights[column], len(part))
             odds = np.clip(model.slope * margin + model.offset, -40, 40)
             yield pd.Series(1 / (1 + np.exp(-odds)))
+        release_memory()
 
     return probability(text)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm import hashed_words, plain
 from stratum.llm.bpe import byte_alphabet
-from stratum.llm.hashed_words import slices
+from stratum.llm.hashed_words import release_memory, slices
 
 CACHE_WORDS = 250_000
 WORDS_A_CALL = 500
@@ -120,5 +120,7 @@ def count_tokens(text: Column, path: str) -> Column:
         counts = Counts(path, whole.value)
         for texts in batches:
             yield pd.Series([n for _, part in slices(texts.tolist()) for n in counts.texts(part)], dtype="int64")
+        del counts
+        release_memory()
 
     return count(text)
