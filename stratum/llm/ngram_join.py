@@ -19,8 +19,10 @@ them and probes nothing; hot segments are probed last.
 
 Verification. Members of a probed bucket are compared with one centre of the bucket first; linked
 ones merge into components, which collapses groups of near copies with a number of comparisons linear in
-their size. Then every remaining pair of a probing and an indexed set of one bucket whose components
-differ is compared. A comparison first counts the bits in which bitmaps of the two sets differ; sets
+their size. While very many pairs of different components are left and a round removes a tenth of them, more
+rounds follow with other centres. Then every remaining pair of a probing and an indexed set of one
+bucket whose components differ is compared; the sets of a large family are dealt into parts, and
+each two parts meet in a task of their own. A comparison first counts the bits in which bitmaps of the two sets differ; sets
 differ in at least as many shingles, so more than H rule the pair out, block by block inside a
 task. Only pairs that pass are written, and those intersect the two whole sets.
 
@@ -54,7 +56,9 @@ NUMERATOR, DENOMINATOR = 75, 100
 SMALL_BAND = 128            # bands that end below have one-deletion neighbourhoods
 SEGMENTS_PER_SIZE = 0.6     # segments of a larger band, by its smallest size
 FILTER_BITS = 1 << 29       # bound of the broadcast Bloom filter: 64 MB
-ROWS_A_GROUP = 300_000      # bucket rows of a centre that one task compares
+BYTES_A_GROUP = 64 << 20    # bitmaps and bucket rows, about, that one task compares
+MANY_PAIRS = 1 << 27        # pairs of two components beyond which another star round is tried
+PAIRS_A_ROW = 64            # in buckets with more of them a row
 _BLOCK = 1 << 19            # pairs compared at a time
 _FLUSH = 700_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -483,31 +487,72 @@ def _star(members: DataFrame, rule: Rule) -> DataFrame:
 def _all_links(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Enough links to join every linked pair of ``members``."""
     links = stored(verified(_star(members, rule), sets, rule), "links")
-    left = _remaining(members, connected_components(links), sets, rule)
+    labels = connected_components(links)
+    before, turn = None, 0
+    while True:
+        rows = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        mixed = stored(rows.groupBy("bucket").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("centre"),
+            (F.sum(F.col("asks").cast("double")) * F.sum(F.col("indexed").cast("double"))).alias("pairs"))
+            .where("low <> high").select("bucket", "centre", "pairs"), "mixed")
+        if not (mixed.agg(F.sum("pairs")).first()[0] or 0) > MANY_PAIRS:
+            break
+        many, total = _many_pairs(rows, mixed)
+        if not total > MANY_PAIRS or (before is not None and total > 0.9 * before):
+            break
+        before, turn = total, turn + 1
+        more = stored(verified(_star_again(rows, many, turn, rule), sets, rule), "links")
+        links = links.union(more)
+        labels = connected_components(links)
+    left = _remaining(rows, mixed, sets, rule)
     return stored(links.union(verified(left, sets, rule)), "links")
 
 
-def _remaining(members: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def _many_pairs(rows: DataFrame, mixed: DataFrame) -> tuple[DataFrame, float]:
+    """(buckets with many pairs of two components for their rows, number of such pairs in all of them)."""
+    sums = [F.sum(F.col(c).cast("double")).alias(c) for c in ("asks", "indexed")]
+    of_label = (rows.join(mixed.select("bucket"), "bucket").groupBy("bucket", "label")
+                .agg(*sums, F.count(F.lit(1)).alias("n")))
+    pairs = F.sum("asks") * F.sum("indexed") - F.sum(F.col("asks") * F.col("indexed"))
+    many = stored(of_label.groupBy("bucket").agg(pairs.alias("pairs"), F.sum("n").alias("n"))
+                  .where(F.col("pairs") > PAIRS_A_ROW * F.col("n")).select("bucket", "pairs"), "many")
+    return many.select("bucket"), many.agg(F.sum("pairs")).first()[0] or 0.0
+
+
+def _star_again(rows: DataFrame, many: DataFrame, turn: int, rule: Rule) -> DataFrame:
+    """Pairs of another centre of each bucket, drawn by a hash, with the members of other components."""
+    rows = rows.join(many, "bucket")
+    centre = rows.groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("draw"), "node", "size",
+                                                       "label")).alias("c"))
+    pairs = rows.join(centre, "bucket").where(F.col("label") != F.col("c.label")).where(_fits(rule, "size", "c.size"))
+    return pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+
+
+def _remaining(rows: DataFrame, mixed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of a probing and an indexed set of one bucket whose components differ and whose
     bitmaps allow a link.
 
     Buckets with more than one component are dealt out by their centre, so that buckets of one
-    family meet and each of its pairs is looked at once; a centre with many rows is split by
-    bucket. A task compares bitmaps in blocks and returns the pairs that pass.
+    family meet and each of its pairs is looked at once. The sets of a centre that would outgrow
+    ``BYTES_A_GROUP`` are dealt by hash into k parts; each two of the parts, and each by itself, are a
+    group of their own, so any pair of sets still meets in exactly one group, however many share
+    one bucket. A task compares bitmaps in blocks and returns the pairs that pass.
     """
-    rows = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = (rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                        F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
-             .where("low <> high").select("bucket", "centre", "n"))
-    weight = mixed.groupBy("centre").agg(F.ceil(F.sum("n") / F.lit(ROWS_A_GROUP)).alias("parts"))
-    mixed = mixed.join(weight, "centre").select(
-        "bucket", "centre", F.pmod(F.xxhash64("bucket"), F.col("parts")).alias("part"))
-    rows = stored(rows.join(mixed, "bucket"), "mixed")
-    about = (rows.select(*[F.col(c).alias(f"of_{c}") for c in ("centre", "part", "node", "label")]).distinct()
-             .join(sets.select(F.col("node").alias("of_node"), F.col("size").alias("of_size"), "bits"), "of_node"))
-    return (rows.select("centre", "part", "bucket", "node", "asks", "indexed", "left_out")
-            .groupBy("centre", "part").cogroup(about.groupBy("of_centre", "of_part"))
-            .applyInArrow(_compare(rule), "a long, b long").distinct())
+    nodes = stored(rows.join(mixed.select("bucket", "centre"), "bucket")
+                   .groupBy("centre", "node", "label", "size").agg(F.collect_list(F.struct(
+                       "bucket", (F.col("asks").cast("int") + 2 * F.col("indexed").cast("int")
+                                  + 4 * F.col("left_out").cast("int")).alias("flags"))).alias("buckets")), "mixed")
+    held = F.sum(F.lit(64) + 12 * F.size("buckets") + 2 * F.col("size"))
+    # a row for each BYTES_A_GROUP of all sets at most
+    heavy = (nodes.groupBy("centre").agg(held.alias("held")).where(F.col("held") > BYTES_A_GROUP)
+             .select("centre", F.ceil(2 * F.col("held") / F.lit(BYTES_A_GROUP)).cast("int").alias("parts")))
+    parted = (nodes.join(F.broadcast(heavy), "centre", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+              .withColumn("part", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("parts")).cast("int"))
+              .join(sets.select("node", "bits"), "node")
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    return (parted.select("centre", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+                          "part", "node", "label", "size", "buckets", "bits")
+            .groupBy("centre", "i", "j").applyInArrow(_compare(rule), "a long, b long").distinct())
 
 
 class _Bitmaps:
@@ -531,15 +576,37 @@ class _Bitmaps:
         return out
 
 
+def _mixed_pairs(ask: np.ndarray, there: np.ndarray, ask_label: np.ndarray,
+                 label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of an ask and an entry there of another label, block by block; ``there`` is sorted by label."""
+    low, high = np.searchsorted(label, ask_label), np.searchsorted(label, ask_label, "right")
+    skip = high - low
+    n = len(there) - skip
+    ends = np.cumsum(n)
+    start, done = 0, 0
+    while start < len(ask):
+        stop = max(start + 1, int(np.searchsorted(ends, done + _BLOCK, "right")))
+        x = np.repeat(np.arange(start, stop), n[start:stop])
+        y = np.arange(done, ends[stop - 1]) - (ends - n)[x]
+        y += np.where(y >= low[x], skip[x], 0)
+        yield ask[x], there[y]
+        start, done = stop, int(ends[stop - 1])
+
+
 def _compare(rule: Rule):
-    def compare(rows: pa.Table, about: pa.Table) -> pa.Table:
-        about = about.sort_by("of_node")
-        node, label, size = (about[f"of_{c}"].to_numpy() for c in ("node", "label", "size"))
-        bits = _Bitmaps([np.frombuffer(b.as_buffer(), np.uint8) for b in about["bits"]])
-        rows = rows.sort_by("bucket")
-        at = np.searchsorted(node, rows["node"].to_numpy())
-        asks, indexed, out = (rows[c].to_numpy(zero_copy_only=False) for c in ("asks", "indexed", "left_out"))
-        edges = np.flatnonzero(np.diff(rows["bucket"].to_numpy(), prepend=-1, append=-2))
+    def compare(key: tuple, group: pa.Table) -> pa.Table:
+        split = key[1].as_py() != key[2].as_py()       # only pairs across the two parts
+        node, label, size = (group[c].to_numpy() for c in ("node", "label", "size"))
+        far = group["part"].to_numpy() != key[1].as_py()
+        bits = _Bitmaps([np.frombuffer(b.as_buffer(), np.uint8) for b in group["bits"]])
+        buckets = group["buckets"].combine_chunks()
+        of = np.repeat(np.arange(len(node)), buckets.value_lengths().to_numpy())
+        entries = buckets.flatten()
+        bucket, flags = entries.field("bucket").to_numpy(), entries.field("flags").to_numpy()
+        order = np.lexsort((label[of], bucket))
+        of, flags = of[order], flags[order]
+        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-2))
+        asks, indexed, out = ((flags & k).astype(bool) for k in (1, 2, 4))
         passed: list[np.ndarray] = []
         waiting: list[np.ndarray] = []
 
@@ -550,27 +617,31 @@ def _compare(rule: Rule):
             most = most_different(rule, np.maximum(size[x], size[y]), np.minimum(size[x], size[y]))
             passed.append(code[bits.differ(x, y) <= most])
 
+        def sides(mine: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+            ask, there = mine[asks[mine]], mine[indexed[mine]]
+            if not split:
+                return [(ask, there)]
+            return [(ask[far[of[ask]] == s], there[far[of[there]] != s]) for s in (False, True)]
+
         held = 0
         for a, z in zip(edges, edges[1:]):
-            mine = np.arange(a, z)
-            ask, there = mine[asks[a:z]], mine[indexed[a:z]]
-            step = max(1, _BLOCK // max(1, len(there)))
-            for k in range(0, len(ask), step):
-                x, y = np.repeat(ask[k:k + step], len(there)), np.tile(there, len(ask[k:k + step]))
-                p, q = at[x], at[y]
-                small, large = np.minimum(size[p], size[q]), np.maximum(size[p], size[q])
-                good = ((label[p] != label[q]) & ~(out[x] & out[y])
-                        & (rule.denominator * small >= rule.numerator * large))
-                p, q = p[good], q[good]
-                waiting.append(np.unique(np.minimum(p, q) * len(node) + np.maximum(p, q)))
-                held += len(waiting[-1])
-                if held > 8 * _BLOCK:
-                    settle()
-                    held = 0
+            if label[of[a]] == label[of[z - 1]]:
+                continue
+            for ask, there in sides(np.arange(a, z)):
+                for x, y in _mixed_pairs(ask, there, label[of[ask]], label[of[there]]):
+                    p, q = of[x], of[y]
+                    small, large = np.minimum(size[p], size[q]), np.maximum(size[p], size[q])
+                    good = ~(out[x] & out[y]) & (rule.denominator * small >= rule.numerator * large)
+                    p, q = p[good], q[good]
+                    waiting.append(np.unique(np.minimum(p, q) * len(node) + np.maximum(p, q)))
+                    held += len(waiting[-1])
+                    if held > 8 * _BLOCK:
+                        settle()
+                        held = 0
         if waiting:
             settle()
         code = np.unique(np.concatenate(passed)) if passed else np.empty(0, np.int64)
         x, y = np.divmod(code, max(1, len(node)))
-        return pa.table({"a": node[x], "b": node[y]})
+        return pa.table({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y])})
 
     return compare

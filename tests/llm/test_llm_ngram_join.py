@@ -109,3 +109,55 @@ def test_connected_components_of_long_chains(spark, one_task):
     frame = spark.createDataFrame(edges, "a long, b long")
     got = {r.node: r.label for r in connected_components(frame, one_task=one_task).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 160)}, 201: 201, 203: 201, 205: 201}
+
+
+def common_passage(n=60, seed=9):
+    """Texts that share 60 to 75 % of their shingles without a link, near copies of one, and an outlier."""
+    rng = random.Random(seed)
+    passage = [f"p{i}" for i in range(90)]
+    rows = [" ".join([f"q{rng.randint(0, 10 ** 6)}" for _ in range(30)] + passage) for _ in range(n)]
+    base = rows[0].split()
+    for _ in range(n):
+        new = list(base)
+        new[rng.randrange(len(new))] = f"c{rng.randint(0, 10 ** 6)}"
+        rows.append(" ".join(new))
+    return list(enumerate(rng.sample(rows, len(rows))))
+
+
+@pytest.mark.parametrize("many", [0, 1 << 27])
+def test_one_hot_bucket_is_dealt_to_many_groups(make_docs, monkeypatch, tmp_path, many):
+    """No group holds more than its bound although all sets share buckets; the links stay right."""
+    monkeypatch.setattr(j, "BYTES_A_GROUP", 1 << 13)
+    monkeypatch.setattr(j, "MANY_PAIRS", many)
+    monkeypatch.setattr(j, "PAIRS_A_ROW", 0)
+    made = j._compare
+
+    def watched(rule):
+        compare = made(rule)
+
+        def run(key, group):
+            (tmp_path / f"{key[0]}-{key[1]}-{key[2]}").write_text(str(group.num_rows))
+            return compare(key, group)
+        return run
+
+    monkeypatch.setattr(j, "_compare", watched)
+    rows = common_passage()
+    check(make_docs([(i, t, None, None) for i, t in rows]), rows)
+    sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert len(sizes) > 3 and max(sizes) < len(rows) / 2
+
+
+def test_pairs_of_one_component_are_never_built():
+    rng = np.random.default_rng(2)
+    for block in (1, 7, 1 << 19):
+        j._BLOCK, kept = block, j._BLOCK
+        try:
+            label = np.sort(rng.integers(0, 4, 30))
+            ask = rng.integers(0, 5, 20)
+            got = [p for x, y in j._mixed_pairs(np.arange(20), np.arange(30), ask, label) for p in zip(x.tolist(), y.tolist())]
+        finally:
+            j._BLOCK = kept
+        assert sorted(got) == [(x, y) for x in range(20) for y in range(30) if ask[x] != label[y]]
+    same = np.zeros(500_000, np.int64)
+    at = np.arange(500_000)
+    assert sum(len(x) for x, _ in j._mixed_pairs(at, at, same, same)) == 0
