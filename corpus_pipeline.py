@@ -2,6 +2,10 @@
 
 Every stage takes (spark, docs, sf_dir), where docs is what its predecessor kept, and returns the
 columns of documents; the last one returns the token ids. A stage learns only from its own input.
+
+A filter that finds nothing to learn from keeps every row: the language stage if no training text has
+a language (``lang`` all NULL), the quality stage unless its documents have learnable labels of both
+classes.
 """
 
 from __future__ import annotations
@@ -19,15 +23,22 @@ _P = "__stage_"
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without letters, or unlike every learned language, go."""
+    """Language ID: documents without letters, or unlike every learned language, go. Without any
+    learned language all stay."""
     train = docs.where(~fold_is(F.col("doc_id"), 5, 0))
-    found = language_id.identify(docs, train, out=_P + "language")
+    model = language_id.collect_profiles(language_id.train_profiles(train))
+    if not model[0]:
+        return docs
+    found = docs.withColumn(_P + "language", language_id.predictor(model)(F.col("text")))
     return found.where(language_id.accepted(F.col(_P + "language"))).select(*docs.columns)
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality classifier: documents scored below the threshold go."""
+    """Quality classifier: documents scored below the threshold go. Without labels of both classes
+    nothing tells them apart, and all stay."""
     model = quality_classifier.fit(docs, learnt_labels(spark, sf_dir))
+    if not model.fitted:
+        return docs
     score = quality_classifier.score(F.col("text"), model)
     return (docs.withColumn(_P + "score", score)
             .where(F.col(_P + "score") >= quality_classifier.THRESHOLD).select(*docs.columns))

@@ -49,6 +49,7 @@ class Model(NamedTuple):
     bias: float
     slope: float
     offset: float
+    fitted: bool = True     # False: one class or none, the score is a constant
 
 
 class _Marks(dict):
@@ -205,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     total = counts[counts["column"] < 0][["n0", "n1"]].to_numpy(np.float64).sum(axis=0)
     if not total.all():
         share = total[1] / total.sum() if total.sum() else 0.5
-        return Model(np.zeros(_COLUMNS), 0.0, 0.0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
+        return Model(np.zeros(_COLUMNS), 0.0, 0.0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))), False)
     counts = counts[counts["column"] >= 0]
     at = counts["column"].to_numpy()
     p, q = (ALPHA + np.bincount(at, counts[n], _COLUMNS) for n in ("n1", "n0"))

@@ -107,3 +107,17 @@ def test_edge_rows_pass_every_stage(spark, make_docs):
             assert kept.collect() == []
     ids = [r.doc_id for r in p.keep_one_of_each_group(spark, docs, SF).collect()]
     assert ids.count(7) <= 1 and ids.count(None) == 1
+
+
+@pytest.mark.parametrize("labels", [[], [(i, None) for i in range(20)], [(i, 0) for i in range(20)],
+                                    [(i, 1) for i in range(20)], [(900, 0), (901, 1)]])
+def test_quality_stage_keeps_all_without_a_model(spark, make_docs, tmp_path, labels):
+    """No labels, NULL ones, one class, or labels of other documents only."""
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = make_docs([(i, f"clean text number {i}", "en", "a") for i in range(20)] + [(30, None, None, None)])
+    assert sorted(map(str, p.keep_good_quality(spark, docs, str(tmp_path)).collect())) == sorted(map(str, docs.collect()))
+
+
+def test_language_stage_keeps_all_without_a_language(spark, make_docs):
+    docs = make_docs([(i, f"clean text number {i}", None, "a") for i in range(20)] + [(30, None, None, None)])
+    assert sorted(map(str, p.keep_known_languages(spark, docs, SF).collect())) == sorted(map(str, docs.collect()))
