@@ -5,8 +5,10 @@ that encode alone as exactly one token are proved beforehand by encoding each on
 among them counts 1 without any merging; only the rest is merged by the library, each distinct
 one once per worker (bounded cache).
 
-Texts within ``plain.RANGE`` are split here by the file's own pattern; any other text, and any text holding a
-special string, is counted by the library as a whole.
+Texts are split here by the file's own pattern as far as they lie within ``plain.RANGE``. Of any
+other text, the stretches between ASCII white space that hold a character beyond it, or a special
+string, are counted by the library, each distinct one once per worker (same cache); the rest of the
+text is split here. No normalisation, special string or pre-token runs over ASCII white space.
 
 Defined cases: NULL counts as the empty text (0 tokens); texts of any length are counted whole;
 rows that repeat are each counted; an empty table gives an empty result; other columns pass.
@@ -32,6 +34,8 @@ from stratum.llm.hashed_words import release_memory, slices
 
 CACHE_WORDS = 250_000
 WORDS_A_CALL = 500
+CACHED_STRETCH = 64         # characters of a stretch beyond plain.RANGE that is kept at most
+_stretches = re.compile(r"[^ \t\n\r]+").findall
 
 
 @functools.lru_cache(maxsize=2)
@@ -94,11 +98,32 @@ class Counts:
             out += np.diff(ends, prepend=-1).tolist()
         return out
 
+    def _divide(self, text: str) -> tuple[str, list[str]]:
+        """(what of the text lies within RANGE, its other stretches between ASCII white space)."""
+        special = any(s in text for s in self.special)
+        if not special and plain.is_plain(text):
+            return text, []
+        usual, other = [], []
+        for w in _stretches(text):
+            (usual if plain.is_plain(w) and not (special and any(s in w for s in self.special)) else other).append(w)
+        return " ".join(usual), other
+
+    def _count_others(self, others: list[list[str]]) -> list[int]:
+        """Tokens of each text's stretches beyond RANGE."""
+        found = {w: self.tokens.get(w) for ws in others for w in ws}
+        unknown = [w for w, n in found.items() if n is None]
+        for k in range(0, len(unknown), WORDS_A_CALL):
+            part = unknown[k:k + WORDS_A_CALL]
+            for w, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
+                found[w] = len(e.ids)
+        self.tokens.update((w, found[w]) for w in unknown if len(w) <= CACHED_STRETCH)
+        return [sum(map(found.__getitem__, ws)) for ws in others]
+
     def texts(self, texts: list[str]) -> list[int]:
-        usual = [plain.is_plain(t) and not any(s in t for s in self.special) for t in texts]
-        total = [0 if u else len(self.library.encode(t, add_special_tokens=False).ids)
-                 for t, u in zip(texts, usual)]
-        split = [self.find(t.lower()) if u else [] for t, u in zip(texts, usual)]
+        divided = [self._divide(t) for t in texts]
+        total = self._count_others([other for _, other in divided])
+        split = [self.find(usual.lower()) for usual, _ in divided]
+        del divided
         code, words = hashed_words.distinct(split)
         found = list(map(self.tokens.get, words))
         unknown = [k for k, n in enumerate(found) if n is None]

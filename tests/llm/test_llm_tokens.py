@@ -88,3 +88,26 @@ def test_whole_tokens_encode_alone():
     assert len(whole) > 30_000
     for w in random.Random(1).sample(sorted(whole), 300):
         assert len(library.encode(w, add_special_tokens=False).ids) == 1
+
+
+def test_texts_beyond_the_plain_range_keep_the_shortcut():
+    """Only the stretches around a quote, dash, emoji, accent or special string go to the library."""
+    counts, library = token_counts.Counts(WORD, token_counts.whole_tokens(WORD)), Tokenizer.from_file(WORD)
+    sent = []
+
+    class Watched:
+        def __getattr__(self, name):
+            made = getattr(library, name)
+
+            def call(texts, **kw):
+                sent.extend([texts] if isinstance(texts, str) else texts)
+                return made(texts, **kw)
+            return call if name.startswith("encode") else made
+
+    counts.library = Watched()
+    odd = ["don’t", "á b", "“the”", "—", "…and", "🙂", "кот", "ΣΑΣ", "İs", "the　cat", "x\x85y", "x<|endoftext|>y", "中文"]
+    texts = [f"the cat sat on the mat {w} and the dog was there {w}\tthe end" for w in odd] + [" ".join(odd), "́ a"]
+    assert counts.texts(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert sent and not any(w in t.split() for t in sent for w in ("cat", "mat", "dog", "end") if "　" not in t)
+    sent.clear()
+    assert counts.texts(texts[:1] * 5) and sent == []
