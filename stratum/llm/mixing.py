@@ -9,7 +9,8 @@ document fits. So a source's taken words miss its target by half a document at m
 
 Scale: keys are cut into ``buckets`` equal-probability ranges. One map-side-combined sum by
 (source, bucket) finds the range in which each source's budget ends; only documents in that one
-range are sorted, so a source with a third of all rows is never sorted whole in one task.
+range are sorted, so a source with a third of all rows is never sorted whole in one task. Sources
+themselves are numbered and filled by range partitions, however many there are.
 
 Defined cases: NULL or empty text has size 0 and takes 0; a NULL source is a source of its own
 (last in order); a source without words has target 0; rows that repeat are rows of their own
@@ -26,7 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.llm.common import code_point_key
+from stratum.llm.common import code_point_key, stored
+from stratum.sources.incremental import page_numbers
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
@@ -59,29 +61,45 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
     Water filling without a loop: a source is capped when the scale at which it fills up
     (max_epochs * size / weight) lies below the final scale. Ordered by that value, the scale
     with the first k sources capped is (total - capped words) / (weight left); the first source
-    whose own value reaches it, and all after it, are uncapped. The table has a row per source.
+    whose own value reaches it, and all after it, are uncapped. Sources are numbered, and the
+    values ordered, by range partitions with offsets, so no task holds them all.
     """
-    order = Window.orderBy(F.col("source").isNull(), code_point_key(F.col("source")))
-    w = sizes.withColumn(_P + "k", (F.row_number().over(order) - 1) % len(weights))
+    key = sizes.select("source", "source_size", F.col("source").isNull().alias(_P + "null"),
+                       code_point_key(F.col("source")).alias(_P + "key"))
+    w = page_numbers(key, [_P + "null", _P + "key"]).withColumn(_P + "k", (F.col("row_no") - 1) % len(weights))
     weight = reduce(lambda e, kw: e.when(F.col(_P + "k") == kw[0], F.lit(float(kw[1]))),
                     list(enumerate(weights))[1:], F.when(F.col(_P + "k") == 0, F.lit(float(weights[0]))))
     w = (w.withColumn(_P + "w", weight)
          .withColumn(_P + "cap", F.lit(float(max_epochs)) * F.col("source_size")))
-    fill = Window.orderBy(F.col(_P + "cap") / F.col(_P + "w"), F.col("source").isNull(),
-                          code_point_key(F.col("source")))
-    before, after = fill.rowsBetween(Window.unboundedPreceding, -1), fill.rowsBetween(0, Window.unboundedFollowing)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    total = F.sum("source_size").over(everything) * float(share)
-    w = w.withColumn(_P + "scale", F.greatest(
-        F.lit(0.0), total - F.coalesce(F.sum(_P + "cap").over(before), F.lit(0.0)))
-        / F.sum(_P + "w").over(after))
-    free = F.col(_P + "cap") / F.col(_P + "w") >= F.col(_P + "scale")
-    # scales rise up to the first uncapped source and fall after it: its own is the largest
-    w = w.withColumn(_P + "final", F.max(F.when(free, F.col(_P + "scale"))).over(everything))
-    target = F.least(F.col(_P + "cap"), F.coalesce(F.col(_P + "w") * F.col(_P + "final"), F.col(_P + "cap")))
+    final = F.lit(_final_scale(w, share)).cast("double")
+    target = F.least(F.col(_P + "cap"), F.coalesce(F.col(_P + "w") * final, F.col(_P + "cap")))
     return w.select("source", "source_size", target.alias("target"))
 
 
+def _final_scale(w: DataFrame, share: float) -> float | None:
+    """The scale at which the uncapped sources take all that is left; None if every source is capped.
+
+    Sums of a range of values, one row each, are added up first; then each range adds its own.
+    """
+    spark, fills = w.sparkSession, F.col(_P + "cap") / F.col(_P + "w")
+    values = w.groupBy(fills.alias("fills")).agg(F.sum(_P + "cap").alias("cap"), F.sum(_P + "w").alias("w"),
+                                                 F.sum("source_size").alias("size"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(values.repartitionByRange(n, "fills").withColumn("part", F.spark_partition_id()), "fills")
+    ranges = ranged.groupBy("part").agg(*[F.sum(c).alias(c) for c in ("cap", "w", "size")]).toPandas().sort_values("part")
+    total = float(ranges["size"].sum()) * float(share)
+    ranges["before"] = ranges["cap"].cumsum() - ranges["cap"]
+    ranges["after"] = ranges["w"].sum() - ranges["w"].cumsum()
+    offsets = spark.createDataFrame(ranges[["part", "before", "after"]], "part int, before double, after double")
+    order = Window.partitionBy("part").orderBy("fills")
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
+    scale = (F.greatest(F.lit(0.0), F.lit(total) - F.col("before") - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
+             / (F.col("after") + F.sum("w").over(after)))
+    scaled = ranged.join(F.broadcast(offsets), "part").withColumn("scale", scale)
+    # scales rise up to the first uncapped value and fall after it: its own is the largest
+    return scaled.where("fills >= scale").agg(F.max("scale")).first()[0]
+
+
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, share: float = 1.0,
         buckets: int = BUCKETS, seed: int = SEED) -> DataFrame:
@@ -93,7 +111,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
             .withColumn(_P + "key", -F.log(chance) / F.col(_P + "text.weight"))
             .withColumn(_P + "size", F.col(_P + "text.size"))
             .withColumn(_P + "bucket", F.floor((1 - F.exp(-F.col(_P + "key"))) * buckets).cast("int")))
-    sums = rows.groupBy(_P + "source", _P + "bucket").agg(F.sum(_P + "size").alias("n"))
+    sums = stored(rows.groupBy(_P + "source", _P + "bucket").agg(F.sum(_P + "size").alias("n")), "sums")
     plan = _small(_plan(sums, weights, max_epochs, share))
     rows = rows.join(plan, F.col(_P + "source").eqNullSafe(F.col(_P + "at_source")), "left")
     bucket, edge = F.col(_P + "bucket"), F.col(_P + "edge")

@@ -1,4 +1,5 @@
 import collections
+import re
 
 import brute
 import pytest
@@ -7,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratum.llm import mixing
+from stratum.llm.common import stored
 
 
 def check(rows, found, cap=3):
@@ -62,3 +64,17 @@ def test_water_filling(spark, sizes):
     got = {r.source: r.target for r in mixing.source_targets(df).collect()}
     for s, t in brute.targets(table).items():
         assert got[s] == pytest.approx(t, abs=1e-6)
+
+
+def test_no_task_holds_all_sources(spark, monkeypatch):
+    """What comes together in one task is a count a partition; the values to fill are in several."""
+    kept = []
+    monkeypatch.setattr(mixing, "stored", lambda df, name: kept.append(stored(df, name)) or kept[-1])
+    table = {f"s{k}": (k * 7919) % 101 for k in range(400)} | {None: 11}
+    df = spark.createDataFrame(list(table.items()), "source string, source_size long")
+    made = mixing.source_targets(df.repartition(5))
+    got, want = {r.source: r.target for r in made.collect()}, brute.targets(table)
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s], abs=1e-6) for s in want)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert all("keys=[__part#" in line for line in re.findall(r"Exchange SinglePartition.*\n(.*)", plan))
+    assert kept[0].select("part").distinct().count() > 1
