@@ -16,8 +16,9 @@ task handles one of each, so memory is bounded. A task returns ``k`` rows a quer
 
 Defined cases: vectors NULL, empty, zero, or with NULL or non-finite components take no part, nor
 do vectors of another length than the most frequent one (ties: the longer); rows with a NULL id
-take no part; rows that share an id count as one (the least vector); ties go to the smaller id;
-with fewer than k candidates all are returned; other columns are ignored.
+take no part; rows that share an id are all candidates (their id may appear again in a result) but
+ask once, with the least vector, and are never their own neighbours; ties go to the smaller id; with
+fewer than k candidates all are returned; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -89,15 +90,17 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col
     if found is None:
         return vectors.sparkSession.createDataFrame([], schema)
     length, total = found["n"], found["c"]
-    rows = (rows.where(F.size("vec") == length)
-            .groupBy("id").agg(F.min("vec").alias("vec"), F.max("asks").alias("asks")))
+    each = (rows.where(F.size("vec") == length)        # rows that repeat whole are kept once, with their number
+            .groupBy("id", "vec").agg(F.count(F.lit(1)).alias("times"), F.max("asks").alias("asks")))
+    rows = each.groupBy("id").agg(F.min("vec").alias("vec"), F.max("asks").alias("asks"))
     fitted = rows.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(pivots).toPandas()
     centre = _matrix(fitted["vec"])
     depth = min(prefix, len(centre))
     blocks = max(1, ceil(total / block_rows))
     wanted = ceil(max(candidates, share * total) / blocks)
 
-    index = rows.select("id", "vec", F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(blocks)).cast("int").alias("block"))
+    index = each.select("id", "vec", F.least("times", F.lit(k)).alias("times"), F.xxhash64("vec").alias("turn"),
+                        F.pmod(F.xxhash64(F.lit(3), "id", "vec"), F.lit(blocks)).cast("int").alias("block"))
     asked = rows.where("asks").select("id", "vec")
     groups = max(1, ceil(asked.count() / QUERY_ROWS))
     asked = (asked.withColumn("part", F.pmod(F.xxhash64(F.lit(4), "id"), F.lit(groups)).cast("int"))
@@ -107,15 +110,16 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col
     def nearest(own: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(own) and len(queries):
-            own = own.sort_values("id", kind="stable")
-            ids, x = own["id"].to_numpy(), _matrix(own["vec"])
+            own = own.sort_values(["id", "turn"], kind="stable")
+            ids, x, times = own["id"].to_numpy(), _matrix(own["vec"]), own["times"].to_numpy()
             files = InvertedFiles(nearest_pivots(x, centre, depth), len(centre))
             asks = _matrix(queries["vec"])
             for q, a, order in zip(queries["id"].to_numpy(), asks, nearest_pivots(asks, centre, depth)):
-                best = files.ranked(order)[:wanted + 1]
+                best = files.ranked(order)
                 best = np.sort(best[ids[best] != q][:wanted])
                 apart = np.sqrt(((x[best] - a) ** 2).sum(axis=1))
                 first = np.argsort(apart, kind="stable")[:k]
+                first = np.repeat(first, times[best[first]])[:k]
                 out.append(pd.DataFrame({"query_id": q, "vec_id": ids[best[first]], "score": apart[first]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +74,35 @@ def test_footrule_ranking_equals_its_definition():
     place = [{p: k for k, p in enumerate(row.tolist())} for row in order]
     far = [sum(abs(row[p] - k) if p in row else 5 for k, p in enumerate(query.tolist())) for row in place]
     assert files.ranked(query).tolist() == sorted(range(40), key=lambda i: (far[i], i))
+
+
+@pytest.mark.parametrize("width, least", [(64, 0.97), (128, 0.9)])
+def test_recall_with_the_shipped_defaults(spark, width, least):
+    """More vectors than the candidates of every block cover: 5 % of them decide."""
+    rng, n = np.random.default_rng(6), 45_000
+    x = rng.normal(size=(n, width)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    assert permutation_index.SHARE * n > permutation_index.CANDIDATES
+    vecs = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), width).cast(pa.list_(pa.float32()))
+    df = spark.createDataFrame(pa.table({"vec_id": pa.array(np.arange(n)), "embedding": vecs}))
+    got = {}
+    for r in permutation_index.search(df, F.pmod(F.col("vec_id"), F.lit(750)) == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = []
+    for q, ids in got.items():
+        apart = ((x - x[q]) ** 2).sum(axis=1)
+        apart[q] = np.inf
+        hits.append(len(ids & set(np.argsort(apart)[:10].tolist())) / 10)
+    print(f"recall at width {width}: {np.mean(hits):.3f}")
+    assert len(got) == 60 and np.mean(hits) >= least
+
+
+def test_every_row_of_a_repeated_id_is_a_candidate(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 5.0]), (1, [3.0, 0.0]), (1, [1.0, 1.0]), (1, [3.0, 0.0]), (2, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = permutation_index.search(df, F.col("vec_id") == 0, k=10).collect()
+    got = [(r.vec_id, round(r.score, 9)) for r in sorted(found, key=lambda r: r.rank)]
+    # the query is the least vector of id 0, [0, 5]
+    at = lambda x, y: round(math.hypot(x, y - 5), 9)
+    assert got == [(2, at(1, 2)), (1, at(1, 1)), (1, at(3, 0)), (1, at(3, 0))]
+    assert [r.rank for r in sorted(found, key=lambda r: r.rank)] == [1, 2, 3, 4]
