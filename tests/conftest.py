@@ -11,8 +11,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from stratum.session import get_spark  # noqa: E402
 from stratum.sources.raw import INGESTION_TS, RAW_COLUMNS  # noqa: E402
 
-SF0001 = "/root/testdata/sf0.001"
-SF001 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")

@@ -7,7 +7,7 @@ from stratum.operators.checks import run_checks
 from stratum.plans import collisions as C
 from stratum.plans.registry import feed
 
-from conftest import SF001
+from paths import SF001
 
 
 @pytest.fixture(scope="module")

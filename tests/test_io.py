@@ -16,7 +16,7 @@ from stratum.sources.landing import flatten_nested, land_jsonl
 from stratum.sources.raw import RAW_COLUMNS, promote_extra, read_merged, read_raw, read_seed
 from stratum.streaming.file_load import compact_bronze, current_bronze, load_new_files, read_bronze
 
-from conftest import SF0001
+from paths import SF0001
 
 
 def test_flatten_nested_to_compact_json(spark):

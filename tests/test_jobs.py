@@ -5,7 +5,7 @@ from stratum.plans.registry import feed
 from stratum.sources.raw import INGESTION_TS, RAW_COLUMNS
 from stratum.streaming.file_load import read_bronze
 
-from conftest import SF0001
+from paths import SF0001
 
 
 def test_ingest_load_build(spark, tmp_path):

@@ -18,7 +18,7 @@ from stratum.sources.incremental import (
     page_numbers,
 )
 
-from conftest import SF001
+from paths import SF001
 
 
 # --- L1 / L2 -----------------------------------------------------------------------------------

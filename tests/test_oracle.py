@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 import oracle_queries
-from conftest import SF0001
+from paths import SF0001
 from oracle_compare import compare, duck
 from stratum.plans.registry import QUERIES
 

@@ -8,7 +8,7 @@ from stratum.plans import collisions as C
 from stratum.plans.registry import feed, table
 from stratum.sources.incremental import incremental_window, load_window
 
-from conftest import SF001
+from paths import SF001
 
 
 def executed(df) -> str:
