@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stratum.llm.centroid_clustering import LIMIT
 from stratum.llm.language_id import PROFILE_SIZE
 from stratum.llm.quality_rules import CUTOFFS, DELTA, RISK
 
@@ -156,4 +157,38 @@ from docs left join best using (doc_id)
 """
 
 
-ORACLE_SQL = {"op1_ngram_join": OP1, "op3_url_filter": OP3, "op9_quality_rules": op9(), "op10_language_id": op10()}
+def op12(k: int = 40, rounds: int = 5, dims: int = 64, limit: int = LIMIT) -> str:
+    """Plain Lloyd rounds: every vector against every centroid, one pair of steps a round."""
+    square = f"list_sum(list_transform(range(1, {dims + 1}), lambda i: (p[i] - m[i]) * (p[i] - m[i])))"
+    steps = [f"""
+with kept as materialized (
+  select row_number() over () as r, vec_id,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as p
+  from embeddings where len(embedding) = {dims} and len(list_filter(embedding,
+    lambda x: x is not null and isfinite(x) and abs(256 * cast(x as double)) < {limit})) = {dims}),
+c0 as materialized (
+  select row_number() over (order by h nulls last, p) - 1 as c, p as m
+  from (select sha256('2:' || vec_id) as h, p from kept) qualify c < {k})"""]
+    for t in range(rounds + 1):
+        steps.append(f"""
+a{t} as materialized (
+  select r, any_value(vec_id) as vec_id, any_value(p) as p, arg_min(c, (d, c)) as c, min(d) as d
+  from (select kept.*, c, {square} as d from kept cross join c{t}) group by r)""")
+        if t < rounds:
+            steps.append(f"""
+c{t + 1} as materialized (
+  select c, coalesce(n.m, c{t}.m) as m from c{t} left join (
+    select c, list((s - (s % n + n) % n) // n order by i) as m
+    from (select c, i, sum(x) as s, count(*) as n
+          from (select c, unnest(p) as x, unnest(range(1, {dims + 1})) as i from a{t}) group by c, i)
+    group by c) n using (c))""")
+    return ",".join(steps) + f"""
+select vec_id, cast(c as int) as cluster, cast(d as bigint) as distance,
+  cast(sum(d) over (partition by c) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+  sha256(array_to_string(m, ',')) as centroid_sha256
+from a{rounds} join c{rounds} using (c)
+"""
+
+
+ORACLE_SQL = {"op1_ngram_join": OP1, "op3_url_filter": OP3, "op9_quality_rules": op9(), "op10_language_id": op10(),
+              "op12_centroid_clustering": op12()}

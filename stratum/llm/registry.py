@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import (bpe, kneser_ney, language_id, mixing, ngram_join, permutation_index, quality_classifier,
-                         quality_rules, token_counts, url_filter)
+from stratum.llm import (bpe, centroid_clustering, kneser_ney, language_id, mixing, ngram_join, permutation_index,
+                         quality_classifier, quality_rules, token_counts, url_filter)
 from stratum.llm.common import fold_is, read_table
 from stratum.llm.oracle_sql import ORACLE_SQL  # noqa: F401
 
@@ -97,6 +97,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("language.lang_pred").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = centroid_clustering.grid(read_table(spark, sf_dir, "embeddings"))
+    by_hash = F.sha2(F.concat(F.lit("2:"), F.col("id").cast("string")), 256).asc_nulls_last()
+    found = centroid_clustering.cluster(points, [by_hash])
+    return centroid_clustering.report(found).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
@@ -108,4 +115,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op12_centroid_clustering": op12_centroid_clustering,
 }
