@@ -190,5 +190,37 @@ from a{rounds} join c{rounds} using (c)
 """
 
 
+def op13(family: int = 100, heads: int = 6) -> str:
+    """A node is the first 32 d digits of a conversation's digests; every node is set against its ancestors."""
+    return f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+digests as (select conv_id, turn, md5(length(role) || ':' || role || text) as g, length(text) as n from turns),
+own as (
+  select conv_id, list(g order by turn nulls first, g, n) as g, list(n order by turn nulls first, g, n) as n,
+    {crc32("cast(conv_id as varchar)")} % {heads} as h
+  from digests group by conv_id),
+rebuilt as (
+  select own.conv_id, list_concat(coalesce(a.g, [])[1:own.h], own.g[own.h + 1:]) as g,
+    list_concat(coalesce(a.n, [])[1:own.h], own.n[own.h + 1:]) as n
+  from own left join own a on a.conv_id = own.conv_id - own.conv_id % {family}),
+paths as (select conv_id, array_to_string(g, '') as path, n, len(g) as size from rebuilt),
+steps as (select conv_id, path, n, size, unnest(range(0, size + 1)) as depth from paths),
+nodes as (
+  select left(path, 32 * depth) as node, depth, min(conv_id) as conv_id, count(*) as n_convs,
+    any_value(case when depth > 0 then n[depth] else 0 end) as chars,
+    sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (depth = size), '')) as ends_sha256
+  from steps group by left(path, 32 * depth), depth),
+kids as (select left(node, length(node) - 32) as node, count(*) as n_children from nodes where depth > 0 group by 1),
+counted as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids using (node)),
+up as (select n_children, n_convs, chars, left(node, 32 * unnest(range(0, depth + 1))) as node from counted),
+sums as (
+  select node, count(*) filter (n_children = 0) as n_leaves, sum((n_convs - 1) * chars) as saved_tokens from up group by node)
+select c.conv_id, c.depth, p.conv_id as parent_conv_id, c.n_convs, c.n_children, sums.n_leaves,
+  cast(sums.saved_tokens as bigint) as saved_tokens, c.ends_sha256
+from counted c join sums using (node) left join nodes p on c.depth > 0 and p.node = left(c.node, length(c.node) - 32)
+"""
+
+
 ORACLE_SQL = {"op1_ngram_join": OP1, "op3_url_filter": OP3, "op9_quality_rules": op9(), "op10_language_id": op10(),
-              "op12_centroid_clustering": op12()}
+              "op12_centroid_clustering": op12(), "op13_conversation_trie": op13()}

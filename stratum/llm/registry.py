@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import (bpe, centroid_clustering, kneser_ney, language_id, mixing, ngram_join, permutation_index,
+from stratum.llm import (bpe, centroid_clustering, conversation_trie, kneser_ney, language_id, mixing, ngram_join, permutation_index,
                          quality_classifier, quality_rules, token_counts, url_filter)
 from stratum.llm.common import fold_is, read_table
 from stratum.llm.oracle_sql import ORACLE_SQL  # noqa: F401
@@ -104,6 +104,11 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clustering.report(found).withColumnRenamed("id", "vec_id")
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = conversation_trie.conversations(read_table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(conversation_trie.with_shared_heads(convs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
@@ -116,4 +121,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
     "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_conversation_trie": op13_conversation_trie,
 }
