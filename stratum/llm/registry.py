@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import (bpe, centroid_clustering, conversation_trie, kneser_ney, language_id, mixing, ngram_join, permutation_index,
-                         quality_classifier, quality_rules, token_counts, url_filter)
+from stratum.llm import (bpe, centroid_clustering, conversation_trie, kneser_ney, language_id, mixing, ngram_join,
+                         permutation_index, phrase_fingerprints, quality_classifier, quality_rules, token_counts,
+                         url_filter)
 from stratum.llm.common import fold_is, read_table
 from stratum.llm.oracle_sql import ORACLE_SQL  # noqa: F401
 
@@ -97,6 +98,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("language.lang_pred").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+def op11_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = phrase_fingerprints.compare_with_next(read_table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
+                       *[F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")],
+                       "near_edited", "near_next")
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = centroid_clustering.grid(read_table(spark, sf_dir, "embeddings"))
     by_hash = F.sha2(F.concat(F.lit("2:"), F.col("id").cast("string")), 256).asc_nulls_last()
@@ -120,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_phrase_fingerprints": op11_phrase_fingerprints,
     "op12_centroid_clustering": op12_centroid_clustering,
     "op13_conversation_trie": op13_conversation_trie,
 }
