@@ -7,14 +7,17 @@ a weighted sample without replacement: every document draws an exponential key d
 quality weight, and the smallest keys are taken, in order, while at least half of the next
 document fits. So a source's taken words miss its target by half a document at most.
 
-Scale: keys are cut into ``buckets`` equal-probability ranges. One map-side-combined sum by
-(source, bucket) finds the range in which each source's budget ends; only documents in that one
-range are sorted, so a source with a third of all rows is never sorted whole in one task. Sources
-themselves are numbered and filled by range partitions, however many there are.
+Scale: the measures of every row (source, key, size: some 30 bytes) are stored once. Logarithms of
+keys are cut into ``BUCKETS`` ranges an e-fold, none of which holds more than 0.6 % of a source whatever its
+weights (the density of the logarithm of an exponential number is 0.37 at most). One map-side-combined
+sum by (source, bucket) finds the range in which each source's budget ends; only the measures in that
+range are put in order, by range partitions with prefix sums, and give the first key that is not taken.
+Texts are never sorted or shuffled. Sources themselves are numbered and filled by range partitions,
+however many there are.
 
 Defined cases: NULL or empty text has size 0 and takes 0; a NULL source is a source of its own
-(last in order); a source without words has target 0; rows that repeat are rows of their own
-(identical rows are interchangeable); an empty table gives an empty result; other columns pass
+(last in order); a source without words has target 0, and no row is taken more than ``max_epochs`` times;
+rows that repeat are rows of their own, ordered by their place in the scan; an empty table gives an empty result; other columns pass
 through unless they use a result's name, which then holds the result.
 """
 
@@ -32,7 +35,7 @@ from stratum.sources.incremental import page_numbers
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
-BUCKETS = 4096
+BUCKETS = 64            # ranges of keys an e-fold
 MAX_BROADCAST_SOURCES = 20_000   # beyond it the plan is joined by a shuffle
 SEED = 20240601
 SYMBOLS = b"#*$%&|<>!"
@@ -101,34 +104,28 @@ def _final_scale(w: DataFrame, share: float) -> float | None:
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, share: float = 1.0,
-        buckets: int = BUCKETS, seed: int = SEED) -> DataFrame:
+        weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, share: float = 1.0, seed: int = SEED) -> DataFrame:
     """``df`` with size, source_size, target, taken and copies (how often the row is taken)."""
     text, source = F.col(text_col), F.col(source_col)
     results = ["size", "source_size", "target", "taken", "copies"]
     chance = uniform(F.col(id_col), text, source, seed=seed)
-    rows = (df.withColumn(_P + "text", text_measures(text)).withColumn(_P + "source", source)
+    key, bucket = F.col(_P + "key"), F.col(_P + "bucket")
+    rows = (df.withColumn(_P + "tie", F.xxhash64(F.monotonically_increasing_id()))
+            .withColumn(_P + "text", text_measures(text)).withColumn(_P + "source", source)
             .withColumn(_P + "key", -F.log(chance) / F.col(_P + "text.weight"))
             .withColumn(_P + "size", F.col(_P + "text.size"))
-            .withColumn(_P + "bucket", F.floor((1 - F.exp(-F.col(_P + "key"))) * buckets).cast("int")))
-    sums = stored(rows.groupBy(_P + "source", _P + "bucket").agg(F.sum(_P + "size").alias("n")), "sums")
-    plan = _small(_plan(sums, weights, max_epochs, share))
+            .withColumn(_P + "bucket", F.floor(F.log(key) * BUCKETS).cast("int")))
+    narrow = stored(rows.select(*[_P + c for c in ("source", "bucket", "key", "tie", "size")]), "mix")
+    plan = _small(_plan(narrow, weights, max_epochs, share))
     rows = rows.join(plan, F.col(_P + "source").eqNullSafe(F.col(_P + "at_source")), "left")
-    bucket, edge = F.col(_P + "bucket"), F.col(_P + "edge")
-    inside = (Window.partitionBy(_P + "source", _P + "bucket")
-              .orderBy(_P + "key", id_col, _P + "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    clear = rows.where(bucket != edge).withColumn(_P + "in", (bucket < edge).cast("int"))
-    close = rows.where(bucket == edge).withColumn(
-        _P + "in", (F.coalesce(F.sum(_P + "size").over(inside), F.lit(0)) + F.col(_P + "size") / 2
-                    <= F.col(_P + "left")).cast("int"))
-    copies = F.col(_P + "epochs") + F.col(_P + "in")
-    taken = clear.unionByName(close)
-    return taken.select(*[taken[f"`{c}`"] for c in df.columns if c not in results],
-                        F.col(_P + "size").alias("size"), F.col(_P + "words").alias("source_size"),
-                        F.col(_P + "target").alias("target"),
-                        (F.col(_P + "size") * copies).cast("long").alias("taken"),
-                        copies.cast("int").alias("copies"))
+    edge, cut = F.col(_P + "edge"), F.col(_P + "cut")
+    before = F.coalesce(F.struct(key.alias("key"), F.col(_P + "tie").alias("tie")) < cut, F.lit(True))
+    copies = F.col(_P + "epochs") + ((bucket < edge) | ((bucket == edge) & before)).cast("int")
+    return rows.select(*[rows[f"`{c}`"] for c in df.columns if c not in results],
+                       F.col(_P + "size").alias("size"), F.col(_P + "words").alias("source_size"),
+                       F.col(_P + "target").alias("target"),
+                       (F.col(_P + "size") * copies).cast("long").alias("taken"),
+                       copies.cast("int").alias("copies"))
 
 
 def _small(plan: DataFrame) -> DataFrame:
@@ -139,24 +136,61 @@ def _small(plan: DataFrame) -> DataFrame:
     return F.broadcast(plan.sparkSession.createDataFrame(head, plan.schema))
 
 
-def _plan(sums: DataFrame, weights, max_epochs: int, share: float) -> DataFrame:
-    """Per source: complete epochs, the bucket in which the rest ends, and what is left there."""
+def _plan(narrow: DataFrame, weights, max_epochs: int, share: float) -> DataFrame:
+    """Per source: complete epochs, the bucket in which the rest ends, and the (key, tie) that is the
+    first one not taken there (NULL: all of that bucket are taken)."""
+    sums = stored(narrow.groupBy(_P + "source", _P + "bucket").agg(F.sum(_P + "size").alias("n")), "sums")
     sizes = sums.groupBy(F.col(_P + "source").alias("source")).agg(F.sum("n").alias("source_size"))
     targets = source_targets(sizes, weights, max_epochs, share)
     words, target = F.col("source_size"), F.col("target")
     epochs = F.when(words > 0, F.floor(target / words + 1e-12)).otherwise(0).cast("long")
     targets = (targets.withColumn(_P + "epochs", epochs)
-               .withColumn(_P + "rest", F.greatest(F.lit(0.0), target - words * F.col(_P + "epochs"))))
+               .withColumn(_P + "rest", target - words * F.col(_P + "epochs")))
     upto = Window.partitionBy(_P + "source").orderBy(_P + "bucket")
     running = sums.withColumn(_P + "upto", F.sum("n").over(upto))
     found = running.join(targets, F.col(_P + "source").eqNullSafe(F.col("source")))
-    # The edge is the first bucket whose running sum exceeds the rest; beyond the last: none is.
+    # The edge is the first bucket whose running sum exceeds the rest (beyond the last: none is), or none
+    # at all where not even half a word is left.
     over = F.col(_P + "upto") > F.col(_P + "rest")
     edge = F.min(F.when(over, F.struct(F.col(_P + "bucket").alias("b"),
                                        (F.col(_P + "rest") - (F.col(_P + "upto") - F.col("n"))).alias("l"))))
-    return (found.groupBy(F.col("source").alias(_P + "at_source"), F.col("source_size").alias(_P + "words"),
-                          F.col("target").alias(_P + "target"), _P + "epochs")
+    ends = (found.groupBy(F.col("source").alias(_P + "at_source"), F.col("source_size").alias(_P + "words"),
+                          F.col("target").alias(_P + "target"), _P + "epochs", _P + "rest")
             .agg(edge.alias("e"))
             .select(_P + "at_source", _P + "words", _P + "target", _P + "epochs",
-                    F.coalesce("e.b", F.lit(2 ** 31 - 1)).alias(_P + "edge"),
+                    F.when(F.col(_P + "rest") < 0.5, F.lit(-2 ** 31))
+                    .otherwise(F.coalesce("e.b", F.lit(2 ** 31 - 1))).alias(_P + "edge"),
                     F.coalesce("e.l", F.lit(0.0)).alias(_P + "left")))
+    ends = stored(ends, "ends")
+    cuts = _cuts(narrow, ends)
+    return (ends.join(cuts, F.col(_P + "at_source").eqNullSafe(F.col(_P + "cut_source")), "left")
+            .drop(_P + "cut_source", _P + "left"))
+
+
+def _cuts(narrow: DataFrame, ends: DataFrame) -> DataFrame:
+    """Per source the first (key, tie) of its edge bucket of which less than half fits what is left.
+
+    The rows of the edge buckets are put in order by range partitions; the sums of each source in
+    each partition, one row each, give the sum before the partition.
+    """
+    at = (F.col(_P + "source").eqNullSafe(F.col(_P + "at_source"))) & (F.col(_P + "bucket") == F.col(_P + "edge"))
+    close = narrow.join(_small(ends.select(_P + "at_source", _P + "edge", _P + "left")), at)
+    order = [code_point_key(F.col(_P + "source")), F.col(_P + "key"), F.col(_P + "tie")]
+    ranged = stored(close.select(_P + "source", _P + "key", _P + "tie", _P + "size", _P + "left")
+                    .repartitionByRange(*order).withColumn(_P + "part", F.spark_partition_id()), "edges")
+    sums = ranged.groupBy(_P + "source", _P + "part").agg(F.sum(_P + "size").alias("n"))
+    earlier = Window.partitionBy(_P + "source").orderBy(_P + "part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(F.col(_P + "source").alias("s"), F.col(_P + "part").alias("p"),
+                          F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    inside = (Window.partitionBy(_P + "part", _P + "source").orderBy(_P + "key", _P + "tie")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranged.withColumn(_P + "inside", F.coalesce(F.sum(_P + "size").over(inside), F.lit(0)))
+    placed = placed.join(offsets, F.col(_P + "source").eqNullSafe(F.col("s")) & (F.col(_P + "part") == F.col("p")))
+    fails = F.col("offset") + F.col(_P + "inside") + F.col(_P + "size") / 2 > F.col(_P + "left")
+    found = placed.groupBy(F.col(_P + "source").alias(_P + "cut_source")).agg(
+        F.min(F.when(fails, F.struct(F.col(_P + "key").alias("key"), F.col(_P + "tie").alias("tie")))).alias("first_out"),
+        F.max(F.when(~fails, F.col(_P + "key"))).alias("last_in"))
+    # places in a scan matter only where rows of one key are cut apart: none of a key is taken else
+    tie = F.when(F.col("last_in") == F.col("first_out.key"), F.col("first_out.tie")).otherwise(F.lit(-2 ** 63))
+    cut = F.when(F.col("first_out").isNotNull(), F.struct(F.col("first_out.key").alias("key"), tie.alias("tie")))
+    return found.select(_P + "cut_source", cut.alias(_P + "cut"))

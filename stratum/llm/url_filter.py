@@ -8,7 +8,8 @@ go to an exact join with the list, which removes false positives. DataFrame func
 
 Scale: the filter is one row per block, built by a map-side-combined bitwise OR. It is broadcast
 only when its block count, computed from the list's size, stays below ``MAX_BROADCAST_BLOCKS``;
-beyond that it is joined by block number. Rows the filter clears never meet the list.
+beyond that it is joined by block number, and rows without a URL to look up get numbers of their own.
+Rows the filter clears never meet the list.
 
 Defined cases: NULL urls and urls without ``://`` have empty host and path, fit no rule and have
 no canonical form, so they are allowed; empty list -> nothing is blocked by it; NULL entries of
@@ -81,6 +82,11 @@ def _block(url: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(2), url), F.lit(blocks))
 
 
+def _no_block() -> Column:
+    """A number that no block has, spread over rows without a URL to look up: they are no join key."""
+    return -1 - F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))
+
+
 def bloom_filter(urls: DataFrame, url_col: str, blocks: int) -> DataFrame:
     """(block, w0..w3): the filter of a list of canonical URLs."""
     url = F.col(url_col)
@@ -103,7 +109,7 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]]
     rows = (pages.withColumn(_P + "host", url_host(url)).withColumn(_P + "path", url_path(url))
             .withColumn(_P + "no", matching_rule(F.col(_P + "host"), F.col(_P + "path"), rules))
             .withColumn(canon, F.when(F.col(_P + "no").isNull(), canonical_url(url)))
-            .withColumn(_P + "of", _block(F.col(canon), blocks)))
+            .withColumn(_P + "of", F.when(F.col(canon).isNull(), _no_block()).otherwise(_block(F.col(canon), blocks))))
     bloom = bloom_filter(urls, canon, blocks).withColumnRenamed("block", _P + "block")
     bloom = bloom.select(_P + "block", *[F.col(f"w{k}").alias(f"{_P}w{k}") for k in range(WORDS)])
     if blocks <= MAX_BROADCAST_BLOCKS:

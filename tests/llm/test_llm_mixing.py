@@ -78,3 +78,43 @@ def test_no_task_holds_all_sources(spark, monkeypatch):
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert all("keys=[__part#" in line for line in re.findall(r"Exchange SinglePartition.*\n(.*)", plan))
     assert kept[0].select("part").distinct().count() > 1
+
+
+def test_empty_documents_of_a_full_source_take_no_more_than_all_epochs(make_docs):
+    rows = [(i, "" if i % 3 == 0 else None if i % 3 == 1 else "a b c", "en", "small") for i in range(90)]
+    rows += [(1000 + i, "w " * 500, "en", "large") for i in range(60)]
+    found = mixing.mix(make_docs(rows)).collect()
+    check(rows, found)
+    assert {r.copies for r in found if r.source == "small" and r.size} == {3}
+
+
+@pytest.mark.parametrize("text", ["word " * 9, "| # $ % & " * 4])
+def test_no_range_of_keys_holds_much_of_a_source(spark, text):
+    """Whatever the quality weight of a source's documents, the range in which its budget ends is narrow."""
+    df = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"), F.lit("s").alias("source"))
+    key = -F.log(mixing.uniform("doc_id", "text", "source")) / mixing.text_measures("text")["weight"]
+    sizes = df.groupBy(F.floor(F.log(key) * mixing.BUCKETS)).count().toPandas()["count"]
+    assert sizes.max() < 0.01 * 40_000
+
+
+def test_a_third_of_identical_rows_is_cut_within(make_docs):
+    """Rows alike in every column have one key; their place in the scan decides which of them are taken."""
+    rows = [(7, "one and the same text " * 4, "en", "hot")] * 600 + [(100 + i, "w " * 7, "en", "hot") for i in range(9)]
+    rows += [(5000 + i, "v " * 90, "en", "rest") for i in range(90)]
+    found = mixing.mix(make_docs(rows)).collect()
+    check(rows, found)
+    assert len({r.copies for r in found if r.doc_id == 7}) == 2
+
+
+def test_cut_is_found_over_several_partitions(spark, make_docs, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(mixing, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    monkeypatch.setattr(mixing, "BUCKETS", 1)       # wide ranges: many rows lie in the last one
+    rows = [(i, "a b c d " * (1 + i % 4), "en", ("p", "q")[i % 5 == 0]) for i in range(900)]
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        check(rows, mixing.mix(make_docs(rows)).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert kept["edges"].select("__mix_part").distinct().count() > 3

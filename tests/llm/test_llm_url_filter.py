@@ -67,3 +67,16 @@ def test_main_path_has_no_python(spark):
     some = spark.createDataFrame([("http://q.org/1",)], "url string")
     plan = url_filter.judge(some, some, URL_RULES)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_rows_without_a_url_to_look_up_are_no_join_key(spark, monkeypatch):
+    """Beyond the bound of the broadcast the filter is joined by block: rows decided by a rule, or without
+    a URL, each get a number that no block has, and results stay the same."""
+    listed = {"b.org/a?a=1&b=2", "c.org/d", "b.org/a", "é.org/ü"}
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(URLS * 2)], "page_id long, url string")
+    rows = spark.createDataFrame([(u,) for u in listed], "url string")
+    monkeypatch.setattr(url_filter, "MAX_BROADCAST_BLOCKS", 0)
+    for r in url_filter.judge(pages, rows, URL_RULES).collect():
+        assert (r.host, r.path, r.rule, r.verdict) == expected(r.url, listed), r.url
+    spread = spark.range(1000).select(url_filter._no_block().alias("n"))
+    assert spread.distinct().count() == 1000 and spread.where("n >= 0").count() == 0
