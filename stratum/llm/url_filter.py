@@ -84,7 +84,7 @@ def _block(url: Column, blocks: int) -> Column:
 
 def _no_block() -> Column:
     """A number that no block has, spread over rows without a URL to look up: they are no join key."""
-    return -1 - F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))
+    return -1 - F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 20))
 
 
 def bloom_filter(urls: DataFrame, url_col: str, blocks: int) -> DataFrame:

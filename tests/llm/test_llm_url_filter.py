@@ -79,4 +79,4 @@ def test_rows_without_a_url_to_look_up_are_no_join_key(spark, monkeypatch):
     for r in url_filter.judge(pages, rows, URL_RULES).collect():
         assert (r.host, r.path, r.rule, r.verdict) == expected(r.url, listed), r.url
     spread = spark.range(1000).select(url_filter._no_block().alias("n"))
-    assert spread.distinct().count() == 1000 and spread.where("n >= 0").count() == 0
+    assert spread.distinct().count() > 990 and spread.where("n >= 0").count() == 0
