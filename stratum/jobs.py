@@ -2,7 +2,7 @@
 
     python -m stratum.jobs ingest --source PATH --ts-col crash_date --landing DIR --state DIR
     python -m stratum.jobs load   --landing DIR --base DIR
-    python -m stratum.jobs compact --base DIR
+    python -m stratum.jobs compact --base DIR [--keep-states 2]
     python -m stratum.jobs build  --base DIR [--publish-prefix gold_] [--keep-builds 2]
 
 The session comes from the cluster (``getOrCreate``); paths must be on shared storage.
@@ -21,7 +21,8 @@ from stratum.operators.checks import ChecksFailed
 from stratum.plans.staged_run import RunPaths, build, drop_old_builds
 from stratum.session import cluster_conf, ensure_checkpoint_dir
 from stratum.sources.incremental import ingest
-from stratum.streaming.file_load import compact_bronze, load_new_files
+from stratum.streaming.bronze import compact_bronze, drop_old_parts
+from stratum.streaming.file_load import load_new_files
 
 
 def parse(argv):
@@ -45,8 +46,9 @@ def parse(argv):
     b.add_argument("--base", required=True)
     b.add_argument("--publish-prefix", default=None)
     b.add_argument("--keep-builds", type=int, default=None, help="delete older builds after a passed one")
-    c = sub.add_parser("compact", help="pack bronze files by date into a new version")
+    c = sub.add_parser("compact", help="pack bronze dates that have many small files")
     c.add_argument("--base", required=True)
+    c.add_argument("--keep-states", type=int, default=None, help="delete parts of older states of bronze")
     return ap.parse_args(argv)
 
 
@@ -72,6 +74,8 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
             load_new_files(spark, args.landing, p.bronze, p.bronze_checkpoint)
         elif args.cmd == "compact":
             compact_bronze(spark, RunPaths(args.base).bronze)
+            if args.keep_states:
+                drop_old_parts(spark, RunPaths(args.base).bronze, args.keep_states)
         else:
             build(spark, RunPaths(args.base), publish_prefix=args.publish_prefix)
             if args.keep_builds:

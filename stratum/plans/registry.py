@@ -36,7 +36,8 @@ from stratum.sources.raw import (
     read_raw,
     read_seed,
 )
-from stratum.streaming.file_load import load_new_files, read_bronze
+from stratum.streaming.bronze import read_bronze
+from stratum.streaming.file_load import load_new_files
 
 # Parameters of the registered queries.
 EVENTS_MARK, EVENTS_TODAY = "2024-01-10", "2024-01-25"   # saved mark / run date (L1, L2)

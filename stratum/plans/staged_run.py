@@ -13,19 +13,24 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from stratum.operators.checks import run_checks
 from stratum.plans import collisions as C
 from stratum.session import delete_path, list_names, path_exists
-from stratum.sinks.tables import publish_table, publish_view, write_table
+from stratum.sinks.publishing import NO_VALUE, Published, forget_build, publish_build, stored_table
+from stratum.sinks.tables import publish_view, write_table
 from stratum.sources.landing import land_jsonl
 from stratum.sources.raw import RAW_COLUMNS
-from stratum.streaming.file_load import current_bronze, load_new_files, read_bronze
+from stratum.streaming.bronze import DATE_PARTITION, compact_bronze, parts_path, read_bronze, read_manifest
+from stratum.streaming.file_load import load_new_files
 
 GOLD_TABLES = ["dim_date", "dim_location", "dim_vehicle", "fact_collisions",
                "monthly_collision_metrics", "borough_collision_metrics"]
+PUBLISHED = ["collisions_raw", "collisions_clean", *GOLD_TABLES]
 
 
 @dataclass(frozen=True)
@@ -55,9 +60,17 @@ class RunPaths:
 
     def table(self, name: str) -> str:
         """Folder of a table, or of the failing rows (``audit``), of this build."""
+        return self._of("builds", self._named(), name)
+
+    @property
+    def folder(self) -> str:
+        """Folder of this build."""
+        return self._of("builds", self._named())
+
+    def _named(self) -> str:
         if self.run_id is None:
             raise ValueError("these paths name no build")
-        return self._of("builds", self.run_id, name)
+        return self.run_id
 
     @property
     def silver(self) -> str:
@@ -96,18 +109,38 @@ def drop_old_builds(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
         return []
     old = [n for n in names if n < passed[-keep]]
     for n in old:
+        if path_exists(spark, f"{RunPaths(base).builds}/{n}/_pointer"):
+            forget_build(spark, f"{RunPaths(base).builds}/{n}", PUBLISHED)
         delete_path(spark, f"{RunPaths(base).builds}/{n}")
     return old
 
 
+def raw_table(spark: SparkSession, bronze_path: str) -> Published:
+    """Bronze as it is now, folder by folder. Masked rows are packed away first: a folder shows all its rows."""
+    masked = sorted({f.date for f in read_manifest(spark, bronze_path).folders if f.masked})
+    if masked:
+        compact_bronze(spark, bronze_path, dates=masked)
+    state = read_manifest(spark, bronze_path)
+    columns = T.StructType([*[f for f in state.columns if f.name not in ("load_id", DATE_PARTITION)],
+                            T.StructField("load_id", T.StringType()), T.StructField(DATE_PARTITION, T.DateType()),
+                            T.StructField("part", T.StringType())])
+    folders = []
+    for f in state.folders:
+        unit = unquote(f.path.split("/")[1].split("=", 1)[1])
+        date = None if f.date == NO_VALUE else f.date
+        folders.append(((f.part, unit, date), f"{parts_path(bronze_path)}/{f.path}"))
+    return Published(columns, folders, ("part", "load_id", DATE_PARTITION))
+
+
 def build(spark: SparkSession, p: RunPaths, raise_on_failure: bool = True,
           publish_prefix: str | None = None) -> RunPaths:
     """Bronze (already loaded under ``p.bronze``) -> silver -> staging -> gold -> checks
     [-> publish], all in ``base/builds/<run_id>/``; returns that build's paths.
 
     No folder of an earlier build is touched. When every check passed the build is marked as
-    the current one and, with ``publish_prefix``, the catalog is pointed at it; a build that
-    fails, or is killed half-way, changes nothing that readers see.
+    the current one and, with ``publish_prefix``, all published names move to it by one pointer
+    (:mod:`stratum.sinks.publishing`); a build that fails, or is killed half-way, changes nothing that
+    readers see.
     """
     if p.run_id is None:
         stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
@@ -135,12 +168,13 @@ def build(spark: SparkSession, p: RunPaths, raise_on_failure: bool = True,
     if counts.where("failures > 0").take(1):
         return p
     counts.coalesce(1).write.mode("overwrite").parquet(p.passed)
-    # publish: repoint catalog tables at the checked folders
+    # publish: all names move to this build together
     if publish_prefix is not None:
-        publish_table(spark, f"{publish_prefix}collisions_raw", current_bronze(spark, p.bronze))
-        publish_table(spark, f"{publish_prefix}collisions_clean", p.silver)
-        for name in GOLD_TABLES:
-            publish_table(spark, f"{publish_prefix}{name}", p.table(name))
+        silver_t = spark.read.schema(silver.schema).parquet(p.silver)
+        tables = {"collisions_raw": raw_table(spark, p.bronze),
+                  "collisions_clean": stored_table(spark, silver_t, p.silver, DATE_PARTITION)}
+        tables |= {n: stored_table(spark, spark.read.parquet(p.table(n)), p.table(n)) for n in GOLD_TABLES}
+        publish_build(spark, publish_prefix, p.run_id, tables, p.folder)
     return p
 
 

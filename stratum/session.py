@@ -129,6 +129,35 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
 
 
+def read_file(spark: SparkSession, path: str) -> str:
+    fs, at = _file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_new_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole, in one rename; fails if there is a file of that name already."""
+    fs, at = _file_system(spark, path)
+    at, hadoop = fs.makeQualified(at), spark._jvm.org.apache.hadoop.fs
+    draft = hadoop.Path(at.getParent(), f".draft-{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    rename = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    try:
+        hadoop.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, at, options)
+    except Exception:
+        fs.delete(draft, False)
+        raise
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, at = _file_system(spark, path)
     fs.delete(at, True)

@@ -1,3 +1,4 @@
-from stratum.streaming.file_load import load_new_files, read_bronze
+from stratum.streaming.bronze import compact_bronze, drop_old_parts, read_bronze
+from stratum.streaming.file_load import load_new_files
 
-__all__ = ["load_new_files", "read_bronze"]
+__all__ = ["compact_bronze", "drop_old_parts", "load_new_files", "read_bronze"]

@@ -1,4 +1,4 @@
-"""Idempotent load of landed JSON lines into bronze (L7-L11, T1) and its compaction.
+"""Idempotent load of landed JSON lines into bronze.
 
 Structured Streaming's file source remembers every file it committed in the checkpoint, so a
 new file is seen exactly once. What is loaded is a landing *unit*: a batch folder
@@ -6,10 +6,8 @@ new file is seen exactly once. What is loaded is a landing *unit*: a batch folde
 the whole unit replaces that unit's rows in bronze. So a rerun adds nothing, a replayed
 micro-batch writes the same rows again, and a batch landed twice under its id counts once.
 
-Bronze is versioned: ``bronze/v=<n>/load_id=<unit>/<date partition>/``. Loads append to the
-current version, the newest one whose write was completed. :func:`compact_bronze` writes the next
-version with all units' rows packed by date; the unit stays in the column ``_load``, so a unit
-that is landed again after a compaction still replaces its own rows.
+All units of a micro-batch become visible together, in place of their old rows, by one new manifest
+(:mod:`stratum.streaming.bronze`); a load that is killed before that has changed nothing that readers see.
 
 The checkpoint and bronze folders must be on shared storage; by default they live under
 ``spark.checkpoint.dir``.
@@ -23,14 +21,12 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import delete_path, list_names, path_exists, qualified
-from stratum.sinks.tables import read_typed
-from stratum.sources.raw import EXTRA_COL, RAW_COLUMNS, extra_keys, parse_records, promote_extra, with_load_columns
+from stratum.session import qualified
+from stratum.sources.raw import RAW_COLUMNS, extra_keys, parse_records, promote_extra, with_load_columns
+from stratum.streaming.bronze import UNIT, Manifest, commit, read_manifest, write_part
 
 # Landed files can be old (backfills); never skip a file for its age.
 MAX_FILE_AGE = "36500d"
-UNIT = "_load"
-MERGED = "merged"
 # Units written by one job; a backfill with more runs several.
 UNITS_A_JOB = 50
 
@@ -55,9 +51,8 @@ def load_new_files(spark: SparkSession, landing_dir: str, bronze_path: str, chec
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         seen = [unquote(r.file) for r in batch.distinct().collect()]      # one row per new file
         units = sorted({_below(f, root) for f in seen})
-        for k in range(0, len(units), UNITS_A_JOB):
-            _replace_units(spark, root, bronze_path, units[k:k + UNITS_A_JOB], columns, date_col,
-                           partition_col, grow)
+        if units:
+            _replace_units(spark, root, bronze_path, units, columns, date_col, partition_col, grow)
 
     q = (files.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
@@ -76,50 +71,25 @@ def _below(file: str, root: str) -> str:
 
 def _replace_units(spark: SparkSession, root: str, bronze_path: str, units: list[str], columns,
                    date_col: str, partition_col: str, grow: bool) -> None:
-    merged = f"{current_bronze(spark, bronze_path)}/load_id={MERGED}"
-    if path_exists(spark, merged) and spark.read.parquet(merged).where(F.col(UNIT).isin(units)).take(1):
-        compact_bronze(spark, bronze_path, partition_col, without=units)
-    target = current_bronze(spark, bronze_path)
-    for name in list_names(spark, target):
-        if name.startswith("load_id=") and unquote(name.split("=", 1)[1]) in units:
-            delete_path(spark, f"{target}/{name}")
+    state = read_manifest(spark, bronze_path)
+    after = state.without_units(units)
+    for k in range(0, len(units), UNITS_A_JOB):
+        rows = _unit_rows(spark, root, units[k:k + UNITS_A_JOB], after, columns, date_col, partition_col, grow)
+        after = after.with_columns(rows.schema).with_part(write_part(spark, rows, bronze_path, state, partition_col))
+    commit(spark, bronze_path, after)
+
+
+def _unit_rows(spark: SparkSession, root: str, units: list[str], state: Manifest, columns, date_col: str,
+               partition_col: str, grow: bool) -> DataFrame:
     lines = reduce(DataFrame.union, [
         spark.read.option("recursiveFileLookup", "true").text(f"{root}/{u}")
         .select("value", F.lit(u).alias(UNIT)) for u in units])
-    rows = with_load_columns(parse_records(lines, columns), date_col, partition_col)
+    rows = with_load_columns(parse_records(lines, columns), date_col, partition_col).withColumn("load_id", F.col(UNIT))
     if grow:
-        taken = {c.lower() for c in rows.columns}
-        rows = promote_extra(rows, [k for k in extra_keys(rows) if k.lower() not in taken])
-    # one file per unit and date (hot dates split by adaptive execution), not one per task
-    (rows.withColumn("load_id", F.col(UNIT)).hint("rebalance", "load_id", partition_col)
-     .write.mode("append").partitionBy("load_id", partition_col).parquet(target))
-
-
-def current_bronze(spark: SparkSession, bronze_path: str) -> str:
-    """Folder of the newest completed version (the first one until there is another)."""
-    base = bronze_path.rstrip("/")
-    done = [int(n[2:]) for n in list_names(spark, base)
-            if n.startswith("v=") and path_exists(spark, f"{base}/{n}/_SUCCESS")]
-    return f"{base}/v={max(done, default=0)}"
-
-
-def compact_bronze(spark: SparkSession, bronze_path: str, partition_col: str = "crash_date_partition",
-                   without: list[str] | None = None) -> str:
-    """Write the next version with the rows of all units (but ``without``) packed by date.
-
-    Readers of the version before are not disturbed; it stays until it is deleted by hand.
-    """
-    now = current_bronze(spark, bronze_path)
-    rows = read_bronze(spark, bronze_path, partition_col)
-    if without:
-        rows = rows.where(~F.col(UNIT).isin(without))
-    target = f"{bronze_path.rstrip('/')}/v={int(now.rsplit('=', 1)[1]) + 1}"
-    (rows.withColumn("load_id", F.lit(MERGED)).hint("rebalance", partition_col)
-     .write.mode("overwrite").partitionBy("load_id", partition_col).parquet(target))
-    return target
-
-
-def read_bronze(spark: SparkSession, bronze_path: str,
-                partition_col: str = "crash_date_partition") -> DataFrame:
-    """The bronze table (all units), with every column that any unit brought."""
-    return read_typed(spark, current_bronze(spark, bronze_path), {partition_col: "date"}, merge_schema=True)
+        # a key that differs from a column in case only stays aside in the map
+        taken, named = {c.lower() for c in rows.columns}, {f.name.lower(): f.name for f in state.columns}
+        for key in extra_keys(rows):
+            if key.lower() not in taken and named.get(key.lower(), key) == key:
+                taken.add(key.lower())
+                rows = promote_extra(rows, [key])
+    return rows

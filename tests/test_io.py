@@ -14,7 +14,10 @@ from stratum.sinks.tables import compact, file_count, write_table
 from stratum.sources.incremental import ingest, read_mark
 from stratum.sources.landing import flatten_nested, land_jsonl
 from stratum.sources.raw import RAW_COLUMNS, promote_extra, read_merged, read_raw, read_seed
-from stratum.streaming.file_load import compact_bronze, current_bronze, load_new_files, read_bronze
+from stratum.streaming import bronze as B
+from stratum.streaming import file_load
+from stratum.streaming.bronze import compact_bronze, read_bronze, read_manifest
+from stratum.streaming.file_load import load_new_files
 
 from paths import SF0001
 
@@ -119,25 +122,173 @@ def test_too_many_new_keys_stop_with_an_error(spark, tmp_path):
         promote_all_extra(merged, max_keys=20)
 
 
-def test_bronze_compaction_and_the_next_loads(spark, tmp_path, raw_rows):
-    landing, bronze, ckpt = str(tmp_path / "landing"), str(tmp_path / "bronze"), str(tmp_path / "ckpt")
+def files_of(spark, bronze):
+    return sum(f.files for f in read_manifest(spark, bronze).folders)
+
+
+@pytest.fixture
+def lake(spark, tmp_path, raw_rows):
+    """(land and load a batch, bronze folder) of a fresh lake; a batch is {collision_id: crash_date}."""
+    landing, bronze, ckpt = (str(tmp_path / n) for n in ("landing", "bronze", "ckpt"))
+
+    def put(batch_id, ids, load=True):
+        rows = raw_rows([{"collision_id": i, "crash_date": d} for i, d in ids.items()])
+        land_jsonl(rows.select(*RAW_COLUMNS), landing, batch_id)
+        if load:
+            load_new_files(spark, landing, bronze, ckpt)
+    return put, bronze
+
+
+def ids_of(spark, bronze):
+    return sorted(r.collision_id for r in read_bronze(spark, bronze).collect())
+
+
+def written_below(path):
+    return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path)
+            for f in names if f.endswith(".parquet")}
+
+
+def test_bronze_compaction_and_the_next_loads(spark, lake):
+    put, bronze = lake
     for k in range(4):
-        rows = raw_rows([{"collision_id": f"{k}{i}", "crash_date": "2024-01-01"} for i in range(3)])
-        land_jsonl(rows.select(*RAW_COLUMNS), landing, f"b{k}")
-        load_new_files(spark, landing, bronze, ckpt)
-    before = file_count(spark, current_bronze(spark, bronze))
-    compact_bronze(spark, bronze)
-    assert current_bronze(spark, bronze).endswith("v=1")
-    assert before == 4 and file_count(spark, current_bronze(spark, bronze)) == 1
+        put(f"b{k}", {f"{k}{i}": "2024-01-01" for i in range(3)})
+    assert files_of(spark, bronze) == 4
+    assert compact_bronze(spark, bronze) == ["2024-01-01"]
+    assert files_of(spark, bronze) == 1
     assert read_bronze(spark, bronze).count() == 12
-    # the next load continues from the new version; a batch packed into it can still be replaced
-    land_jsonl(raw_rows([{"collision_id": "n", "crash_date": "2024-01-02"}]).select(*RAW_COLUMNS), landing, "b9")
-    load_new_files(spark, landing, bronze, ckpt)
+    # the next load continues from there; a batch that was packed can still be replaced
+    put("b9", {"n": "2024-01-02"})
     assert read_bronze(spark, bronze).count() == 13
-    land_jsonl(raw_rows([{"collision_id": "r", "crash_date": "2024-01-02"}]).select(*RAW_COLUMNS), landing, "b2")
-    load_new_files(spark, landing, bronze, ckpt)
-    ids = {r.collision_id for r in read_bronze(spark, bronze).collect()}
-    assert ids == {f"{k}{i}" for k in (0, 1, 3) for i in range(3)} | {"n", "r"}
+    put("b2", {"r": "2024-01-02"})
+    assert ids_of(spark, bronze) == sorted([f"{k}{i}" for k in (0, 1, 3) for i in range(3)] + ["n", "r"])
+
+
+def test_a_load_that_is_killed_leaves_the_old_rows(spark, lake, monkeypatch):
+    """Killed after the new rows are written and before they are named, on new and on packed units."""
+    put, bronze = lake
+    put("b1", {"1": "2024-01-01", "2": "2024-01-02"})
+    for packed in (False, True):
+        if packed:
+            put("b0", {"0": "2024-01-01"})
+            compact_bronze(spark, bronze)
+        before = ids_of(spark, bronze)
+        with monkeypatch.context() as patch:
+            patch.setattr(file_load, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+            with pytest.raises(Exception, match="killed"):
+                put("b1", {"1": "2024-01-01", f"new {packed}": "2024-01-03"})
+        assert ids_of(spark, bronze) == before
+        put("b1", {"1": "2024-01-01", f"new {packed}": "2024-01-03"})     # the batch is seen again
+        assert ids_of(spark, bronze) == sorted({"1", f"new {packed}"} | ({"0"} if packed else set()))
+
+
+def test_a_compaction_that_is_killed_changes_nothing(spark, lake, monkeypatch):
+    put, bronze = lake
+    for k in range(3):
+        put(f"b{k}", {str(k): "2024-01-01"})
+    state = read_manifest(spark, bronze)
+    with monkeypatch.context() as patch:
+        patch.setattr(B, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            compact_bronze(spark, bronze)
+    assert read_manifest(spark, bronze) == state and ids_of(spark, bronze) == ["0", "1", "2"]
+    assert compact_bronze(spark, bronze) == ["2024-01-01"] and ids_of(spark, bronze) == ["0", "1", "2"]
+
+
+def test_replacing_a_packed_unit_writes_its_own_rows_only(spark, lake):
+    put, bronze = lake
+    for k in range(3):
+        put(f"b{k}", {f"{k}-{i}": f"2024-01-{1 + i % 28:02d}" for i in range(40)})
+    compact_bronze(spark, bronze)
+    before = written_below(bronze)
+    put("b1", {"1-x": "2024-01-05"})
+    new = {f: n for f, n in written_below(bronze).items() if f not in before}
+    assert len(new) == 1 and "2024-01-05" in next(iter(new))          # of 28 packed dates none is written again
+    assert before.items() <= written_below(bronze).items()
+    assert ids_of(spark, bronze) == sorted([f"{k}-{i}" for k in (0, 2) for i in range(40)] + ["1-x"])
+    # twice more, then masked rows go with the next compaction
+    put("b1", {"1-y": "2024-01-05"})
+    put("b0", {"0-y": "2024-01-06"})
+    want = sorted([f"2-{i}" for i in range(40)] + ["1-y", "0-y"])
+    assert ids_of(spark, bronze) == want
+    assert len(compact_bronze(spark, bronze)) == 28 and ids_of(spark, bronze) == want
+    assert not any(f.masked for f in read_manifest(spark, bronze).folders)
+
+
+def test_compaction_leaves_other_dates_alone(spark, lake):
+    put, bronze = lake
+    for k in range(3):
+        put(f"b{k}", {f"{k}-{i}": f"2024-01-{1 + i:02d}" for i in range(10)})
+    assert len(compact_bronze(spark, bronze)) == 10
+    before = {f.path for f in read_manifest(spark, bronze).folders}
+    assert compact_bronze(spark, bronze) == []
+    put("b8", {"8": "2024-01-04", "9": "2024-02-01"})
+    files = written_below(bronze)
+    assert compact_bronze(spark, bronze) == ["2024-01-04"]
+    after = {f.path for f in read_manifest(spark, bronze).folders}
+    assert len(before - after) == 1 and "2024-01-04" in next(iter(before - after))
+    new = [f for f in written_below(bronze) if f not in files]
+    assert len(new) == 1 and "2024-01-04" in new[0]
+    assert files.items() <= written_below(bronze).items()
+    assert len(ids_of(spark, bronze)) == 32
+
+
+def test_hot_dates_are_packed_by_their_bytes():
+    """A date of many full files is left alone; one of many small files is packed."""
+    def state(*sizes):
+        return B.Manifest(1, folders=tuple(B.Folder(f"part=p{k}/load_id=u/d=2024-01-01", ("u",), n, size)
+                                           for k, (n, size) in enumerate(sizes)))
+    mb = 1024 ** 2
+    assert B.dates_to_pack(state((9, 9 * 128 * mb), (1, 100 * mb)), 128 * mb) == []
+    assert B.dates_to_pack(state((9, 90 * mb)), 128 * mb) == ["2024-01-01"]
+    assert B.dates_to_pack(state((1, mb)), 128 * mb) == [] and B.dates_to_pack(state((1, mb), (1, mb)), 128 * mb) != []
+
+
+def test_two_writers_cannot_name_the_same_state(spark, lake):
+    put, bronze = lake
+    put("b1", {"1": "2024-01-01"})
+    state = read_manifest(spark, bronze)
+    B.commit(spark, bronze, state)
+    with pytest.raises(Exception, match="already exists"):
+        B.commit(spark, bronze, state)
+    assert read_manifest(spark, bronze).version == 2 and ids_of(spark, bronze) == ["1"]
+
+
+def test_old_parts_are_dropped_and_those_in_work_stay(spark, lake):
+    put, bronze = lake
+    for k in range(3):
+        put(f"b{k}", {str(k): "2024-01-01"})
+    compact_bronze(spark, bronze)
+    old = read_manifest(spark, bronze, 3)
+    state = read_manifest(spark, bronze)
+    B.write_part(spark, read_bronze(spark, bronze), bronze, state)      # a load that has not committed yet
+    assert len(B.drop_old_parts(spark, bronze, keep=2)) == 0            # the state before still names them
+    assert B.read_folders(spark, bronze, old, old.folders).count() == 3
+    assert len(B.drop_old_parts(spark, bronze, keep=1)) == 3
+    assert ids_of(spark, bronze) == ["0", "1", "2"]
+    assert len(os.listdir(os.path.join(bronze, "parts"))) == 2
+
+
+def test_columns_come_from_the_manifest(spark, tmp_path):
+    """A read of bronze starts no job to merge footers; columns of later loads are NULL in earlier parts."""
+    landing, bronze, ckpt = tmp_path / "landing", str(tmp_path / "bronze"), str(tmp_path / "ckpt")
+    landing.mkdir()
+    for k, extra in enumerate([{}, {"lane": 3}, {"lane": 4, "Lane": 5, "tide": 6, "Tide": 7}, {"LANE": 8}]):
+        (landing / f"{k}.json").write_text(json.dumps({"collision_id": str(k), "crash_date": "2024-01-01"} | extra) + "\n")
+        load_new_files(spark, str(landing), bronze, ckpt)
+    spark.sparkContext.setJobGroup("reads", "reads")
+    table = read_bronze(spark, bronze)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("reads")) == 0
+    spark.sparkContext.setJobGroup("", "")
+    rows = {r.collision_id: r for r in table.collect()}
+    assert [rows[k].lane for k in "0123"] == [None, "3", "4", None]
+    assert rows["2"].Tide == "7" and rows["2"]._extra["tide"] == "6" and rows["2"]._extra["Lane"] == "5"
+    assert rows["3"]._extra["LANE"] == "8"
+
+
+def test_bronze_before_the_first_load(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_bronze(spark, str(tmp_path / "none"))
+    assert compact_bronze(spark, str(tmp_path / "none")) == []
 
 
 def test_nested_timestamps_keep_microseconds(spark, tmp_path):

@@ -3,7 +3,7 @@
 from stratum import jobs
 from stratum.plans.registry import feed
 from stratum.sources.raw import INGESTION_TS, RAW_COLUMNS
-from stratum.streaming.file_load import read_bronze
+from stratum.streaming.bronze import read_bronze
 
 from paths import SF0001
 
