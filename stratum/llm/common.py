@@ -36,3 +36,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, count: str = "n") -> DataFrame:
+    """``rows`` with the columns of ``table`` (one row a key, with the number of rows that have it), if any.
+
+    Keys that hold more than 1 / (4 p) of all rows, with p shuffle partitions, are fewer than 4 p: they
+    are broadcast, and their rows stay where they are. The rest is joined by a shuffle, without a hot key.
+    """
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = table.agg(F.sum(count)).first()[0] or 0
+    heavy = F.col(count) * (4 * parts) > F.lit(total)
+    added = [c for c in table.columns if c not in (key, count)]
+    light = table.where(~heavy).drop(count)
+    hot = F.broadcast(table.where(heavy).drop(count).withColumn("__hot", F.lit(True)))
+    first = rows.join(hot, key, "left")
+    rest = first.where(F.col("__hot").isNull() & F.col(key).isNotNull()).select(*rows.columns).join(light, key, "left")
+    none = first.where(F.col("__hot").isNotNull() | F.col(key).isNull())
+    return none.select(*rows.columns, *added).unionByName(rest.select(*rows.columns, *added))

@@ -27,8 +27,11 @@ differ in at least as many shingles, so more than H rule the pair out, block by
 task. Only pairs that pass are written, and those intersect the two whole sets.
 
 Scale: signatures are shuffled packed, about 10 bytes each and 0.7 a shingle. Sets are read again
-only for members of probed buckets, found by a Bloom filter of bounded size (beyond the bound: by
-the join alone). Nothing but counts and that filter reaches the driver.
+only for members of probed buckets, found by a Bloom filter of bounded size. Nothing but counts and that
+filter reaches the driver.
+
+Classes and shingles are 64-bit hashes. Two different sets of n have one class with a chance of about
+n * n / 2 ** 65: 1e-7 for two million sets, some twelve such pairs expected among 3e10.
 
 Defined cases: NULL, empty and wordless texts have the empty set, no links and themselves as
 component; fewer words than a shingle: the whole sequence is the one shingle; rows that repeat
@@ -43,13 +46,15 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratum.llm.common import stored
+from stratum.llm.common import spread_join, stored
 from stratum.llm.components import connected_components
-from stratum.llm.hashed_words import arrow_slices, hashed_words, mix, release_memory
+from stratum.llm.hashed_words import arrow_slices, hashed_words, mix, release_memory, slices
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100
@@ -353,9 +358,10 @@ def _filter_batches(bits: int):
 
 
 def _bloom(nodes: DataFrame, count: int) -> tuple[object, int]:
-    """Broadcast Bloom filter of classes and its bits; (None, 0) if it would outgrow the bound."""
-    bits = max(1024, 16 * count)
-    if bits > FILTER_BITS:
+    """Broadcast Bloom filter of classes and its bits: 16 a class, fewer beyond the bound. Then it passes
+    sets that are not wanted, 7 % at 6 bits and 40 % at 2, which cost their writing; (None, 0) at less than one."""
+    bits = min(max(1024, 16 * count), FILTER_BITS)
+    if bits < count:
         return None, 0
     rows = (nodes.mapInArrow(_filter_batches(bits), "byte long, marks int")
             .groupBy("byte").agg(F.bit_or("marks").alias("marks")).toPandas())
@@ -420,9 +426,10 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                rule: Rule = Rule()) -> DataFrame:
-    """(id, n_shingles, class, component_id) of every row of ``df``.
+    """(id, n_shingles, class, component, component_id) of every row of ``df``.
 
-    ``class`` names the set (NULL if empty); ``component_id`` is the smallest id reachable by links.
+    ``class`` names the set and ``component`` what is reached from it by links (NULL if empty);
+    ``component_id`` is the smallest id among these.
     """
     spark = df.sparkSession
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -460,18 +467,36 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     links = _all_links(both, sets, rule) if count else None
     labels = connected_components(links) if links is not None else None
-    rows = rows.drop("bits", "shingles")
-    if labels is None:
-        rows = rows.withColumn("label", F.col("node"))
+    return _named(rows.select("id", "size", "node"), labels)
+
+
+def _named(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Rows with the smallest id of their component. Classes are joined, one row each, and their components'
+    names are given back to the rows, so neither a class of many copies nor a component of many
+    classes is one task's."""
+    classes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
+    if labels is not None:
+        classes = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     else:
-        rows = (rows.join(labels, "node", "left")
-                .withColumn("label", F.coalesce("label", "node")))
-    least = rows.where("label is not null").groupBy("label").agg(F.min("id").alias("component_id"))
-    return (rows.join(least, "label", "left")
-            .select("id", F.col("size").alias("n_shingles"), F.col("node").alias("class"),
+        classes = classes.withColumn("label", F.col("node"))
+    classes = stored(classes, "classes")
+    names = classes.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    named = spread_join(classes.select("node", "label", "n"), stored(names, "names"), "label")
+    named = stored(named.select("node", "label", "component_id", "n"), "named")
+    return (spread_join(rows, named, "node")
+            .select("id", F.col("size").alias("n_shingles"), F.col("node").alias("class"), F.col("label").alias("component"),
                     F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
+@F.pandas_udf(T.LongType())
+def class_of_text(texts: pd.Series) -> pd.Series:
+    """The class of each text under the default rule; NULL for an empty set."""
+    out: list[int | None] = []
+    for _, part in slices(texts.tolist()):
+        out += [int(class_of(s).view(np.int64)) if len(s) else None for s in shingle_sets(part, WORDS)]
+    return pd.Series(out, dtype="Int64")
+
+
 def _fits(rule: Rule, x: str, y: str):
     """Sizes that can be linked."""
     return (rule.denominator * F.least(x, y) >= rule.numerator * F.greatest(x, y))

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratum.llm import ngram_join as j
+from stratum.llm.common import spread_join
 from stratum.llm.components import connected_components
 
 
@@ -161,3 +162,44 @@ def test_pairs_of_one_component_are_never_built():
     same = np.zeros(500_000, np.int64)
     at = np.arange(500_000)
     assert sum(len(x) for x, _ in j._mixed_pairs(at, at, same, same)) == 0
+
+
+def test_hot_classes_and_components_are_no_join_key(spark, make_docs, monkeypatch):
+    """A third of the rows are copies, a third near copies of one text: both names come by broadcast."""
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(80)]
+    rows = [(k, " ".join(words)) for k in range(300)]
+    rows += [(1000 + k, " ".join(words[:40] + [f"x{k}"] + words[41:])) for k in range(300)]
+    rows += [(5000 + k, " ".join(f"u{rng.randrange(10 ** 6)}" for _ in range(30))) for k in range(300)]
+    seen = {}
+
+    def spying(left, table, key, count="n"):
+        n = table.agg(F.max(count)).first()[0]
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        total = table.agg(F.sum(count)).first()[0]
+        heavy = table.where(F.col(count) * 4 * parts > total)
+        seen[key] = (n, heavy.count(), 4 * parts)
+        return spread_join(left, table, key, count)
+    monkeypatch.setattr(j, "spread_join", spying)
+    found = j.components(make_docs([(i, t, "en", "a") for i, t in rows])).collect()
+    assert {r.component_id for r in found if r.id < 5000} == {0} and len(found) == 900
+    assert all(r.component_id == r.id for r in found if r.id >= 5000)
+    assert seen["node"][0] == 300 and 1 <= seen["node"][1] <= seen["node"][2]
+    assert seen["label"][0] == 301 and 1 <= seen["label"][1] <= seen["label"][2]
+
+
+def test_spread_join_equals_a_left_join(spark):
+    rows = spark.range(1000).selectExpr("id", "case when id % 3 = 0 then 7 when id % 50 = 1 then null else id % 90 end as k")
+    counts = rows.where("k is not null and k <> 5").groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.col("k") * 2)
+    want = rows.join(counts.drop("n"), "k", "left").select("id", "k", "name").collect()
+    assert sorted(map(str, spread_join(rows, counts, "k").collect())) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12, 1 << 14])
+def test_a_smaller_filter_changes_no_result(make_docs, doc_rows, monkeypatch, bits):
+    """Fewer bits a class than wished for, and none at all."""
+    rows = doc_rows[:120] + [(9000 + k, t, lang, s) for k, (_, t, lang, s) in enumerate(doc_rows[:40]) if t]
+    want = sorted(brute.join_components([(i, t) for i, t, _, _ in rows]))
+    monkeypatch.setattr(j, "FILTER_BITS", bits)
+    found = j.components(make_docs(rows)).collect()
+    assert sorted((r.id, r.n_shingles, r.component_id) for r in found) == want

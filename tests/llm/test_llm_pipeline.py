@@ -121,3 +121,21 @@ def test_quality_stage_keeps_all_without_a_model(spark, make_docs, tmp_path, lab
 def test_language_stage_keeps_all_without_a_language(spark, make_docs):
     docs = make_docs([(i, f"clean text number {i}", None, "a") for i in range(20)] + [(30, None, None, None)])
     assert sorted(map(str, p.keep_known_languages(spark, docs, SF).collect())) == sorted(map(str, docs.collect()))
+
+
+def test_join_stage_tells_rows_of_one_id_apart(spark, make_docs):
+    """Repeated ids: near copies go whatever id they have, other texts of the id stay."""
+    words = [f"w{k}" for k in range(60)]
+    base, other, third = " ".join(words), " ".join(f"o{k}" for k in range(40)), " ".join(f"m{k}" for k in range(50))
+    near, near_third = " ".join(words[:-1] + ["x"]), " ".join(f"m{k}" for k in range(49)) + " y"
+    rows_ = [(3, base, "en", "a"), (7, near, "en", "a"), (7, other, "en", "a"), (50, third, "en", "b"),
+             (50, near_third, "en", "b"), (50, third.upper(), "de", "c"), (9, other, "en", "a"), (60, "", "en", "a"),
+             (60, "", "en", "a"), (60, None, "en", "a"), (None, base, "en", "a"), (61, None, "en", "a")]
+    docs = make_docs(rows_).withColumn("class", F.lit(1)).withColumn("component", F.lit(2))
+    kept = p.keep_one_of_each_group(spark, docs.repartition(4), SF)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    fifty = [r for r in got if r[0] == 50]
+    assert len(fifty) == 1 and fifty[0][1] in (third, third.upper(), near_third)
+    assert [r for r in got if r[0] not in (50, 60)] == [(3, base), (7, other), (61, None), (None, base)]
+    assert [r[0] for r in got].count(60) == 1
