@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import bpe, language_id, mixing, ngram_join, quality_classifier
-from stratum.llm.common import fold_is, read_table
+from stratum.llm.common import fold_is, read_table, stored
 from stratum.llm.registry import learnt_labels
 from stratum.session import scratch_path
 
@@ -47,14 +47,27 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of documents joined by links, the one with the smallest id stays.
 
-    Rows without id cannot be named and stay; of identical rows with the same id one stays.
+    Rows without id cannot be named and stay. Where an id repeats, its rows are told apart by their
+    sets: of a group the set of the smallest (id, class) stays, of its rows with that id the one with the
+    least text (then lang, source); of rows with one id and no words one stays.
     """
-    found = ngram_join.components(docs).select("id", "component_id")
-    stays = found.where("id = component_id").groupBy("id").agg(F.count(F.lit(1)).alias("n")).checkpoint()
-    kept = docs.join(stays.select(F.col("id").alias(_P + "id")), F.col("doc_id") == F.col(_P + "id"), "left_semi")
-    if stays.where("n > 1").take(1):
-        kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    found = stored(ngram_join.components(docs).where("id is not null").select("id", "class", "component"), "joined")
+    best = found.where("component is not null").groupBy("component").agg(F.min(F.struct("id", "class")).alias("b"))
+    stays = stored(best.select("b.id", "b.class").unionByName(
+        found.where("component is null").select("id", "class").distinct()), "stays")
+    again = stored(found.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), "again")
+    of = F.col("doc_id") == F.col(_P + "id")
+    once = stays.join(again, "id", "left_anti").select(F.col("id").alias(_P + "id"))
+    kept = docs.join(once, of, "left_semi").unionByName(docs.where("doc_id is null"))
+    if not again.take(1):
+        return kept
+    rows = (docs.join(again.select(F.col("id").alias(_P + "id")), of, "left_semi")
+            .withColumn(_P + "class", ngram_join.class_of_text(F.col("text"))))
+    those = stays.select(F.col("id").alias(_P + "id"), F.col("class").alias(_P + "of"))
+    least = (rows.join(those, of & F.col(_P + "class").eqNullSafe(F.col(_P + "of")), "left_semi")
+             .groupBy("doc_id", _P + "class")
+             .agg(F.min_by(F.struct(*docs.columns), F.struct("text", "lang", "source")).alias(_P + "row")))
+    return kept.unionByName(least.select(*[F.col(f"{_P}row.`{c}`").alias(c) for c in docs.columns]))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
