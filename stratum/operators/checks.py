@@ -12,18 +12,24 @@ Every check accepts an optional ``where`` that scopes it. All row-level checks o
 (not_null, accepted_values, expression_is_true) are folded into ONE aggregate pass, and all
 unique and relationships checks into one grouped pass over their keys, so a table is read twice
 however many checks it has. Only the per-check failure counts (one row per check) reach the driver.
+
+Failing rows are stored by one more read of a table, however many of its checks fail: each row is tagged
+with the checks that it fails and written once for each of them. Values of unique and accepted_values
+checks come from what was stored, not from the table.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratum.session import scratch_path
+from stratum.session import delete_path, list_names, move_path, scratch_path
 
 
 @dataclass(frozen=True)
@@ -125,8 +131,12 @@ def _orphan_keys(scoped: DataFrame, check: Check) -> DataFrame:
     return keys.join(parent, F.col("_child_key") == F.col("_parent_key"), "left_anti")
 
 
-def check_counts(df: DataFrame, checks, table: str) -> DataFrame:
-    """One row per check: (table_name, check_name, check_kind, column_name, failures BIGINT)."""
+def check_counts(df: DataFrame, checks, table: str, keys: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One row per check: (table_name, check_name, check_kind, column_name, failures BIGINT).
+
+    ``keys`` is given the failing keys (``_key``, ``_n`` rows) of unique and relationships checks that were
+    stored on the way, by name.
+    """
     names = {id(c): check_name(c, table) for c in checks}
     parts: list[DataFrame] = []
     row_level = [c for c in checks if c.kind in ROW_LEVEL]
@@ -149,7 +159,7 @@ def check_counts(df: DataFrame, checks, table: str) -> DataFrame:
     keyed = [c for c in checks if c.kind in ("unique", "relationships") and _of_key_only(df, c)]
     folded = {id(c) for c in keyed} if FOLD_KEYS and len(keyed) > 1 else set()
     if folded:
-        parts.append(_key_check_counts(df, keyed, names))
+        parts.append(_key_check_counts(df, keyed, names, keys))
     for c in checks:
         if c.kind in ROW_LEVEL or id(c) in folded:
             continue
@@ -169,14 +179,30 @@ def _of_key_only(df: DataFrame, check: Check) -> bool:
     """Whether the check's scope, if any, names no column but its own."""
     if not check.where:
         return True
+    alone = df.sparkSession.createDataFrame([], T.StructType([df.schema[check.column]]))
     try:
-        return bool(df.select(check.column).where(F.expr(check.where)).columns)
+        return bool(alone.where(F.expr(check.where)).columns)
     except AnalysisException:
         return False
 
 
-def _key_check_counts(df: DataFrame, checks, names) -> DataFrame:
-    """Unique and relationships checks of one table from one ``GROUPING SETS ((a), (b), …)``.
+def _key_check_counts(df: DataFrame, checks, names, keys: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Unique and relationships checks of one table, counted from its stored keys."""
+    counts = []
+    for c, failing in zip(checks, _failing_keys(df, checks)):
+        if keys is not None:
+            keys[names[id(c)]] = failing
+        if c.kind == "unique":
+            n = failing.agg(F.count(F.lit(1)).alias("failures"))
+        else:
+            n = failing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failures"))
+        counts.append(n.select(F.lit(names[id(c)]).alias("check_name"), F.lit(c.kind).alias("check_kind"),
+                               F.lit(c.column).alias("column_name"), "failures"))
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _failing_keys(df: DataFrame, checks) -> list[DataFrame]:
+    """(_key, _n) that fail each unique or relationships check, from one ``GROUPING SETS ((a), (b), …)``.
 
     It counts every key once per set (partial aggregation first, so a hot value is one row per
     task). What the checks need of it is written to the shared scratch folder once: repeated keys
@@ -192,20 +218,67 @@ def _key_check_counts(df: DataFrame, checks, names) -> DataFrame:
     path = scratch_path(spark, "check-keys")
     grouped.write.partitionBy("_gid").parquet(path)
     stored = spark.read.schema(grouped.schema).parquet(path)
-    counts = []
+    found = []
     for c in checks:
         own = stored.where((F.col("_gid") == gid[c.column]) & F.col(c.column).isNotNull())
         if c.where:
             own = own.where(F.expr(c.where))
+        own = own.select(F.col(c.column).alias("_key"), "_n")
         if c.kind == "unique":
-            n = own.agg(F.count_if(F.col("_n") > 1).alias("failures"))
+            found.append(own.where(F.col("_n") > 1))
         else:
             parent = c.parent.select(F.col(c.parent_column).alias("_parent_key")).distinct()
-            n = (own.join(parent, F.col(c.column) == F.col("_parent_key"), "left_anti")
-                 .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failures")))
-        counts.append(n.select(F.lit(names[id(c)]).alias("check_name"), F.lit(c.kind).alias("check_kind"),
-                               F.lit(c.column).alias("column_name"), "failures"))
-    return reduce(DataFrame.unionByName, counts)
+            found.append(own.join(parent, F.col("_key") == F.col("_parent_key"), "left_anti"))
+    return found
+
+
+def store_failing(df: DataFrame, checks, table: str, audit_path: str, keys: dict[str, DataFrame] | None = None) -> None:
+    """Write what fails each of these checks of a table under ``audit_path/<check>``, from one read of it.
+
+    A row that fails several checks is written for each. Rows of relationships checks are found by their
+    orphan keys, rows of the others by their condition. ``keys`` has failing keys that are known; those
+    of other unique and relationships checks are grouped first, in one read for all of them (a check whose
+    scope names other columns: one of its own).
+    """
+    spark, keys, audit_path = df.sparkSession, dict(keys or {}), audit_path.rstrip("/")
+    keyed = [c for c in checks if c.kind in ("unique", "relationships") and check_name(c, table) not in keys]
+    together = [c for c in keyed if _of_key_only(df, c)]
+    if together:
+        keys |= {check_name(c, table): k for c, k in zip(together, _failing_keys(df, together))}
+    rows, conditions = df, {}
+    for n, c in enumerate(checks):
+        name = check_name(c, table)
+        if c.kind in ROW_LEVEL:
+            conditions[n] = _scope(c) & _row_fails(c)
+        elif name not in keys:
+            failing_rows(df, c).write.mode("overwrite").parquet(f"{audit_path}/{name}")
+        elif c.kind == "unique":
+            (keys[name].select(F.col("_key").alias("unique_field"), F.col("_n").alias("n_records"))
+             .write.mode("overwrite").parquet(f"{audit_path}/{name}"))
+        else:
+            mark = f"__orphan_{n}"
+            orphans = keys[name].select(F.col("_key").alias(f"{mark}_key"), F.lit(True).alias(mark))
+            rows = rows.join(orphans, F.col(c.column) == F.col(f"{mark}_key"), "left")
+            conditions[n] = _scope(c) & F.col(mark).isNotNull()
+    if not conditions:
+        return
+    tags = F.array_compact(F.array(*[F.when(cond, F.lit(n)) for n, cond in conditions.items()]))
+    draft = f"{audit_path}/_draft-{uuid.uuid4().hex[:12]}"
+    (rows.select(*[rows[f"`{c}`"] for c in df.columns], F.explode(tags).alias("__check"))
+     .write.partitionBy("__check").parquet(draft))
+    written = set(list_names(spark, draft))
+    for n in conditions:
+        folder, target = f"__check={n}", f"{audit_path}/{check_name(checks[n], table)}"
+        if folder not in written:
+            continue
+        if checks[n].kind == "accepted_values":
+            (spark.read.schema(df.schema).parquet(f"{draft}/{folder}")
+             .groupBy(F.col(checks[n].column).alias("value_field")).agg(F.count(F.lit(1)).alias("n_records"))
+             .write.mode("overwrite").parquet(target))
+        else:
+            delete_path(spark, target)
+            move_path(spark, f"{draft}/{folder}", target)
+    delete_path(spark, draft)
 
 
 class ChecksFailed(AssertionError):
@@ -222,15 +295,16 @@ def run_checks(suite: dict, audit_path: str | None = None, raise_on_failure: boo
     :class:`ChecksFailed` after storing the failing rows when any check fails (the build
     fails, the evidence stays).
     """
+    keys: dict[str, dict[str, DataFrame]] = {table: {} for table in suite}
     counts = reduce(DataFrame.unionByName,
-                    [check_counts(df, checks, table) for table, (df, checks) in suite.items()])
+                    [check_counts(df, checks, table, keys[table]) for table, (df, checks) in suite.items()])
     rows = counts.collect()  # one small row per check
     failed = [(r.table_name, r.check_name, r.failures) for r in rows if r.failures]
     if failed and audit_path:
-        by_name = {check_name(c, t): (df, c) for t, (df, cs) in suite.items() for c in cs}
-        for _, name, _ in failed:
-            df, c = by_name[name]
-            failing_rows(df, c).write.mode("overwrite").parquet(f"{audit_path.rstrip('/')}/{name}")
+        for table, (df, checks) in suite.items():
+            names = {name for t, name, _ in failed if t == table}
+            if names:
+                store_failing(df, [c for c in checks if check_name(c, table) in names], table, audit_path, keys[table])
     if failed and raise_on_failure:
         raise ChecksFailed(failed)
     return counts.sparkSession.createDataFrame(rows, counts.schema)

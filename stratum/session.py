@@ -163,6 +163,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def move_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder within its file system; nothing may be at the target yet."""
+    fs, at = _file_system(spark, path)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if fs.exists(to) or not fs.rename(at, to):
+        raise OSError(f"could not move {path} to {target}")
+
+
 def cluster_conf(input_bytes: int, partition_bytes: int = 512 * 1024 ** 2,
                  scan_split_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
     """Session settings for a cluster run over ``input_bytes`` of input.

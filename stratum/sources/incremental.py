@@ -7,12 +7,13 @@ the rows themselves never leave the executors.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.session import scratch_path
+from stratum.session import delete_path, list_names, put_new_file, read_file, scratch_path
 
 # --- fixed values -------------------------------------------------------------------------
 INITIAL_LOAD_DAYS = 365   # first run / full reload reaches back one year
@@ -73,25 +74,36 @@ def high_water_mark(batch: DataFrame, ts_col: str, window_end, old_mark=None) ->
         F.when(n == 0, end_date).when(mx.isNull(), old).otherwise(F.to_date(mx)).alias("new_mark"))
 
 
-def write_mark(mark: DataFrame, path: str) -> None:
-    """Persist the one-row mark (plus ``updated_at``) as JSON; call only after the batch landed."""
-    (mark.select(F.col("new_mark").cast("string").alias("last_crash_date"),
-                 F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-                 .alias("updated_at"))
-     .coalesce(1).write.mode("overwrite").json(path))
+def _mark_versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of the saved mark, oldest first."""
+    return sorted(int(n[:-5]) for n in list_names(spark, path) if n.endswith(".json") and n[:-5].isdigit())
+
+
+def _mark_file(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/{version:010d}.json"
+
+
+def write_mark(mark: DataFrame, path: str, keep: int = 10) -> None:
+    """Save the one-row mark (plus ``updated_at``) as the next version; call only after the batch landed.
+
+    Marks are only ever added: the new one appears whole, by one rename that fails if another run has
+    written that version, and the marks before stay until it is there. So a run that is killed here
+    leaves the mark before. Versions but the newest ``keep`` are deleted afterwards.
+    """
+    spark = mark.sparkSession
+    row = mark.select(F.col("new_mark").cast("string").alias("last_crash_date"),
+                      F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("updated_at")).first()
+    versions = _mark_versions(spark, path)
+    put_new_file(spark, _mark_file(path, max(versions, default=0) + 1), json.dumps(row.asDict()))
+    for old in versions[:max(0, len(versions) + 1 - keep)]:
+        delete_path(spark, _mark_file(path, old))
 
 
 def read_mark(spark: SparkSession, path: str):
-    """The saved mark as a ``date``, or ``None`` when no state exists yet."""
-    try:
-        row = spark.read.schema("last_crash_date string, updated_at string").json(path).first()
-    except Exception as exc:  # missing state folder = first run
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return None
-        raise
-    if row is None or not row.last_crash_date:
-        return None
-    return dt.date.fromisoformat(row.last_crash_date)
+    """The newest saved mark as a ``date``, or ``None`` when no state exists yet."""
+    versions = _mark_versions(spark, path)
+    found = json.loads(read_file(spark, _mark_file(path, versions[-1]))) if versions else {}
+    return dt.date.fromisoformat(found["last_crash_date"]) if found.get("last_crash_date") else None
 
 
 def page(df: DataFrame, order: list, size: int = PAGE_SIZE, n: int = 0,

@@ -434,3 +434,57 @@ def test_create_schema_and_managed_table(spark):
     write_table(df.selectExpr("id", "cast(crash_date as date) as crash_date_partition"),
                 table="bronze_t.raw", partition_by="crash_date_partition")   # full refresh
     assert spark.table("bronze_t.raw").count() == 1
+
+
+def mark_of(spark, day):
+    return spark.createDataFrame([(dt.date.fromisoformat(day) if day else None,)], "new_mark date")
+
+
+def test_a_mark_that_is_killed_half_way_leaves_the_one_before(spark, tmp_path, monkeypatch):
+    from stratum.sources import incremental
+    state = str(tmp_path / "state")
+    incremental.write_mark(mark_of(spark, "2024-01-05"), state)
+
+    def killed_before(*_):
+        raise RuntimeError("killed")
+
+    def killed_while_writing(spark, path, text):
+        (tmp_path / "state" / ".draft-1").write_text(text[:9])
+        raise RuntimeError("killed")
+    for kill in (killed_before, killed_while_writing):
+        with monkeypatch.context() as patch:
+            patch.setattr(incremental, "put_new_file", kill)
+            with pytest.raises(RuntimeError):
+                incremental.write_mark(mark_of(spark, "2024-01-09"), state)
+        assert read_mark(spark, state) == dt.date(2024, 1, 5)       # no fall back to a first load
+    incremental.write_mark(mark_of(spark, "2024-01-09"), state)
+    assert read_mark(spark, state) == dt.date(2024, 1, 9)
+    incremental.write_mark(mark_of(spark, None), state)
+    assert read_mark(spark, state) is None
+
+
+def test_an_ingest_killed_at_the_mark_reads_its_window_again(spark, tmp_path, monkeypatch):
+    from stratum.sources import incremental
+    ev = spark.read.parquet(f"{SF0001}/events.parquet")
+    state, landing = str(tmp_path / "state"), str(tmp_path / "landing")
+    first = ingest(ev, "ts", landing, state, today="2024-01-15", batch_id="1")
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "put_new_file", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            ingest(ev, "ts", landing, state, today="2024-01-20", batch_id="2")
+    again = ingest(ev, "ts", landing, state, today="2024-01-20", batch_id="2")
+    assert again["window"][0] == dt.datetime.combine(first["mark"], dt.time())
+    assert read_mark(spark, state) == again["mark"]
+
+
+def test_two_runs_cannot_write_one_mark(spark, tmp_path, monkeypatch):
+    from stratum.sources import incremental
+    state = str(tmp_path / "state")
+    for day in range(1, 15):
+        incremental.write_mark(mark_of(spark, f"2024-01-{day:02d}"), state)
+    assert len([n for n in os.listdir(state) if not n.startswith(".")]) == 10
+    monkeypatch.setattr(incremental, "_mark_versions", lambda *_: list(range(1, 14)))    # a run that began earlier
+    with pytest.raises(Exception, match="already exists"):
+        incremental.write_mark(mark_of(spark, "2024-03-01"), state)
+    monkeypatch.undo()
+    assert read_mark(spark, state) == dt.date(2024, 1, 14)
