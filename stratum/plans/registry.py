@@ -25,6 +25,7 @@ from stratum.sources.incremental import (
     load_window,
     page,
     page_numbers,
+    write_page_index,
     ts_literal,
 )
 from stratum.sources.landing import flatten_nested, land_jsonl
@@ -80,7 +81,8 @@ def q_ordered_page(spark, sf):
 
 
 def q_deep_page(spark, sf):
-    return page(table(spark, sf, "events"), ["ts", "event_id"], size=TEST_PAGE, n=4, strategy="numbered")
+    index = write_page_index(table(spark, sf, "events"), ["ts", "event_id"], scratch_path(spark, "pages"), TEST_PAGE)
+    return index.page(spark, 4)
 
 
 def q_page_numbers(spark, sf):

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -112,7 +114,7 @@ def page(df: DataFrame, order: list, size: int = PAGE_SIZE, n: int = 0,
 
     ``top_k`` (lazy) plans as ``TakeOrderedAndProject``: every task keeps ``offset + size`` rows,
     which suits the first pages. ``numbered`` numbers all rows first, as :func:`page_numbers`
-    does, and suits deep pages; to read many pages, number once and filter.
+    does, and suits a deep page; to read many pages, store the table once by :func:`write_page_index`.
     """
     if strategy == "top_k":
         return df.orderBy(*order).offset(n * size).limit(size)
@@ -161,6 +163,75 @@ def _numbered(df: DataFrame, order: list, name: str, partitions: int | None = No
             .select(*df.columns, (F.col("__offset") + F.col("__at")).alias(name)))
 
 
+@dataclass(frozen=True)
+class PageIndex:
+    """A table stored in order, with the number of rows of each of its parts, so that a page is read from
+    its own files. ``rows[k]`` are the rows of part k; the parts follow each other."""
+    path: str
+    order: tuple[str, ...]
+    size: int
+    rows: tuple[int, ...]
+    columns: T.StructType
+
+    @property
+    def total(self) -> int:
+        return sum(self.rows)
+
+    @property
+    def pages(self) -> int:
+        return -(-self.total // self.size)
+
+    def parts_of(self, n: int) -> list[tuple[int, int, int]]:
+        """(part, first row, last row in it) of page n, rows counted from 1."""
+        first, last, before, found = n * self.size + 1, (n + 1) * self.size, 0, []
+        for part, rows in enumerate(self.rows):
+            a, z = max(first - before, 1), min(last - before, rows)
+            if a <= z:
+                found.append((part, a, z))
+            before += rows
+            if before >= last:
+                break
+        return found
+
+    def page(self, spark: SparkSession, n: int) -> DataFrame:
+        """Rows of page n (0-based) in order; only the files that hold them are read."""
+        parts = self.parts_of(n)
+        if not parts:
+            return spark.createDataFrame([], self.columns)
+        stored = T.StructType([*self.columns, T.StructField("__at", T.LongType()), T.StructField("__part", T.IntegerType())])
+        rows = (spark.read.schema(stored).option("basePath", f"{self.path}/rows")
+                .parquet(*[f"{self.path}/rows/__part={k}" for k, _, _ in parts]))
+        here = reduce(lambda a, b: a | b, [(F.col("__part") == k) & F.col("__at").between(a, z) for k, a, z in parts])
+        return rows.where(here).orderBy("__part", "__at").select(*[F.col(f"`{c}`") for c in self.columns.names])
+
+
+def write_page_index(df: DataFrame, order: list[str], path: str, size: int = PAGE_SIZE,
+                     partitions: int | None = None) -> PageIndex:
+    """Store ``df`` in ``order`` (a total order: end it with a unique key) under a new folder and number it
+    once; :meth:`PageIndex.page` then reads any page. Rows are dealt by range partitions, a part each, and
+    sorted in them, so row groups within a part are pruned by place as well."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    place = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33) + 1
+    (df.repartitionByRange(partitions or _partitions(spark), *order).withColumn("__part", F.spark_partition_id())
+     .sortWithinPartitions("__part", *order).withColumn("__at", place)
+     .write.mode("errorifexists").partitionBy("__part").parquet(f"{path}/rows"))
+    stored = T.StructType([*df.schema, T.StructField("__at", T.LongType()), T.StructField("__part", T.IntegerType())])
+    counts = dict(tuple(r) for r in spark.read.schema(stored).parquet(f"{path}/rows")
+                  .groupBy("__part").count().collect())        # one row a part
+    rows = [counts.get(k, 0) for k in range(max(counts, default=-1) + 1)]
+    put_new_file(spark, f"{path}/index.json", json.dumps(
+        {"order": order, "size": size, "rows": rows, "columns": df.schema.jsonValue()}))
+    return PageIndex(path, tuple(order), size, tuple(rows), df.schema)
+
+
+def read_page_index(spark: SparkSession, path: str) -> PageIndex:
+    """The index written under ``path``; it is there only if its table was written whole."""
+    path = path.rstrip("/")
+    found = json.loads(read_file(spark, f"{path}/index.json"))
+    return PageIndex(path, tuple(found["order"]), found["size"], tuple(found["rows"]),
+                     T.StructType.fromJson(found["columns"]))
+
+
 def ingest(source: DataFrame, ts_col: str, landing_dir: str, state_path: str, today,
            batch_id: str, full_reload: bool = False, lookback_days: int = 0,
            initial_days: int = INITIAL_LOAD_DAYS, land=None) -> dict:

@@ -16,6 +16,8 @@ from stratum.sources.incremental import (
     load_window,
     page,
     page_numbers,
+    read_page_index,
+    write_page_index,
 )
 
 from paths import SF001
@@ -321,3 +323,36 @@ def test_stored_failing_rows_of_an_earlier_run_are_replaced(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "not_null_t_id")).count() == want
     assert audit_rows(spark, tmp_path / "accepted_values_t_v", "value_field", "n_records") == [("b", 1)]
     assert audit_rows(spark, tmp_path / "unique_t_id", "unique_field") == [(2,)]
+
+
+def test_a_page_is_read_from_its_own_files(spark, tmp_path):
+    """Numbered once; every page, shallow or deep, reads the parts that it lies in and no others."""
+    df = spark.range(1000).selectExpr("id", "cast(id % 7 as int) as g", "cast('2024-01-01' as date) as hot_day",
+                                      "case when id % 5 = 0 then null else concat('t', id) end as t")
+    index = write_page_index(df.repartition(5), ["hot_day", "g", "id"], str(tmp_path / "pages"), size=90, partitions=6)
+    assert index == read_page_index(spark, str(tmp_path / "pages"))
+    assert index.total == 1000 and index.pages == 12 and len(index.rows) > 3      # one day, yet several parts
+    want = [tuple(r) for r in df.orderBy("hot_day", "g", "id").collect()]
+    seen = []
+    for n in range(index.pages):
+        got = index.page(spark, n)
+        assert got.columns == df.columns
+        seen += [tuple(r) for r in got.collect()]
+        touched = {f.split("/__part=")[1].split("/")[0] for f in got.inputFiles()}
+        assert touched == {str(k) for k, _, _ in index.parts_of(n)} and len(touched) <= 2
+    assert seen == want
+    assert index.page(spark, 12).collect() == [] and index.page(spark, 99).columns == df.columns
+    plan = index.page(spark, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "__at" in plan.split("PushedFilters: [")[1].split("]")[0]
+
+
+def test_page_index_of_an_empty_table_and_of_a_killed_write(spark, tmp_path, monkeypatch):
+    from stratum.sources import incremental
+    df = spark.range(20).selectExpr("id", "id as size")
+    none = write_page_index(df.limit(0), ["id"], str(tmp_path / "none"), size=5)
+    assert none.pages == 0 and none.page(spark, 0).collect() == []
+    monkeypatch.setattr(incremental, "put_new_file", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        write_page_index(df, ["id"], str(tmp_path / "half"), size=5)
+    with pytest.raises(Exception, match="does not exist|FileNotFound"):
+        read_page_index(spark, str(tmp_path / "half"))
