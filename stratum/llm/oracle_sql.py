@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from stratum.llm.centroid_clustering import LIMIT
 from stratum.llm.language_id import PROFILE_SIZE
-from stratum.llm.quality_rules import CUTOFFS, DELTA, RISK
+from stratum.llm.quality_rules import CUTOFFS, DELTA, RISKS
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -63,7 +63,7 @@ from ruled
 """
 
 
-def op9(cutoffs=CUTOFFS, risk: float = RISK, delta: float = DELTA) -> str:
+def op9(cutoffs=CUTOFFS, risks=RISKS, delta: float = DELTA) -> str:
     rules = {"symbols": "n_symbols / nullif(word_chars, 0)", "dup_lines": "n_dup_lines / nullif(n_lines, 0)",
              "repeats": "n_repeat_words / nullif(n_words, 0)", "capitals": "n_capitals / nullif(word_chars, 0)"}
     ratio = {r: f"coalesce(cast({x.split(' / ')[0]} as double) / {x.split(' / ')[1]}, 0)" for r, x in rules.items()}
@@ -73,7 +73,9 @@ def op9(cutoffs=CUTOFFS, risk: float = RISK, delta: float = DELTA) -> str:
                                              for i, c in sorted(enumerate(cutoffs), key=lambda x: x[1]))
                      + f") as cut_{r}" for r in rules)
     passes = " and ".join(f"(cut_{r} is null or {ratio[r]} <= cut_{r})" for r in rules)
-    tests = len(rules) * len(cutoffs)
+    level = f"{delta} / ({len(rules) * len(cutoffs)} * (select count(*) from counts))"
+    risk = ("case " + " ".join(f"when n * ln(1 - {r}) <= ln({level}) then {r}" for r in sorted(risks))
+            + f" else {max(risks)} end")
     return rf"""
 with words as (
   select doc_id, lang, coalesce(text, '') as text, {_WORDS} as w, string_split(coalesce(text, ''), chr(10)) as all_lines
@@ -101,12 +103,13 @@ counts as (
   select lang, count(*) as n, {counts} from based where not base_failed and doc_id in (select doc_id from good)
   group by lang),
 terms as (
-  select lang, k, exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({risk}) + (n - k) * ln(1 - {risk})) as p
-  from (select lang, n, unnest(range(0, cast(ceil(n * {risk}) as bigint) + 2)) as k from counts) where k <= n),
+  select lang, k, exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(risk) + (n - k) * ln(1 - risk)) as p
+  from (select *, unnest(range(0, cast(ceil(n * risk) as bigint) + 2)) as k from (select lang, n, {risk} as risk from counts))
+  where k <= n),
 tails as (select lang, k, sum(p) over (partition by lang order by k) as cdf from terms),
 level as (
   select counts.*, coalesce((select max(k) from tails where tails.lang is not distinct from counts.lang
-    and cdf <= {delta} / ({tests} * (select count(*) from counts))), -1) as allowed from counts),
+    and cdf <= {level}), -1) as allowed from counts),
 cuts as (select lang as cut_lang, {cuts} from level)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and {passes} as kept
