@@ -1,9 +1,9 @@
 """Quality classifier: Naive Bayes support vectors over n-gram indicators.
 
-Features say which n-grams a text holds: its lower-cased words, and runs of one to three word
-shapes (letters, capitals, digits as single marks, other characters as they are, repeats
-collapsed; a word that equals the one before it has the shape ``=``). They are hashed to
-2**``HASH_BITS`` columns. Each indicator is scaled by its class log-count ratio, counted over all
+Features say which n-grams a text holds: its lower-cased words and pairs of neighbouring ones, and runs
+of one to three word shapes (letters, capitals, digits as single marks, other characters as they are,
+repeats collapsed; a word that equals the one before it has the shape ``=``). They are hashed to
+2**``hash_bits`` columns. Each indicator is scaled by its class log-count ratio, counted over all
 labelled training rows in Spark. A linear hinge-loss model is then fitted to the scaled features
 by dual coordinate descent on a bounded sample of those rows (``max_fit``), and its margin is
 turned into a probability by a logistic curve fitted to held-back rows of the sample.
@@ -31,17 +31,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.hashed_words import arrow_slices, release_memory
+from stratum.llm.hashed_words import arrow_slices, mix, release_memory, slices
 
-HASH_BITS = 18
+HASH_BITS = 20
+WORD_RUN, SHAPE_RUN = 2, 3  # longest n-grams
 MAX_FIT = 8000              # labelled rows that the dual coordinate descent sees, about
 MAX_BROADCAST_LABELS = 1 << 20      # of 12 bytes
 THRESHOLD = 0.7
 ALPHA = 1.0                 # added to the class counts
 C = 1.0
 EPOCHS = 20
-_SLICE_BYTES = 1 << 20
-_COLUMNS = 1 << HASH_BITS
 
 
 class Model(NamedTuple):
@@ -69,12 +68,7 @@ def shapes_of(words: list[str]) -> list[str]:
     return re.sub(r"([^\n])\1+", r"\1", "\n".join(words).translate(_marks)).split("\n")
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
-
-
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def features(texts: list[str], hash_bits: int = HASH_BITS) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of every distinct indicator of the texts, sorted by row and column."""
     split = [t.encode().split() for t in texts]     # ASCII white space
     sizes = np.fromiter(map(len, split), np.int64, len(split))
@@ -90,59 +84,52 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     again = np.zeros(len(code), bool)
     again[1:] = (code[1:] == code[:-1]) & (row[1:] == row[:-1])
     shape[again] = np.uint64(61)
-    found = [(row, _mix(lower[code] ^ np.uint64(1))), (row, _mix(shape ^ np.uint64(2)))]
-    run = shape
-    for n in (2, 3):
-        if len(shape) < n:
-            break
-        run = _mix(run[:-1] * np.uint64(31) + shape[n - 1:])
-        inside = row[n - 1:] == row[:len(row) - n + 1]
-        found.append((row[n - 1:][inside], run[inside]))
-    key = np.concatenate([r << HASH_BITS | (h >> np.uint64(64 - HASH_BITS)).astype(np.int64) for r, h in found])
+    found = []
+    for kind, gram, longest in ((1, lower[code], WORD_RUN), (2, shape, SHAPE_RUN)):
+        run = mix(gram ^ np.uint64(kind))
+        found.append((row, run))
+        for n in range(2, min(longest, len(gram)) + 1):
+            run = mix(run[:-1] * np.uint64(31) + gram[n - 1:])
+            inside = row[n - 1:] == row[:len(row) - n + 1]
+            found.append((row[n - 1:][inside], run[inside]))
+    key = np.concatenate([r << hash_bits | (h >> np.uint64(64 - hash_bits)).astype(np.int64) for r, h in found])
     key = np.unique(key)
-    return key >> HASH_BITS, key & (_COLUMNS - 1)
-
-
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    start, part, size = 0, [], 0
-    for k, t in enumerate(texts):
-        part.append(t or "")
-        size += len(part[-1])
-        if size >= _SLICE_BYTES:
-            yield start, part
-            start, part, size = k + 1, [], 0
-    if part:
-        yield start, part
-
-
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, _COLUMNS), np.int64)
-    rows = np.zeros(2, np.int64)
-    for batch in batches:
-        label = np.array(batch.column(1).to_pylist(), np.int64)
-        rows += np.bincount(label, minlength=2)
-        for start, part in arrow_slices(batch.column(0)):
-            row, column = features(part)
-            counts += np.bincount(label[start + row] * _COLUMNS + column,
-                                  minlength=2 * _COLUMNS).reshape(2, _COLUMNS)
-    at = np.flatnonzero(counts.any(axis=0))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([-1, *at.tolist()], pa.int32()), pa.array([rows[0], *counts[0][at]], pa.int64()),
-         pa.array([rows[1], *counts[1][at]], pa.int64())], names=["column", "n0", "n1"])
-    del counts
-    release_memory()
-
-
-def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        labels = batch.column(1).to_pylist()
-        for start, part in arrow_slices(batch.column(0)):
-            row, column = features(part)
-            ends = np.searchsorted(row, np.arange(len(part) + 1))
-            own = [column[a:z].astype("<i4").tobytes() for a, z in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(labels[start:start + len(part)], pa.int32()), pa.array(own, pa.binary())],
-                names=["label", "columns"])
+    return key >> hash_bits, key & ((1 << hash_bits) - 1)
+
+
+def _counter(hash_bits: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = 1 << hash_bits
+        counts, rows = np.zeros((2, columns), np.int64), np.zeros(2, np.int64)
+        for batch in batches:
+            label = np.array(batch.column(1).to_pylist(), np.int64)
+            rows += np.bincount(label, minlength=2)
+            for start, part in arrow_slices(batch.column(0)):
+                row, column = features(part, hash_bits)
+                for k in (0, 1):
+                    at, n = np.unique(column[label[start + row] == k], return_counts=True)
+                    counts[k][at] += n
+        at = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([-1, *at.tolist()], pa.int32()), pa.array([rows[0], *counts[0][at]], pa.int64()),
+             pa.array([rows[1], *counts[1][at]], pa.int64())], names=["column", "n0", "n1"])
+        del counts
+        release_memory()
+    return count
+
+
+def _sampler(hash_bits: int):
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels = batch.column(1).to_pylist()
+            for start, part in arrow_slices(batch.column(0)):
+                row, column = features(part, hash_bits)
+                ends = np.searchsorted(row, np.arange(len(part) + 1))
+                own = [column[a:z].astype("<i4").tobytes() for a, z in zip(ends, ends[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(labels[start:start + len(part)], pa.int32()), pa.array(own, pa.binary())],
+                    names=["label", "columns"])
+    return sample
 
 
 def _descend(rows: list[np.ndarray], label: np.ndarray, ratio: np.ndarray, c: float,
@@ -193,23 +180,24 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", max_fit: int = MAX_FIT, c: float = C, epochs: int = EPOCHS) -> Model:
+        label_col: str = "quality", max_fit: int = MAX_FIT, c: float = C, epochs: int = EPOCHS,
+        hash_bits: int = HASH_BITS) -> Model:
     """Fit on the documents that ``labels`` (id, label) marks 0 or 1. Class counts cover all of them;
     the descent sees a sample of about ``max_fit``, drawn by a hash of the id, the rarer class first."""
     given = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
              .where("label in (0, 1) and id is not null"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    many = given.count()
+    many, columns = given.count(), 1 << hash_bits
     rows = texts.join(_bounded(given, many), "id")
-    counts = (rows.select("text", "label").mapInArrow(_count_batches, "column int, n0 long, n1 long")
+    counts = (rows.select("text", "label").mapInArrow(_counter(hash_bits), "column int, n0 long, n1 long")
               .groupBy("column").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))).toPandas()
     total = counts[counts["column"] < 0][["n0", "n1"]].to_numpy(np.float64).sum(axis=0)
     if not total.all():
         share = total[1] / total.sum() if total.sum() else 0.5
-        return Model(np.zeros(_COLUMNS), 0.0, 0.0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))), False)
+        return Model(np.zeros(columns), 0.0, 0.0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))), False)
     counts = counts[counts["column"] >= 0]
     at = counts["column"].to_numpy()
-    p, q = (ALPHA + np.bincount(at, counts[n], _COLUMNS) for n in ("n1", "n0"))
+    p, q = (ALPHA + np.bincount(at, counts[n], columns) for n in ("n1", "n0"))
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
 
     half = max_fit / 2
@@ -218,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     uniform = F.shiftrightunsigned(F.xxhash64(F.lit(17), "id"), 11) / F.lit(float(2 ** 53))
     drawn = given.where(uniform < F.when(F.col("label") == 0, share[0]).otherwise(share[1]))
     chosen = texts.join(_bounded(drawn, drawn.count()), "id")
-    sample = chosen.select("text", "label").mapInArrow(_sample_batches, "label int, columns binary").toPandas()
+    sample = chosen.select("text", "label").mapInArrow(_sampler(hash_bits), "label int, columns binary").toPandas()
     sample = sample.sort_values(["columns", "label"], kind="stable").reset_index(drop=True)  # one order each run
     label = sample["label"].to_numpy()
     own = [np.frombuffer(b, "<i4") for b in sample["columns"]]
@@ -239,14 +227,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(text: Column, model: Model) -> Column:
     """text -> probability of label 1."""
-    weights = model.weights.astype(np.float32)
+    weights, hash_bits = model.weights.astype(np.float32), len(model.weights).bit_length() - 1
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             margin = np.full(len(texts), model.bias)
-            for start, part in _slices(texts.tolist()):
-                row, column = features(part)
+            for start, part in slices(texts.tolist()):
+                row, column = features(part, hash_bits)
                 margin[start:start + len(part)] += np.bincount(row, weights[column], len(part))
             odds = np.clip(model.slope * margin + model.offset, -40, 40)
             yield pd.Series(1 / (1 + np.exp(-odds)))
