@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm.hashed_words import arrow_slices, mix, release_memory, slices
 
-HASH_BITS = 20
+HASH_BITS = 18
 WORD_RUN, SHAPE_RUN = 2, 3  # longest n-grams
 MAX_FIT = 8000              # labelled rows that the dual coordinate descent sees, about
 MAX_BROADCAST_LABELS = 1 << 20      # of 12 bytes
@@ -137,16 +137,15 @@ def _descend(rows: list[np.ndarray], label: np.ndarray, ratio: np.ndarray, c: fl
     """L2-regularised squared-hinge support vectors by dual coordinate descent."""
     y = np.where(label > 0, 1.0, -1.0)
     weight = c * len(y) / (2 * np.bincount((y > 0).astype(int), minlength=2))[(y > 0).astype(int)]
-    values = [ratio[x] for x in rows]
     diagonal = 1 / (2 * weight)
-    square = np.array([v @ v for v in values]) + 1 + diagonal
+    square = np.array([ratio[x] @ ratio[x] for x in rows]) + 1 + diagonal
     w, bias, dual = np.zeros(len(ratio)), 0.0, np.zeros(len(y))
     order, rng = np.arange(len(y)), np.random.default_rng(7)
     for _ in range(epochs):
         rng.shuffle(order)
         moved = 0.0
         for i in order.tolist():
-            x, v = rows[i], values[i]
+            x, v = rows[i], ratio[rows[i]]
             gradient = y[i] * (w[x] @ v + bias) - 1 + diagonal[i] * dual[i]
             new = max(dual[i] - gradient / square[i], 0.0)
             if (change := (new - dual[i]) * y[i]) != 0:
