@@ -136,7 +136,7 @@ def page_numbers(df: DataFrame, order: list[str], size: int = PAGE_SIZE,
 
 def _partitions(spark: SparkSession) -> int:
     """The shuffle partition setting, or the parallelism where it is not a number."""
-    text = spark.conf.get("spark.sql.shuffle.partitions", "")
+    text = spark.conf.get("spark.sql.shuffle.partitions")
     return int(text) if str(text).isdigit() else spark.sparkContext.defaultParallelism
 
 
