@@ -125,9 +125,13 @@ def latest_per_id(df: DataFrame) -> DataFrame:
 
 def silver(raw: DataFrame, wall_clock: bool = True, injury_columns=tuple(INJURY_COLUMNS),
            fatality_columns=tuple(FATALITY_COLUMNS)) -> DataFrame:
-    """Typed -> valid rows (before dedupe) -> latest per id -> totals -> audit columns."""
-    latest = latest_per_id(valid_rows(typed(raw), "collision_id", "crash_date"))
-    out = with_totals(latest, injury_columns, fatality_columns)
+    """Valid rows (before dedupe) -> latest per id -> typed -> totals -> audit columns.
+
+    Rows are told apart as raw text, so only the one that is kept of each id is cast and cleaned."""
+    dated = raw.select(*RAW_COLUMNS, INGESTION_TS, try_cast("crash_date", "date").alias("_date"))
+    valid = valid_rows(dated, "collision_id", "_date").drop("_date")
+    latest = latest_per_id(valid.select("*", row_fingerprint(*RAW_COLUMNS).alias(FINGERPRINT)))
+    out = with_totals(typed(latest.drop(FINGERPRINT)).drop(FINGERPRINT), injury_columns, fatality_columns)
     audit = [F.col(INGESTION_TS)]
     if wall_clock:
         audit.append(F.current_timestamp().alias("_silver_timestamp"))

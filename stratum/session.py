@@ -85,6 +85,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# Options of a job whose stored rows grow wide when they are read, each with the most it may be.
+WIDE_ROW_CONF = {
+    # generated methods above HotSpot's 8000-byte JIT limit run interpreted: split them
+    "spark.sql.codegen.hugeMethodLimit": 8000,
+    # one stored byte becomes some 30 in memory, and a task sorts all that it reads
+    "spark.sql.files.maxPartitionBytes": 16 * 1024 ** 2,
+}
+_UNITS = {"b": 0, "k": 1, "m": 2, "g": 3, "t": 4, "p": 5}
+
+
+def _bytes(text: str) -> int:
+    """``16m``, ``128MB`` or a plain number of bytes."""
+    number = text.strip().lower().rstrip("b")
+    return int(number.rstrip("kmgtp")) * 1024 ** _UNITS[number[-1] if number[-1] in _UNITS else "b"]
+
+
+def widen_rows(spark: SparkSession) -> None:
+    """Lower the session's options to :data:`WIDE_ROW_CONF`; a smaller value that it has stays."""
+    for key, most in WIDE_ROW_CONF.items():
+        if _bytes(spark.conf.get(key)) > most:
+            spark.conf.set(key, str(most))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for one run of ``name``."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
