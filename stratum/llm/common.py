@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Shuffle files that no DataFrame needs any more are deleted now, not when the driver next collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def spread_join(rows: DataFrame, table: DataFrame, key: str, count: str = "n") -> DataFrame:
     """``rows`` with the columns of ``table`` (one row a key, with the number of rows that have it), if any.
 

@@ -45,7 +45,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import stored
+from stratum.llm.common import release_shuffles, stored
 from stratum.llm.hashed_words import arrow_slices, hashed_words, mix, release_memory, slices
 from stratum.session import scratch_path
 
@@ -342,8 +342,8 @@ def train(texts: DataFrame, text_col: str = "text", tokens_a_shard: int = TOKENS
     folder = scratch_path(spark, "kneser-ney")
     texts = texts.select(F.col(text_col).alias("text"))
     start = int(START)
-    words = (texts.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-             .checkpoint())
+    words = stored(texts.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
+    release_shuffles(spark)
     real = F.col("key") != start
     size = words.agg(F.sum(F.when(real, F.col("n"))).alias("tokens"), F.count_if(real).alias("words")).first()
     tokens, vocabulary = size["tokens"] or 0, size["words"]
@@ -361,10 +361,14 @@ def train(texts: DataFrame, text_col: str = "text", tokens_a_shard: int = TOKENS
         counts = [np.frombuffer(r["counts"], np.int64) for r in packed.where("level = 0").select("counts").collect()]
         longer.insert(0, discounts(*np.sum(counts or [np.zeros(4, np.int64)], axis=0).tolist()))   # 4 numbers a shard
         packed = packed.where("level > 0")
-    parts = packed.groupBy("shard").applyInArrow(
-        _store_bigrams(folder), ", ".join(f"{c} long" for c in _PARTIAL)).checkpoint()
+    parts = stored(packed.groupBy("shard").applyInArrow(
+        _store_bigrams(folder), ", ".join(f"{c} long" for c in _PARTIAL)), "sums")
+    del packed
+    release_shuffles(spark)
     sums = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in _PARTIAL[1:]])
-    table = words.join(sums, "key", "left").na.fill(0).checkpoint()
+    table = stored(words.join(sums, "key", "left").na.fill(0), "word-table")
+    del words, parts, sums
+    release_shuffles(spark)
     whole = table.agg(*[F.sum(c).alias(c) for c in ("contexts", "n1", "n2", "n3", "n4")],
                       *[F.count_if(F.col("contexts") == k).alias(f"w{k}") for k in (1, 2, 3, 4)],
                       F.count_if(F.col("contexts") >= 3).alias("w3plus")).first()
