@@ -11,6 +11,10 @@ NESTED = (T.StructType, T.ArrayType, T.MapType)
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TS_OPTIONS = {"timestampNTZFormat": TS_FORMAT, "timestampFormat": TS_FORMAT + "XXX"}
 
+# Landed text is compressed (its field names repeat in every row); a file of it cannot be split, so it is bounded.
+COMPRESSION = "gzip"
+ROWS_A_FILE = 250_000
+
 
 def flatten_nested(df: DataFrame) -> DataFrame:
     """Every struct / array / map column becomes compact JSON text (NULL fields kept as
@@ -22,8 +26,9 @@ def flatten_nested(df: DataFrame) -> DataFrame:
 
 
 def land_jsonl(df: DataFrame, landing_dir: str, batch_id: str) -> str:
-    """Write one batch as JSON lines under ``landing_dir/batch=<id>``; re-landing the same
+    """Write one batch as compressed JSON lines under ``landing_dir/batch=<id>``; re-landing the same
     batch id overwrites it, and the load then replaces that batch's rows."""
     path = f"{landing_dir.rstrip('/')}/batch={batch_id}"
-    flatten_nested(df).write.mode("overwrite").options(**TS_OPTIONS).json(path)
+    (flatten_nested(df).write.mode("overwrite")
+     .options(**TS_OPTIONS, compression=COMPRESSION, maxRecordsPerFile=ROWS_A_FILE).json(path))
     return path

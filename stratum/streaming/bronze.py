@@ -117,15 +117,18 @@ def commit(spark: SparkSession, bronze_path: str, state: Manifest) -> Manifest:
 
 
 def write_part(spark: SparkSession, rows: DataFrame, bronze_path: str, state: Manifest,
-               partition_col: str = DATE_PARTITION, units_of: dict[str, set[str]] | None = None) -> list[Folder]:
+               partition_col: str = DATE_PARTITION, units_of: dict[str, set[str]] | None = None,
+               dealt: bool = False) -> list[Folder]:
     """Write rows (with a column ``load_id``) as a part of their own; entries for its folders.
 
     ``units_of`` gives the units packed into each date; else a folder holds the unit of its load_id.
+    ``dealt`` says that the rows of a unit and date are together already.
     """
     part = f"{state.version + 1:010d}-{uuid.uuid4().hex[:8]}"
     base = f"{parts_path(bronze_path)}/{PART}={part}"
     # one file per unit and date (hot dates split by adaptive execution), not one per task
-    (rows.hint("rebalance", "load_id", partition_col).write.mode("errorifexists")
+    rows = rows if dealt else rows.hint("rebalance", "load_id", partition_col)
+    (rows.write.mode("errorifexists").option("compression", "zstd")
      .partitionBy("load_id", partition_col).parquet(base))
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
     below = F.substring_index(F.substring_index("path", f"/{PART}={part}/", -1), "/", 2)

@@ -75,7 +75,8 @@ def _replace_units(spark: SparkSession, root: str, bronze_path: str, units: list
     after = state.without_units(units)
     for k in range(0, len(units), UNITS_A_JOB):
         rows = _unit_rows(spark, root, units[k:k + UNITS_A_JOB], after, columns, date_col, partition_col, grow)
-        after = after.with_columns(rows.schema).with_part(write_part(spark, rows, bronze_path, state, partition_col))
+        after = after.with_columns(rows.schema).with_part(
+            write_part(spark, rows, bronze_path, state, partition_col, dealt=True))
     commit(spark, bronze_path, after)
 
 
@@ -84,11 +85,18 @@ def _unit_rows(spark: SparkSession, root: str, units: list[str], state: Manifest
     lines = reduce(DataFrame.union, [
         spark.read.option("recursiveFileLookup", "true").text(f"{root}/{u}")
         .select("value", F.lit(u).alias(UNIT)) for u in units])
-    rows = with_load_columns(parse_records(lines, columns), date_col, partition_col).withColumn("load_id", F.col(UNIT))
+
+    def parsed(text: DataFrame) -> DataFrame:
+        return with_load_columns(parse_records(text, columns), date_col, partition_col).withColumn("load_id", F.col(UNIT))
+
+    # dealt by unit and date as lines, which take less of a shuffle than parsed rows; where a line's date
+    # is not found here its row is right all the same, in a file of its own
+    date = F.get_json_object("value", f"$['{date_col}']").try_cast("date")
+    rows = parsed(lines.withColumn("_date", date).hint("rebalance", UNIT, "_date").drop("_date"))
     if grow:
         # a key that differs from a column in case only stays aside in the map
         taken, named = {c.lower() for c in rows.columns}, {f.name.lower(): f.name for f in state.columns}
-        for key in extra_keys(rows):
+        for key in extra_keys(parsed(lines)):
             if key.lower() not in taken and named.get(key.lower(), key) == key:
                 taken.add(key.lower())
                 rows = promote_extra(rows, [key])
