@@ -91,6 +91,8 @@ WIDE_ROW_CONF = {
     "spark.sql.codegen.hugeMethodLimit": 8000,
     # one stored byte becomes some 30 in memory, and a task sorts all that it reads
     "spark.sql.files.maxPartitionBytes": 16 * 1024 ** 2,
+    # in proportion, so that a task reads as many small files (a date each, say) as before
+    "spark.sql.files.openCostInBytes": 512 * 1024,
 }
 _UNITS = {"b": 0, "k": 1, "m": 2, "g": 3, "t": 4, "p": 5}
 
