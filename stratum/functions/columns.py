@@ -96,10 +96,13 @@ def surrogate_key(*cols, length_prefixed: bool = False) -> Column:
 def row_fingerprint(*cols) -> Column:
     """MD5 of the raw values as ``length:value`` joined with ``|`` (NULL as ``~``): a total
     order of different rows, so a retried dedupe keeps the same one."""
-    text = [col_(c).cast("string") for c in cols]
-    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(FINGERPRINT_NULL))
-             for t in text]
-    return F.md5(F.concat_ws(FINGERPRINT_SEPARATOR, *parts))
+    parts: list[Column] = []
+    for c in cols:
+        t = col_(c).cast("string")
+        mark = F.when(t.isNull(), FINGERPRINT_NULL).otherwise(":")
+        # concat_ws leaves out NULL, so of a NULL value only its mark is joined: one copy of the text
+        parts += [F.lit(FINGERPRINT_SEPARATOR), F.length(t).cast("string"), mark, t]
+    return F.md5(F.concat_ws("", *parts[1:]))
 
 
 def rate_per_100(numerator: str | Column, denominator: str | Column, scale: int = 2) -> Column:

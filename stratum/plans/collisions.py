@@ -123,14 +123,24 @@ def latest_per_id(df: DataFrame) -> DataFrame:
                          [F.col(INGESTION_TS).desc_nulls_last(), F.col(FINGERPRINT).desc()])
 
 
+# steps that make a column narrower; the other steps of its spec give the same values after them
+NARROWER = {s.source: s.steps[0] for s in SILVER_SPECS if s.steps and s.steps[0] in ("date", "double", "int")}
+
+
+def sortable(raw: DataFrame) -> DataFrame:
+    """Raw rows as the dedupe sorts and shuffles them: numbers and dates cast, the fingerprint (of the raw
+    text) as 16 bytes, which are ordered as its hex digits are."""
+    return raw.select(
+        *[try_cast(c, NARROWER[c]).alias(c) if c in NARROWER else F.col(c) for c in RAW_COLUMNS],
+        F.col(INGESTION_TS), F.unhex(row_fingerprint(*RAW_COLUMNS)).alias(FINGERPRINT))
+
+
 def silver(raw: DataFrame, wall_clock: bool = True, injury_columns=tuple(INJURY_COLUMNS),
            fatality_columns=tuple(FATALITY_COLUMNS)) -> DataFrame:
     """Valid rows (before dedupe) -> latest per id -> typed -> totals -> audit columns.
 
-    Rows are told apart as raw text, so only the one that is kept of each id is cast and cleaned."""
-    dated = raw.select(*RAW_COLUMNS, INGESTION_TS, try_cast("crash_date", "date").alias("_date"))
-    valid = valid_rows(dated, "collision_id", "_date").drop("_date")
-    latest = latest_per_id(valid.select("*", row_fingerprint(*RAW_COLUMNS).alias(FINGERPRINT)))
+    Rows are told apart as raw text, so only the one that is kept of each id is cleaned."""
+    latest = latest_per_id(valid_rows(sortable(raw), "collision_id", "crash_date"))
     out = with_totals(typed(latest.drop(FINGERPRINT)).drop(FINGERPRINT), injury_columns, fatality_columns)
     audit = [F.col(INGESTION_TS)]
     if wall_clock:

@@ -19,6 +19,7 @@ from stratum.plans.staged_run import staged_run
 from stratum.session import scratch_path, widen_rows
 from stratum.sinks.tables import compact, publish_view
 from stratum.sources.adapter import collisions_feed
+from stratum.sources.dealing import deal_large_parts
 from stratum.sources.incremental import (
     high_water_mark,
     incremental_window,
@@ -52,9 +53,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four columns of ``lineitem`` become 30 of text, so its scan is cut into smaller tasks."""
+    """Four columns of ``lineitem`` become 30 of text, so its scan is cut into smaller tasks, and large row
+    groups are dealt over several."""
     widen_rows(spark)
-    return collisions_feed(table(spark, sf_dir, "lineitem"))
+    return collisions_feed(deal_large_parts(table(spark, sf_dir, "lineitem")))
 
 
 def silver_df(spark, sf_dir) -> DataFrame:
