@@ -54,3 +54,31 @@ def test_rows_are_sorted_with_numbers_and_a_fingerprint_of_16_bytes(spark):
     assert [len(r[0]) for r in df.select(C.FINGERPRINT).collect()] == [16, 16]
     hexed = sorted(r[0] for r in C.typed(raw).select(C.FINGERPRINT).collect())
     assert [bytes(r[0]).hex() for r in df.select(C.FINGERPRINT).orderBy(C.FINGERPRINT).collect()] == hexed
+
+
+def test_runs_of_one_row_group_are_dealt_evenly(spark, tmp_path):
+    df = spark.read.parquet(_lineitem(spark, tmp_path, 4000))
+    sizes = _sizes(dealing.deal_large_parts(df, most=1000, run_bits=7))
+    assert sorted(sizes) == [4003 % 128] + [128] * 31
+
+
+def test_runs_share_tasks_up_to_the_most_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dealing, "TASKS", 8)
+    df = spark.read.parquet(_lineitem(spark, tmp_path, 4000))
+    eight = dealing.deal_large_parts(df, most=1000, run_bits=5)          # 126 runs, 15 or 16 a task
+    assert len(_sizes(eight)) == 8 and max(_sizes(eight)) <= 16 * 32
+    more = dealing.deal_large_parts(df, most=200, run_bits=5)            # 8 tasks would get more than 200 rows
+    assert len(_sizes(more)) == 21 and max(_sizes(more)) <= 200
+    for dealt in (eight, more):
+        assert dealt.exceptAll(df).count() == 0 and df.exceptAll(dealt).count() == 0
+
+
+def test_parts_of_unlike_sizes_are_dealt_over_all_tasks(spark):
+    parts = [spark.range(0, 3200, 1, 1)] + [spark.range(10_000 + 32 * i, 10_032 + 32 * i, 1, 1) for i in range(20)]
+    df = parts[0]
+    for p in parts[1:]:
+        df = df.union(p)
+    dealt = dealing.deal_large_parts(df, most=1000, run_bits=5)          # 100 runs of one part, one each of 20
+    sizes = _sizes(dealt)
+    assert sum(sizes) == 3840 and max(sizes) <= 2 * 32
+    assert dealt.distinct().count() == 3840 and dealt.exceptAll(df).count() == 0
