@@ -22,6 +22,7 @@ UNKNOWN_LABEL = "Unknown"
 # Parts carry their length, so no two different rows share the text that is hashed.
 FINGERPRINT_SEPARATOR = "|"
 FINGERPRINT_NULL = "~"
+FINGERPRINT_SHORT = 64          # values of fewer characters have the text of their length looked up
 
 
 def col_(c: str | Column) -> Column:
@@ -97,12 +98,15 @@ def row_fingerprint(*cols) -> Column:
     """MD5 of the raw values as ``length:value`` joined with ``|`` (NULL as ``~``): a total
     order of different rows, so a retried dedupe keeps the same one."""
     parts: list[Column] = []
-    for c in cols:
-        t = col_(c).cast("string")
-        mark = F.when(t.isNull(), FINGERPRINT_NULL).otherwise(":")
+    for i, c in enumerate(cols):
+        t, sep = col_(c).cast("string"), FINGERPRINT_SEPARATOR if i else ""
+        # what stands before a short value is one of a few texts: looked up, not written out for every row
+        short = F.split(F.lit(",".join(f"{sep}{n}:" for n in range(FINGERPRINT_SHORT))), ",")
+        other = (F.when(t.isNull(), sep + FINGERPRINT_NULL)
+                 .otherwise(F.concat(F.lit(sep), F.length(t).cast("string"), F.lit(":"))))
         # concat_ws leaves out NULL, so of a NULL value only its mark is joined: one copy of the text
-        parts += [F.lit(FINGERPRINT_SEPARATOR), F.length(t).cast("string"), mark, t]
-    return F.md5(F.concat_ws("", *parts[1:]))
+        parts += [F.coalesce(F.get(short, F.length(t)), other), t]
+    return F.md5(F.concat_ws("", *parts))
 
 
 def rate_per_100(numerator: str | Column, denominator: str | Column, scale: int = 2) -> Column:

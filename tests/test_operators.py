@@ -115,6 +115,21 @@ def test_fingerprints_of_different_rows_differ(spark):
     assert df.select(row_fingerprint("p", "q").alias("f")).distinct().count() == len(rows)
 
 
+def test_fingerprints_look_up_the_lengths_of_short_values(spark):
+    import hashlib
+    from stratum.functions.columns import row_fingerprint
+    values = [None, "", "a", "é€𐍈", "a|b", ",", "x" * 9, "x" * 63, "x" * 64, "é" * 65, "x" * 1000]
+    rows = [(p, q) for p in values for q in values]
+    df = spark.createDataFrame(rows, "p string, q string")
+    made = df.select("p", "q", row_fingerprint("p", "q").alias("f"))
+    for p, q, f in made.collect():
+        text = "|".join("~" if v is None else f"{len(v)}:{v}" for v in (p, q))
+        assert f == hashlib.md5(text.encode()).hexdigest()
+    # constant texts, so no length is written out for a short value
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "[0:,1:,2:" in plan and "[|0:,|1:,|2:" in plan and "split(" not in plan
+
+
 def test_lookup_is_broadcast_only_with_a_known_length(spark):
     from stratum.plans import collisions as C
     boroughs = spark.createDataFrame([("QUEENS", 1)], "borough string, n int")
