@@ -12,6 +12,8 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -110,6 +112,18 @@ def widen_rows(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+@contextmanager
+def at_most(spark: SparkSession, key: str, most: int) -> Iterator[None]:
+    """The session's option ``key``, a number of bytes, lowered to ``most`` for a while; a smaller one stays."""
+    before = spark.conf.get(key)
+    if _bytes(before) > most:
+        spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for one run of ``name``."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

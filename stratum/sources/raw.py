@@ -57,7 +57,7 @@ def parse_records(lines: DataFrame, columns=RAW_COLUMNS, extra_col: str = EXTRA_
     extra = (F.when(F.size(F.array_except(keys, known)) > 0, others)
              .when(keys.isNotNull(), F.map_from_arrays(F.array().cast("array<string>"),
                                                        F.array().cast("array<string>"))))
-    return (lines.select(*rest, F.from_json("value", string_schema(columns)).alias("_s"), extra.alias(extra_col))
+    return (lines.select(F.from_json("value", string_schema(columns)).alias("_s"), extra.alias(extra_col), *rest)
             .select(*rest, *[F.col("_s")[c].alias(c) for c in columns], extra_col))
 
 

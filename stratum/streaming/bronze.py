@@ -94,6 +94,10 @@ def parts_path(bronze_path: str) -> str:
     return f"{bronze_path.rstrip('/')}/parts"
 
 
+def part_path(bronze_path: str, part: str) -> str:
+    return f"{parts_path(bronze_path)}/{PART}={part}"
+
+
 def read_manifest(spark: SparkSession, bronze_path: str, version: int | None = None) -> Manifest:
     """The newest state of bronze (version 0, without folders, before the first load)."""
     if version is None:
@@ -125,7 +129,7 @@ def write_part(spark: SparkSession, rows: DataFrame, bronze_path: str, state: Ma
     ``dealt`` says that the rows of a unit and date are together already.
     """
     part = f"{state.version + 1:010d}-{uuid.uuid4().hex[:8]}"
-    base = f"{parts_path(bronze_path)}/{PART}={part}"
+    base = part_path(bronze_path, part)
     # one file per unit and date (hot dates split by adaptive execution), not one per task
     rows = rows if dealt else rows.hint("rebalance", "load_id", partition_col)
     (rows.write.mode("errorifexists").option("compression", "zstd")
