@@ -24,6 +24,7 @@ from stratum.functions.columns import (
     surrogate_key,
     try_cast,
 )
+from stratum.functions.packed import pack, unpack
 from stratum.operators import checks as Q
 from stratum.operators.clean import clean, spec, valid_rows
 from stratum.operators.dedupe import dedupe_latest
@@ -135,12 +136,20 @@ def sortable(raw: DataFrame) -> DataFrame:
         F.col(INGESTION_TS), F.unhex(row_fingerprint(*RAW_COLUMNS)).alias(FINGERPRINT))
 
 
+def latest_dealt(rows: DataFrame) -> DataFrame:
+    """:func:`latest_per_id` of whole rows, those of a crash date then together: what both shuffles move is packed."""
+    packed = latest_per_id(pack(rows, ["collision_id", "crash_date", INGESTION_TS, FINGERPRINT]))
+    return unpack(packed.drop(FINGERPRINT).hint("rebalance", "crash_date"), rows.drop(FINGERPRINT).schema)
+
+
 def silver(raw: DataFrame, wall_clock: bool = True, injury_columns=tuple(INJURY_COLUMNS),
-           fatality_columns=tuple(FATALITY_COLUMNS)) -> DataFrame:
+           fatality_columns=tuple(FATALITY_COLUMNS), dealt: bool = False) -> DataFrame:
     """Valid rows (before dedupe) -> latest per id -> typed -> totals -> audit columns.
 
-    Rows are told apart as raw text, so only the one that is kept of each id is cleaned."""
-    latest = latest_per_id(valid_rows(sortable(raw), "collision_id", "crash_date"))
+    Rows are told apart as raw text, so only the one that is kept of each id is cleaned. With ``dealt`` (all
+    columns are wanted, to be written by crash date) they are packed for the shuffles."""
+    valid = valid_rows(sortable(raw), "collision_id", "crash_date")
+    latest = latest_dealt(valid) if dealt else latest_per_id(valid)
     out = with_totals(typed(latest.drop(FINGERPRINT)).drop(FINGERPRINT), injury_columns, fatality_columns)
     audit = [F.col(INGESTION_TS)]
     if wall_clock:

@@ -146,8 +146,8 @@ def build(spark: SparkSession, p: RunPaths, raise_on_failure: bool = True,
         stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
         p = RunPaths(p.base, f"{stamp}_{uuid.uuid4().hex[:6]}")
     # silver: full rebuild from bronze, partitioned by crash date
-    silver = C.silver(read_bronze(spark, p.bronze))
-    write_table(silver, path=p.silver, partition_by="crash_date_partition")
+    silver = C.silver(read_bronze(spark, p.bronze), dealt=True)
+    write_table(silver, path=p.silver, partition_by="crash_date_partition", dealt=True)
     # staging view over the stored silver table
     stg = publish_view(C.staging(spark.read.schema(silver.schema).parquet(p.silver)), "stg_collisions")
     # gold tables, each a full refresh

@@ -15,15 +15,16 @@ def create_schema(spark: SparkSession, name: str) -> None:
 
 
 def write_table(df: DataFrame, path: str | None = None, table: str | None = None,
-                partition_by: str | None = None, mode: str = "overwrite") -> None:
-    """Full-refresh write to a path or a catalog table.
+                partition_by: str | None = None, mode: str = "overwrite", dealt: bool = False) -> None:
+    """Full-refresh write to a path or a catalog table, zstd compressed.
 
     With a partition column the rows are rebalanced on it first: adaptive execution then
     writes about one advisory-sized file per partition value, splitting a hot date into
-    several files and merging sparse ones, instead of one file per task per date.
+    several files and merging sparse ones, instead of one file per task per date. ``dealt`` says that
+    the rows of a value are together already.
     """
-    out = df.hint("rebalance", partition_by) if partition_by else df
-    w = out.write.mode(mode)
+    out = df.hint("rebalance", partition_by) if partition_by and not dealt else df
+    w = out.write.mode(mode).option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(partition_by)
     if table:
