@@ -13,6 +13,7 @@ TS_OPTIONS = {"timestampNTZFormat": TS_FORMAT, "timestampFormat": TS_FORMAT + "X
 
 # Landed text is compressed (its field names repeat in every row); a file of it cannot be split, so it is bounded.
 COMPRESSION = "gzip"
+GZIP_LEVEL = "THREE"        # of Hadoop's names: two thirds of the time of the default level, a third more bytes
 ROWS_A_FILE = 250_000
 
 
@@ -30,5 +31,6 @@ def land_jsonl(df: DataFrame, landing_dir: str, batch_id: str) -> str:
     batch id overwrites it, and the load then replaces that batch's rows."""
     path = f"{landing_dir.rstrip('/')}/batch={batch_id}"
     (flatten_nested(df).write.mode("overwrite")
-     .options(**TS_OPTIONS, compression=COMPRESSION, maxRecordsPerFile=ROWS_A_FILE).json(path))
+     .options(**TS_OPTIONS, compression=COMPRESSION, maxRecordsPerFile=ROWS_A_FILE)
+     .option("zlib.compress.level", GZIP_LEVEL).json(path))
     return path
